@@ -26,6 +26,13 @@ def latest_by_key(
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def newer_wins(old: str, new: str, order: str) -> Column:
+    """Whether the row in struct ``new`` replaces the one in ``old``; at equal ``order`` it does."""
+    old_at, new_at = F.col(f"{old}.{order}"), F.col(f"{new}.{order}")
+    newer = old_at.isNull() | F.coalesce(new_at >= old_at, F.lit(False))
+    return F.col(old).isNull() | (F.col(new).isNotNull() & newer)
+
+
 def merge_latest(
     previous: DataFrame, changes: DataFrame, keys: list[str], order: str, ties: Iterable[str] = ()
 ) -> DataFrame:
@@ -36,22 +43,31 @@ def merge_latest(
     it is stored bucketed by the key) and never sorted by anything but the key.
     """
     newest = latest_by_key(changes, keys, [order, *ties])
-    columns = previous.columns
-    old = previous.select(
-        *keys, F.struct(*(F.col(c) for c in columns if c not in keys)).alias("_old")
-    )
-    new = newest.select(
-        *keys, F.struct(*(F.col(c) for c in columns if c not in keys)).alias("_new")
-    )
-    old_at, new_at = F.col(f"_old.{order}"), F.col(f"_new.{order}")
-    take_new = F.col("_old").isNull() | (
-        F.col("_new").isNotNull()
-        & (old_at.isNull() | F.coalesce(new_at >= old_at, F.lit(False)))
-    )
-    merged = old.join(new, keys, "full").withColumn(
-        "_row", F.when(take_new, F.col("_new")).otherwise(F.col("_old"))
+    columns = [c for c in previous.columns if c not in keys]
+    old = previous.select(*keys, F.struct(*columns).alias("_old"))
+    new = newest.select(*keys, F.struct(*columns).alias("_new"))
+    row = F.when(newer_wins("_old", "_new", order), F.col("_new")).otherwise(F.col("_old"))
+    merged = old.join(new, keys, "full").withColumn("_row", row)
+    return merged.select(*keys, *(F.col(f"_row.{c}").alias(c) for c in columns)).select(*previous.columns)
+
+
+def fold_by_key(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Put parts (one row per key each) side by side: the keys and one struct column per part.
+
+    The result is that of a chain of full outer joins, with one shuffle: a full outer join loses
+    its partitioning, so a chain would move all columns again at every link. A key has at most
+    one row per part here, so no key can be hot.
+    """
+    rows = [
+        df.select(*keys, F.struct(*(c for c in df.columns if c not in keys)).alias(name))
+        for name, df in parts.items()
+    ]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return (
+        union.repartition(*keys)
+        .groupBy(*keys)
+        .agg(*(F.first(name, ignorenulls=True).alias(name) for name in parts))
     )
-    return merged.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in columns))
 
 
 def key_spine(keys: list[str], *frames: DataFrame) -> DataFrame:

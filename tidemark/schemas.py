@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,7 +142,11 @@ DDL = {
     ),
 }
 
-TABLES: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in DDL.items()}
+
+@cache
+def table_schema(name: str) -> T.StructType:
+    """The table's columns without ``dt``; needs a running session to read the DDL."""
+    return T.StructType.fromDDL(DDL[name])
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import TABLES, cast_to_schema
+from tidemark.schemas import cast_to_schema, table_schema
 
 
 class MissingSnapshot(RuntimeError):
@@ -36,7 +36,7 @@ class Tables:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        schema = T.StructType([*TABLES[name].fields, T.StructField("dt", T.StringType())])
+        schema = T.StructType([*table_schema(name).fields, T.StructField("dt", T.StringType())])
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def scan_snapshot(self, name: str, dt: str) -> DataFrame:
@@ -65,12 +65,12 @@ class Tables:
         session's overwrite mode. ``rebalance`` lets AQE even out file sizes: it splits a
         hot partition and joins small ones instead of writing one file per shuffle partition.
         """
-        body = cast_to_schema(df, TABLES[name])
+        body = cast_to_schema(df, table_schema(name))
         body.hint("rebalance").write.mode("overwrite").parquet(f"{self.path(name)}/dt={dt}")
 
     def overwrite_days(self, df: DataFrame, name: str) -> None:
         """Replace every day found in ``df`` (a backfill), leaving the other days alone."""
-        body = cast_to_schema(df, TABLES[name], extra=("dt",))
+        body = cast_to_schema(df, table_schema(name), extra=("dt",))
         (
             body.hint("rebalance", "dt")
             .write.mode("overwrite")
