@@ -330,18 +330,23 @@ def comment_entity_messages(events: DataFrame) -> DataFrame:
     return rows.select(body.alias("json_str"), "dt", F.lit("app_comment").alias("topic"), "ms")
 
 
-def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topics as landed rows (json_str, dt, topic, ms). A scan of one topic drops the others
-    while planning, since each branch's topic is a constant."""
-    events = events_of(spark, sf_dir)
-    branches = [
-        profile_messages(table(spark, sf_dir, "customer")),
-        content_messages(table(spark, sf_dir, "part")),
-        comment_entity_messages(events),
-        account_messages(events),
-        video_messages(events),
-        social_messages(events),
-        comment_messages(events),
-        vip_messages(events),
-    ]
+MAKERS = {
+    "app_user_profile": ("customer", profile_messages),
+    "app_video_content": ("part", content_messages),
+    "app_comment": ("events", comment_entity_messages),
+    "app_event_account": ("events", account_messages),
+    "app_event_video": ("events", video_messages),
+    "app_event_social": ("events", social_messages),
+    "app_event_comment": ("events", comment_messages),
+    "app_event_vip": ("events", vip_messages),
+}
+
+
+def raw_messages(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The named topics (all by default) as landed rows: json_str, dt, topic, ms."""
+    branches = []
+    for name in names or MAKERS:
+        source, maker = MAKERS[name]
+        rows = table(spark, sf_dir, source)
+        branches.append(maker(shape_events(rows) if source == "events" else rows))
     return reduce(DataFrame.unionByName, branches)
