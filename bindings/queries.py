@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from tidemark.plans import detail, dims, serving, stats, summaries
 from tidemark.session import stream_session, work_path
 from tidemark.sources.changelog import read_columns
 from tidemark.sources.raw import read_raw
+from tidemark.sources.tables import Tables
 from tidemark.streaming import dims as live_dims
 from tidemark.streaming import orders as live_orders
 from tidemark.streaming import summaries as live
@@ -77,81 +79,124 @@ def _today(df: DataFrame) -> DataFrame:
 
 class Book:
     """The jobs over one data folder: all days before the run day folded into the snapshot of the
-    day before, and the run day rolled on top of it. Nothing is computed until a query asks."""
+    day before, and the run day rolled on top of it.
+
+    What later jobs read several times is written as the nightly run writes it, under the shared
+    folder, and read back: plans stay short and nothing is computed twice.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def tables(self) -> Tables:
+        return Tables(self.spark, work_path(self.spark, "book"))
+
+    def _day(self, name: str, dt: str, df: DataFrame) -> DataFrame:
+        self.tables.overwrite_partition(df, name, dt)
+        return self.tables.scan_snapshot(name, dt)
+
+    def _days(self, name: str, df: DataFrame) -> DataFrame:
+        self.tables.overwrite_days(df, name)
+        return self.tables.read(name)
+
     def raw(self, topic: str) -> DataFrame:
         return topics.raw_messages(self.spark, self.sf_dir, topic).drop("ms")
 
+    @cached_property
     def video_actions(self) -> DataFrame:
         return detail.video_actions(self.raw("app_event_video"), columns=stats.VIDEO_STATS_INPUT)
 
+    @cached_property
     def comment_actions(self) -> DataFrame:
         return detail.comment_actions(self.raw("app_event_comment"), columns=stats.COMMENT_STATS_INPUT)
 
+    @cached_property
+    def account_actions(self) -> DataFrame:
+        return detail.account_actions(self.raw("app_event_social"))
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return detail.vip_orders(self.raw("app_event_vip"))
+
+    @cached_property
+    def stored_orders(self) -> DataFrame:
+        return self._days("dwd_order_vip_di", self.orders)
+
+    @cached_property
     def video_stats(self) -> DataFrame:
-        return stats.video_stats(self.video_actions())
+        return stats.video_stats(self.video_actions)
 
+    @cached_property
+    def stored_video_stats(self) -> DataFrame:
+        return self._days("dwd_stats_video_di", self.video_stats)
+
+    @cached_property
     def pairs_before(self) -> DataFrame:
-        return relations.relation_rollforward(None, _past(detail.account_actions(self.raw("app_event_social"))))
+        pairs = relations.relation_rollforward(None, _past(self.account_actions))
+        return self._day("dim_account_relation_df", DAY_BEFORE, pairs)
 
+    @cached_property
     def pairs(self) -> DataFrame:
-        today = _today(detail.account_actions(self.raw("app_event_social")))
-        return relations.relation_rollforward(self.pairs_before(), today)
+        return relations.relation_rollforward(self.pairs_before, _today(self.account_actions))
 
-    def orders(self) -> DataFrame:
-        return detail.vip_orders(self.raw("app_event_vip"))
+    @cached_property
+    def stored_pairs(self) -> DataFrame:
+        return self._day("dim_account_relation_df", RUN_DAY, self.pairs)
 
+    @cached_property
     def accounts_before(self) -> DataFrame:
         # Only the id and the membership state are read from it, so no lists are built.
-        return dims.account_snapshot(
-            DAY_BEFORE, old_run_ts(), dims.profiles(self.raw("app_user_profile"), DAY_BEFORE), self.pairs_before(),
-            _past(self.orders()), None, inline_limit=None,
+        snapshot = dims.account_snapshot(
+            DAY_BEFORE, old_run_ts(), dims.profiles(self.raw("app_user_profile"), DAY_BEFORE), self.pairs_before,
+            _past(self.stored_orders), None, inline_limit=None,
         )
+        return self._day("dim_account_df", DAY_BEFORE, snapshot)
 
-    def accounts(self, lists: bool = False) -> DataFrame:
-        limit = relations.DEFAULT_INLINE_LIMIT if lists else None
+    @cached_property
+    def accounts(self) -> DataFrame:
         return dims.account_snapshot(
-            RUN_DAY, run_ts(), dims.profiles(self.raw("app_user_profile"), RUN_DAY), self.pairs(), _today(self.orders()),
-            self.accounts_before(), inline_limit=limit,
+            RUN_DAY, run_ts(), dims.profiles(self.raw("app_user_profile"), RUN_DAY), self.stored_pairs,
+            _today(self.stored_orders), self.accounts_before,
         )
 
+    @cached_property
     def videos_before(self) -> DataFrame:
-        replies = stats.reply_counts(self.comment_actions())
-        return dims.video_snapshot(
-            DAY_BEFORE, old_run_ts(), dims.video_content(_past(self.raw("app_video_content")), None), _past(self.video_stats()),
-            _past(replies), None,
+        snapshot = dims.video_snapshot(
+            DAY_BEFORE, old_run_ts(), dims.video_content(_past(self.raw("app_video_content")), None),
+            _past(self.stored_video_stats), _past(stats.reply_counts(self.comment_actions)), None,
         )
+        return self._day("dim_video_df", DAY_BEFORE, snapshot)
 
+    @cached_property
     def videos(self) -> DataFrame:
-        replies = stats.reply_counts(self.comment_actions())
         return dims.video_snapshot(
-            RUN_DAY, run_ts(), dims.video_content(self.raw("app_video_content"), RUN_DAY), _today(self.video_stats()),
-            _today(replies), self.videos_before(),
+            RUN_DAY, run_ts(), dims.video_content(self.raw("app_video_content"), RUN_DAY),
+            _today(self.stored_video_stats), _today(stats.reply_counts(self.comment_actions)), self.videos_before,
         )
 
+    @cached_property
     def comments(self) -> DataFrame:
-        daily = stats.comment_stats(self.comment_actions())
+        entities = self.raw("app_comment")
+        daily = self._days("dwd_stats_comment_di", stats.comment_stats(self.comment_actions))
         before = dims.comment_snapshot(
-            DAY_BEFORE, old_run_ts(), dims.comment_entities(_past(self.raw("app_comment")), None), _past(daily), None
+            DAY_BEFORE, old_run_ts(), dims.comment_entities(_past(entities), None), _past(daily), None
         )
-        entities = dims.comment_entities(self.raw("app_comment"), RUN_DAY)
-        return dims.comment_snapshot(RUN_DAY, run_ts(), entities, _today(daily), before)
+        before = self._day("dim_comment_df", DAY_BEFORE, before)
+        return dims.comment_snapshot(RUN_DAY, run_ts(), dims.comment_entities(entities, RUN_DAY), _today(daily), before)
 
     def registry(self) -> DataFrame:
-        fresh = summaries.registry_source(self.accounts(), self.accounts_before(), run_ts())
+        fresh = summaries.registry_source(self.accounts, self.accounts_before, run_ts())
         return fresh.withColumn("dt", F.lit(RUN_DAY))
 
     def uploaders(self) -> DataFrame:
-        return summaries.uploader_summary(self.video_stats(), self.videos(), self.accounts(), run_ts())
+        return summaries.uploader_summary(self.stored_video_stats, self.videos, self.accounts, run_ts())
 
     def video_rows(self) -> DataFrame:
-        return summaries.video_summary(self.video_stats(), self.videos(), self.accounts(), run_ts())
+        return summaries.video_summary(self.stored_video_stats, self.videos, self.accounts, run_ts())
 
     def order_source(self) -> DataFrame:
-        return summaries.order_source(self.orders(), self.accounts(), run_ts())
+        return summaries.order_source(self.stored_orders, self.accounts, run_ts())
 
 
 # ---- operators over the tables ---------------------------------------------------------------
@@ -215,30 +260,30 @@ def merge_latest_orders(spark, sf_dir):
 
 @query
 def relation_pairs(spark, sf_dir):
-    return plain(relations.live_pairs(Book(spark, sf_dir).pairs()))
+    return plain(relations.live_pairs(Book(spark, sf_dir).pairs))
 
 
 @query
 def relation_counts(spark, sf_dir):
-    return plain(relations.relation_counts(Book(spark, sf_dir).pairs()))
+    return plain(relations.relation_counts(Book(spark, sf_dir).pairs))
 
 
 @query
 def relation_lists(spark, sf_dir):
-    pairs = Book(spark, sf_dir).pairs()
+    pairs = Book(spark, sf_dir).stored_pairs
     return plain(relations.relation_lists(pairs, relations.relation_counts(pairs)))
 
 
 @query
 def relation_pairs_ordered(spark, sf_dir):
-    actions = detail.account_actions(Book(spark, sf_dir).raw("app_event_social"))
+    actions = Book(spark, sf_dir).account_actions
     return plain(relations.live_pairs(relations.relation_rollforward(None, actions, ordered=True)))
 
 
 @query
 def cumulative_snapshot(spark, sf_dir):
     totals = {"views": "view_count", "likes": "net_like_delta"}
-    daily = Book(spark, sf_dir).video_stats()
+    daily = Book(spark, sf_dir).stored_video_stats
     before = _past(daily).groupBy("bvid").agg(*(F.sum(d).alias(t) for t, d in totals.items()))
     return plain(accumulate_snapshot(before, _today(daily), ["bvid"], totals))
 
@@ -440,7 +485,7 @@ def dwd_video_actions(spark, sf_dir):
 
 @query
 def dwd_vip_orders(spark, sf_dir):
-    return plain(Book(spark, sf_dir).orders())
+    return plain(Book(spark, sf_dir).orders)
 
 
 @query
@@ -450,42 +495,42 @@ def dwd_vip_orders_newest(spark, sf_dir):
 
 @query
 def dwd_video_stats(spark, sf_dir):
-    return plain(Book(spark, sf_dir).video_stats())
+    return plain(Book(spark, sf_dir).video_stats)
 
 
 @query
 def dwd_video_stats_triple(spark, sf_dir):
-    return plain(stats.video_stats(Book(spark, sf_dir).video_actions(), triple_counts=True))
+    return plain(stats.video_stats(Book(spark, sf_dir).video_actions, triple_counts=True))
 
 
 @query
 def dwd_comment_stats(spark, sf_dir):
-    return plain(stats.comment_stats(Book(spark, sf_dir).comment_actions()))
+    return plain(stats.comment_stats(Book(spark, sf_dir).comment_actions))
 
 
 @query
 def dwd_comment_stats_parent(spark, sf_dir):
-    return plain(stats.comment_stats(Book(spark, sf_dir).comment_actions(), credit_parent=True))
+    return plain(stats.comment_stats(Book(spark, sf_dir).comment_actions, credit_parent=True))
 
 
 @query
 def video_reply_counts(spark, sf_dir):
-    return plain(stats.reply_counts(Book(spark, sf_dir).comment_actions()))
+    return plain(stats.reply_counts(Book(spark, sf_dir).comment_actions))
 
 
 @query
 def dim_account(spark, sf_dir):
-    return plain(Book(spark, sf_dir).accounts(lists=True).drop("dw_create_time"))
+    return plain(Book(spark, sf_dir).accounts.drop("dw_create_time"))
 
 
 @query
 def dim_video(spark, sf_dir):
-    return plain(Book(spark, sf_dir).videos())
+    return plain(Book(spark, sf_dir).videos)
 
 
 @query
 def dim_comment(spark, sf_dir):
-    return plain(Book(spark, sf_dir).comments())
+    return plain(Book(spark, sf_dir).comments)
 
 
 @query
@@ -511,7 +556,7 @@ def dws_order_source(spark, sf_dir):
 @query
 def exact_uploader_viewers(spark, sf_dir):
     book = Book(spark, sf_dir)
-    return plain(summaries.exact_uploader_viewers(book.video_actions(), book.videos()))
+    return plain(summaries.exact_uploader_viewers(book.video_actions, book.videos))
 
 
 # ---- serving ---------------------------------------------------------------------------------
@@ -539,17 +584,17 @@ def serve_orders(spark, sf_dir):
 
 @query
 def serve_account_rows(spark, sf_dir):
-    return plain(serving.account_rows(Book(spark, sf_dir).accounts(lists=True), RUN_DAY))
+    return plain(serving.account_rows(Book(spark, sf_dir).accounts, RUN_DAY))
 
 
 @query
 def serve_video_rows(spark, sf_dir):
-    return plain(serving.video_rows(Book(spark, sf_dir).videos(), RUN_DAY))
+    return plain(serving.video_rows(Book(spark, sf_dir).videos, RUN_DAY))
 
 
 @query
 def serve_comment_rows(spark, sf_dir):
-    return plain(serving.comment_rows(Book(spark, sf_dir).comments(), RUN_DAY))
+    return plain(serving.comment_rows(Book(spark, sf_dir).comments, RUN_DAY))
 
 
 # ---- live summaries on stored events ---------------------------------------------------------
@@ -569,8 +614,8 @@ def speed_uploader(spark, sf_dir):
 def speed_video(spark, sf_dir):
     book = Book(spark, sf_dir)
     view = _live_view(spark, sf_dir, live.VIDEO)
-    videos = book.videos().select("bvid", "title", "duration", "pubdate", "pub_date", "category_id", "category_name")
-    return plain(live.enrich_video_view(view, videos, book.accounts()))
+    videos = book.videos.select("bvid", "title", "duration", "pubdate", "pub_date", "category_id", "category_name")
+    return plain(live.enrich_video_view(view, videos, book.accounts))
 
 
 @query
@@ -621,7 +666,7 @@ def speed_video_counters_total(spark, sf_dir):
     """The run day's counters on top of the snapshot of the day before."""
     book = Book(spark, sf_dir)
     totals = live_dims.video_counters(_arrivals(spark, sf_dir, "app_event_video")).where(F.date_format("window.start", "yyyy-MM-dd") == RUN_DAY)
-    return plain(live_dims.counter_columns(totals, live_dims.video_key(), book.videos_before(), ("bvid",)).drop("version"))
+    return plain(live_dims.counter_columns(totals, live_dims.video_key(), book.videos_before, ("bvid",)).drop("version"))
 
 
 @query

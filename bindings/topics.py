@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import spread
+
 RUN_DAY = "2024-01-30"
 DAY_BEFORE = "2024-01-29"
 RUN_TS_TEXT = "2024-01-31 02:00:00"
@@ -50,24 +52,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple, by: Column) -> Column:
-    return F.get(F.array(*(F.lit(v) for v in values)), (by % len(values)).cast("int"))
+def pick(values: tuple, by: str) -> str:
+    texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"get(array({texts}), CAST({by} % {len(values)} AS INT))"
+
 
+def unless(broken: str, value: str) -> str:
+    return f"CASE WHEN NOT ({broken}) THEN {value} END"
 
-def _unless(broken: Column, value: Column) -> Column:
-    return F.when(~broken, value)
+
+def struct(**columns: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in columns.items()) + ")"
 
 
 def shape_events(events: DataFrame) -> DataFrame:
-    """Columns the messages are made of: i, uid, k, ms, dt, amount."""
-    at = F.col("ts").cast("timestamp")
-    return events.select(
-        F.col("event_id").alias("i"),
-        F.col("user_id").alias("uid"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.unix_millis(at).alias("ms"),
-        F.date_format(at, "yyyy-MM-dd").alias("dt"),
-        F.floor("value").cast("bigint").alias("amount"),
+    """Columns the messages are made of: i, uid, k, ms, dt, amount, event_type."""
+    return events.selectExpr(
+        "event_id AS i",
+        "user_id AS uid",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
+        "date_format(ts, 'yyyy-MM-dd') AS dt",
+        "CAST(floor(value) AS BIGINT) AS amount",
         "event_type",
     )
 
@@ -76,258 +82,204 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_events(table(spark, sf_dir, "events"))
 
 
-def _c(name: str) -> Column:
-    return F.col(name)
-
-
-def _text(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix), value.cast("string"))
-
-
-def _device() -> Column:
-    return F.struct(
-        _text("d", _c("uid") % 40).alias("device_id"),
-        _pick(("Apple", "Xiaomi", "Huawei"), _c("uid")).alias("brand"),
-        F.lit("m1").alias("model"),
-        _pick(("iOS", "Android"), _c("uid")).alias("os"),
-        F.lit("17.1").alias("os_version"),
-        F.lit(1080).alias("screen_width"),
-        (_c("k") + 2000).alias("screen_height"),
-        F.lit("cmcc").alias("carrier"),
-        _pick(("WIFI", "5G"), _c("k")).alias("network"),
-    )
-
-
-def _app() -> Column:
-    return F.struct(
-        _text("7.", _c("k") % 5).alias("app_version"),
-        _unless(_c("uid") % 4 == 0, _pick(("store", "web"), _c("uid"))).alias("channel"),
-        _pick(("ios", "android", "web"), _c("uid")).alias("platform"),
-    )
-
-
-def _envelope(names: tuple, server_ts: Column, *extra: Column, properties: Column) -> Column:
-    n = _c("i")
-    return F.to_json(
-        F.struct(
-            _unless(n % 83 == 0, _pick(names, n)).alias("event_id"),
-            _text("t", n).alias("trace_id"),
-            _text("s", _c("uid")).alias("session_id"),
-            _unless(n % 97 == 0, _c("uid")).alias("mid"),
-            (_c("ms") - 300).alias("client_ts"),
-            server_ts.alias("server_ts"),
-            F.lit("/p").alias("url_path"),
-            _c("event_type").alias("referer"),
-            F.lit("ua").alias("ua"),
-            _text("10.0.0.", _c("uid") % 250).alias("ip"),
-            _device().alias("device_info"),
-            _app().alias("app_context"),
-            *extra,
-            properties.alias("properties"),
-        )
+DEVICE = struct(
+    device_id="concat('d', uid % 40)",
+    brand=pick(("Apple", "Xiaomi", "Huawei"), "uid"),
+    model="'m1'",
+    os=pick(("iOS", "Android"), "uid"),
+    os_version="'17.1'",
+    screen_width="1080",
+    screen_height="k + 2000",
+    carrier="'cmcc'",
+    network=pick(("WIFI", "5G"), "k"),
+)
+APP = struct(
+    app_version="concat('7.', k % 5)",
+    channel=unless("uid % 4 = 0", pick(("store", "web"), "uid")),
+    platform=pick(("ios", "android", "web"), "uid"),
+)
+BVID = "concat('BV', k)"
+RPID = "(uid * 1000 + k)"
+# An order per account and two days, so that orders also run over midnight.
+ORDER_NO = "concat('V', uid, '-', ms div 172800000)"
+
+
+def _message(names: tuple, server_ts: str, properties: str, **extra: str) -> str:
+    body = struct(
+        event_id=unless("i % 83 = 0", pick(names, "i")),
+        trace_id="concat('t', i)",
+        session_id="concat('s', uid)",
+        mid=unless("i % 97 = 0", "uid"),
+        client_ts="ms - 300",
+        server_ts=server_ts,
+        url_path="'/p'",
+        referer="event_type",
+        ua="'ua'",
+        ip="concat('10.0.0.', uid % 250)",
+        device_info=DEVICE,
+        app_context=APP,
+        **extra,
+        properties=properties,
     )
+    return f"to_json({body}) AS json_str"
 
 
-def _bvid() -> Column:
-    return _text("BV", _c("k"))
-
-
-def _rpid() -> Column:
-    return _c("uid") * 1000 + _c("k")
+def _landed(rows: DataFrame, message: str, topic: str, dt: str = "dt", ms: str = "ms") -> DataFrame:
+    return rows.selectExpr(message, f"{dt} AS dt", f"'{topic}' AS topic", f"{ms} AS ms")
 
 
 def video_messages(events: DataFrame) -> DataFrame:
-    properties = F.struct(
-        _c("event_type").alias("from"),
-        _unless(_c("k") % 3 == 0, _c("k") % 3).alias("coin_count"),
-        _c("k").alias("progress_sec"),
-        F.lit(1.5).alias("play_speed"),
-        (_c("k") % 2 == 0).alias("is_auto_play"),
-        F.array(_c("k"), _c("uid")).alias("fav_folder_ids"),
-        _text("c", _c("k")).alias("content"),
-    )
-    body = _envelope(
-        VIDEO_EVENTS,
-        _unless(_c("i") % 89 == 0, _c("ms")),
-        _unless(_c("i") % 71 == 0, _bvid()).alias("bvid"),
-        properties=properties,
+    properties = struct(**{
+        "from": "event_type",
+        "coin_count": unless("k % 3 = 0", "k % 3"),
+        "progress_sec": "k",
+        "play_speed": "CAST(1.5 AS DOUBLE)",
+        "is_auto_play": "k % 2 = 0",
+        "fav_folder_ids": "array(k, uid)",
+        "content": "concat('c', k)",
+    })
+    message = _message(
+        VIDEO_EVENTS, unless("i % 89 = 0", "ms"), properties, bvid=unless("i % 71 = 0", BVID)
     )
-    return events.select(body.alias("json_str"), "dt", F.lit("app_event_video").alias("topic"), "ms")
+    return _landed(events, message, "app_event_video")
 
 
 def social_messages(events: DataFrame) -> DataFrame:
-    properties = F.struct(
-        _c("event_type").alias("from"),
-        (_c("k") % 7).alias("target_level"),
-        _pick(("TRUE", "False", "maybe"), _c("k")).alias("is_mutual"),
-        (_c("k") * 10).alias("target_follower_count"),
-    )
-    body = _envelope(
-        SOCIAL_EVENTS,
-        F.when(_c("i") % 89 == 0, F.lit("bad-ts")).otherwise(_c("ms").cast("string")),
-        _c("k").alias("target_mid"),
-        properties=properties,
-    )
-    return events.select(body.alias("json_str"), "dt", F.lit("app_event_social").alias("topic"), "ms")
+    properties = struct(**{
+        "from": "event_type",
+        "target_level": "k % 7",
+        "is_mutual": pick(("TRUE", "False", "maybe"), "k"),
+        "target_follower_count": "k * 10",
+    })
+    server_ts = "CASE WHEN i % 89 = 0 THEN 'bad-ts' ELSE CAST(ms AS STRING) END"
+    return _landed(events, _message(SOCIAL_EVENTS, server_ts, properties, target_mid="k"), "app_event_social")
 
 
 def comment_messages(events: DataFrame) -> DataFrame:
-    properties = F.struct(
-        F.lit(1).alias("otype"),
-        _text("c", _c("i")).alias("content"),
-        (_c("k") + 1).alias("content_length"),
-        (_c("k") % 2 == 0).alias("has_emoji"),
-        _unless(_c("i") % 2 == 1, _rpid()).alias("root_rpid"),
-        _unless(_c("k") % 10 == 0, _rpid() + 1).alias("parent_rpid"),
+    properties = struct(
+        otype="1",
+        content="concat('c', i)",
+        content_length="k + 1",
+        has_emoji="k % 2 = 0",
+        root_rpid=unless("i % 2 = 1", RPID),
+        parent_rpid=unless("k % 10 = 0", f"{RPID} + 1"),
     )
-    body = _envelope(
-        COMMENT_EVENTS,
-        _c("ms"),
-        _bvid().alias("oid"),
-        _unless(_c("i") % 79 == 0, _rpid()).alias("rpid"),
-        properties=properties,
-    )
-    return events.select(body.alias("json_str"), "dt", F.lit("app_event_comment").alias("topic"), "ms")
-
-
-def order_no() -> Column:
-    """An order per account and two days, so that orders also run over midnight."""
-    two_days = F.call_function("div", _c("ms"), F.lit(2 * 86_400_000))
-    return F.concat(F.lit("V"), _c("uid").cast("string"), F.lit("-"), two_days.cast("string"))
+    message = _message(COMMENT_EVENTS, "ms", properties, oid=BVID, rpid=unless("i % 79 = 0", RPID))
+    return _landed(events, message, "app_event_comment")
 
 
 def vip_messages(events: DataFrame) -> DataFrame:
-    event = _pick(VIP_EVENTS, _c("i"))
-    days = _pick((31, 30, 366, 93), _c("k"))
-    success = event == "vip_pay_success"
-    properties = F.struct(
-        (_c("k") % 3).alias("current_vip_type"),
-        _pick(("monthly", "auto_monthly", "yearly", None), _c("k")).alias("plan_id"),
-        _pick(("m", "am", "y", "q"), _c("k")).alias("plan_name"),
-        days.alias("plan_duration_days"),
-        (_c("amount") * 100).alias("original_price"),
-        (_c("amount") * 100 - _c("k")).alias("final_price"),
-        _c("k").alias("discount_amount"),
-        _unless(_c("k") % 2 == 0, _text("CPN", _c("k") % 5)).alias("coupon_id"),
-        F.when(event.isin("vip_pay_start", "vip_pay_success"), _pick(("alipay", "wechat"), _c("k"))).alias("pay_method"),
-        F.when(success, _c("k")).alias("pay_duration_sec"),
-        F.when(success & (_c("k") % 11 != 0), _c("ms") + days.cast("bigint") * 86_400_000 - 60 * 86_400_000).alias("new_vip_expire"),
-        F.when(event == "vip_pay_fail", _text("E", _c("k") % 4)).alias("error_code"),
-        F.when(event == "vip_pay_fail", F.lit("failed")).alias("error_msg"),
-        F.when(event == "vip_pay_fail", _c("k") % 3).alias("retry_count"),
-        F.when(event == "vip_pay_cancel", F.lit("pay_page")).alias("cancel_stage"),
-        _c("event_type").alias("from"),
+    events = events.selectExpr(
+        "*", f"{pick(VIP_EVENTS, 'i')} AS step", "get(array(31, 30, 366, 93), CAST(k % 4 AS INT)) AS days"
     )
-    number = F.when(event == "vip_page_view", F.lit("")).otherwise(_unless(_c("i") % 101 == 0, order_no()))
-    body = _envelope(VIP_EVENTS, _c("ms"), number.alias("order_no"), properties=properties)
-    return events.select(body.alias("json_str"), "dt", F.lit("app_event_vip").alias("topic"), "ms")
+    properties = struct(**{
+        "current_vip_type": "k % 3",
+        "plan_id": pick(("monthly", "auto_monthly", "yearly", None), "k"),
+        "plan_name": pick(("m", "am", "y", "q"), "k"),
+        "plan_duration_days": "days",
+        "original_price": "amount * 100",
+        "final_price": "amount * 100 - k",
+        "discount_amount": "k",
+        "coupon_id": unless("k % 2 = 0", "concat('CPN', k % 5)"),
+        "pay_method": f"CASE WHEN step IN ('vip_pay_start', 'vip_pay_success') THEN {pick(('alipay', 'wechat'), 'k')} END",
+        "pay_duration_sec": "CASE WHEN step = 'vip_pay_success' THEN k END",
+        "new_vip_expire": (
+            "CASE WHEN step = 'vip_pay_success' AND k % 11 <> 0 "
+            "THEN ms + CAST(days AS BIGINT) * 86400000 - 60 * CAST(86400000 AS BIGINT) END"
+        ),
+        "error_code": "CASE WHEN step = 'vip_pay_fail' THEN concat('E', k % 4) END",
+        "error_msg": "CASE WHEN step = 'vip_pay_fail' THEN 'failed' END",
+        "retry_count": "CASE WHEN step = 'vip_pay_fail' THEN k % 3 END",
+        "cancel_stage": "CASE WHEN step = 'vip_pay_cancel' THEN 'pay_page' END",
+        "from": "event_type",
+    })
+    number = f"CASE WHEN step = 'vip_page_view' THEN '' WHEN i % 101 <> 0 THEN {ORDER_NO} END"
+    return _landed(events, _message(VIP_EVENTS, "ms", properties, order_no=number), "app_event_vip")
 
 
 def account_messages(events: DataFrame) -> DataFrame:
-    properties = F.struct(
-        _pick(("login", "share", None), _c("k")).alias("source_page"),
-        _pick(("phone", "email"), _c("k")).alias("register_type"),
-        _unless(_c("k") % 3 == 0, _pick(("ads", "friend"), _c("k"))).alias("channel"),
+    properties = struct(
+        source_page=pick(("login", "share", None), "k"),
+        register_type=pick(("phone", "email"), "k"),
+        channel=unless("k % 3 = 0", pick(("ads", "friend"), "k")),
     )
-    body = _envelope(ACCOUNT_EVENTS, _c("ms"), properties=properties)
-    return events.select(body.alias("json_str"), "dt", F.lit("app_event_account").alias("topic"), "ms")
+    return _landed(events, _message(ACCOUNT_EVENTS, "ms", properties), "app_event_account")
 
 
 def profile_messages(customer: DataFrame) -> DataFrame:
     """Two messages per account on the run day; for every fifth account the first one is newer."""
-    key = _c("c_custkey")
-    rows = customer.withColumn("rev", F.explode(F.array(F.lit(0), F.lit(1))))
-    birthday = (
-        F.when(key % 11 == 0, F.lit(""))
-        .when(key % 13 == 0, F.lit("2001-02-31"))
-        .when(key % 17 == 0, F.lit("1990/01/01"))
-        .otherwise(F.concat((F.lit(1970) + _c("c_nationkey")).cast("string"), F.lit("-06-15")))
-    )
-    later = F.when(key % 5 == 0, 1 - _c("rev")).otherwise(_c("rev"))
-    body = F.to_json(
-        F.struct(
-            key.alias("mid"),
-            F.concat(_c("c_name"), F.lit("#"), _c("rev").cast("string")).alias("nick_name"),
-            _pick(("男", "女", "保密"), key).alias("sex"),
-            F.lit("f.jpg").alias("face_url"),
-            _c("c_mktsegment").alias("sign"),
-            (_c("c_nationkey") % 7).alias("level"),
-            birthday.alias("birthday"),
-            _c("c_acctbal").alias("coins"),
-            (key % 4).alias("status"),
-            _unless(
-                key % 5 == 0, F.struct((key % 3 - 1).alias("type"), _c("c_mktsegment").alias("desc"))
-            ).alias("official_verify"),
-            F.struct(
-                F.struct(_unless(key % 7 == 0, key % 2 == 0).alias("show_fav")).alias("privacy"),
-                F.struct(_unless(key % 3 == 0, key % 2 == 0).alias("like")).alias("push"),
-                F.lower("c_mktsegment").alias("theme"),
-            ).alias("settings"),
-            F.when(key % 4 == 1, F.array().cast("array<string>"))
-            .when(key % 4 == 2, F.array(F.lit("a"), F.lit("b")))
-            .when(key % 4 == 3, F.array(F.lit("x, y"), _c("c_mktsegment")))
-            .alias("tags"),
-            (F.lit(1600000000000) + key * 3600000).alias("created_at"),
-            (F.lit(1704000000000) + later * 1000).alias("updated_at"),
-        )
-    )
-    return rows.select(
-        body.alias("json_str"), F.lit(RUN_DAY).alias("dt"), F.lit("app_user_profile").alias("topic"),
-        F.lit(1706580000000).alias("ms"),
+    rows = customer.selectExpr("*", "explode(array(0, 1)) AS rev")
+    body = struct(
+        mid="c_custkey",
+        nick_name="concat(c_name, '#', rev)",
+        sex=pick(("男", "女", "保密"), "c_custkey"),
+        face_url="'f.jpg'",
+        sign="c_mktsegment",
+        level="c_nationkey % 7",
+        birthday=(
+            "CASE WHEN c_custkey % 11 = 0 THEN '' WHEN c_custkey % 13 = 0 THEN '2001-02-31' "
+            "WHEN c_custkey % 17 = 0 THEN '1990/01/01' ELSE concat(1970 + c_nationkey, '-06-15') END"
+        ),
+        coins="c_acctbal",
+        status="c_custkey % 4",
+        official_verify=unless("c_custkey % 5 = 0", struct(type="c_custkey % 3 - 1", desc="c_mktsegment")),
+        settings=struct(
+            privacy=struct(show_fav=unless("c_custkey % 7 = 0", "c_custkey % 2 = 0")),
+            push=struct(like=unless("c_custkey % 3 = 0", "c_custkey % 2 = 0")),
+            theme="lower(c_mktsegment)",
+        ),
+        tags=(
+            "CASE c_custkey % 4 WHEN 1 THEN CAST(array() AS ARRAY<STRING>) WHEN 2 THEN array('a', 'b') "
+            "WHEN 3 THEN array('x, y', c_mktsegment) END"
+        ),
+        created_at="1600000000000 + c_custkey * 3600000",
+        updated_at="1704000000000 + 1000 * CASE WHEN c_custkey % 5 = 0 THEN 1 - rev ELSE rev END",
     )
+    return _landed(rows, f"to_json({body}) AS json_str", "app_user_profile", f"'{RUN_DAY}'", "1706580000000")
 
 
 def content_messages(part: DataFrame) -> DataFrame:
     """A message per video the day before (even keys) or on the run day (odd keys), and a second
     version on the run day for every third."""
-    key = _c("p_partkey")
-    rows = part.withColumn(
-        "rev", F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    )
-    body = F.to_json(
-        F.struct(
-            _text("BV", key).alias("bvid"),
-            F.concat(_c("p_name"), F.lit(" v"), _c("rev").cast("string")).alias("title"),
-            _c("p_type").alias("desc_text"),
-            (_c("p_size") * 10).alias("duration"),
-            (F.lit(1690000000000) + key * 1000).alias("pubdate"),
-            _c("p_size").alias("mid"),
-            _c("p_size").alias("category_id"),
-            _c("p_brand").alias("category_name"),
-            F.lit(0).alias("state"),
-            F.lit(0).alias("attribute"),
-            (key % 2 == 0).alias("is_private"),
-            F.struct(F.lit("1.2.3.4").alias("upload_ip"), _c("p_size").alias("fps")).alias("meta_info"),
-            F.struct(key.alias("view")).alias("stats"),
-            (F.lit(1690000000000) + key * 1000).alias("created_at"),
-            F.when(_c("rev") == 1, F.lit(1706600000000)).otherwise(F.lit(1704000000000) + key).alias("updated_at"),
-        )
-    )
-    day = F.when((_c("rev") == 1) | (key % 2 == 1), F.lit(RUN_DAY)).otherwise(F.lit(DAY_BEFORE))
-    return rows.select(
-        body.alias("json_str"), day.alias("dt"), F.lit("app_video_content").alias("topic"),
-        F.lit(1706580000000).alias("ms"),
+    rows = part.selectExpr("*", "explode(CASE WHEN p_partkey % 3 = 0 THEN array(0, 1) ELSE array(0) END) AS rev")
+    body = struct(
+        bvid="concat('BV', p_partkey)",
+        title="concat(p_name, ' v', rev)",
+        desc_text="p_type",
+        duration="p_size * 10",
+        pubdate="1690000000000 + p_partkey * 1000",
+        mid="p_size",
+        category_id="p_size",
+        category_name="p_brand",
+        state="0",
+        attribute="0",
+        is_private="p_partkey % 2 = 0",
+        meta_info=struct(upload_ip="'1.2.3.4'", fps="p_size"),
+        stats=struct(view="p_partkey"),
+        created_at="1690000000000 + p_partkey * 1000",
+        updated_at="CASE WHEN rev = 1 THEN 1706600000000 ELSE 1704000000000 + p_partkey END",
     )
+    day = f"CASE WHEN rev = 1 OR p_partkey % 2 = 1 THEN '{RUN_DAY}' ELSE '{DAY_BEFORE}' END"
+    return _landed(rows, f"to_json({body}) AS json_str", "app_video_content", day, "1706580000000")
 
 
 def comment_entity_messages(events: DataFrame) -> DataFrame:
     """A message per event of creating or updating a comment."""
-    rows = events.where(_pick(COMMENT_EVENTS, _c("i")).isin("comment_create", "comment_update"))
-    body = F.to_json(
-        F.struct(
-            _rpid().alias("rpid"),
-            _bvid().alias("oid"),
-            F.lit(1).alias("otype"),
-            _c("uid").alias("mid"),
-            F.when(_c("i") % 2 == 0, 0).otherwise(_rpid() + 1).alias("root"),
-            F.when(_c("i") % 2 == 0, 0).otherwise(_rpid() + 1).alias("parent"),
-            _text("c", _c("i")).alias("content"),
-            F.lit(0).alias("state"),
-            (_c("ms") - 1000).alias("created_at"),
-            _c("ms").alias("updated_at"),
-        )
+    rows = events.where(f"{pick(COMMENT_EVENTS, 'i')} IN ('comment_create', 'comment_update')")
+    above = f"CASE WHEN i % 2 = 0 THEN 0 ELSE {RPID} + 1 END"
+    body = struct(
+        rpid=RPID,
+        oid=BVID,
+        otype="1",
+        mid="uid",
+        root=above,
+        parent=above,
+        content="concat('c', i)",
+        state="0",
+        created_at="ms - 1000",
+        updated_at="ms",
     )
-    return rows.select(body.alias("json_str"), "dt", F.lit("app_comment").alias("topic"), "ms")
+    return _landed(rows, f"to_json({body}) AS json_str", "app_comment")
 
 
 MAKERS = {
@@ -347,6 +299,6 @@ def raw_messages(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     branches = []
     for name in names or MAKERS:
         source, maker = MAKERS[name]
-        rows = table(spark, sf_dir, source)
+        rows = spread(table(spark, sf_dir, source))
         branches.append(maker(shape_events(rows) if source == "events" else rows))
     return reduce(DataFrame.unionByName, branches)

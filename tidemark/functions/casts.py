@@ -16,15 +16,18 @@ def as_whole(value: Column | str, type_name: str = "bigint") -> Column:
     return F.coalesce(text.try_cast(type_name), text.try_cast("decimal(38,6)").try_cast(type_name))
 
 
-def as_type(value: Column | str, type_name: str) -> Column:
-    """Null-on-failure cast of text to any of the column types the tables use."""
+def typed_sql(text: str, type_name: str) -> str:
+    """SQL that turns a text expression into a column type, null where the text does not fit.
+
+    ``flag`` is a boolean of the words true and false only, in any case.
+    """
     if type_name == "string":
-        return _column(value)
+        return text
     if type_name in ("bigint", "int"):
-        return as_whole(value, type_name)
+        return f"coalesce(try_cast({text} AS {type_name}), try_cast(try_cast({text} AS decimal(38,6)) AS {type_name}))"
     if type_name == "flag":
-        return parse_bool_ci(value)
-    return _column(value).try_cast(type_name)
+        return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
+    return f"try_cast({text} AS {type_name})"
 
 
 def parse_bool_ci(value: Column | str) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.casts import as_type
+from tidemark.functions.casts import typed_sql
 
 
 class JsonField(NamedTuple):
@@ -64,16 +64,13 @@ def extract_json(
         inner = _text_schema(sorted(p[1:] for p in paths if len(p) > 1 and p[0] == name))
         parsed = parsed.withColumn(f"doc_{name}", F.from_json(F.col(f"doc.{name}"), inner))
 
-    def value(path: tuple[str, ...]) -> Column:
-        if len(path) > 1 and path[0] in both:
-            column = F.col(f"doc_{path[0]}")
-            steps = path[1:]
+    def value(field: JsonField) -> str:
+        steps = list(field.path)
+        if len(steps) > 1 and steps[0] in both:
+            steps[0] = f"doc_{steps[0]}"
         else:
-            column, steps = F.col("doc"), path
-        for step in steps:
-            column = column.getField(step)
-        return column
+            steps.insert(0, "doc")
+        text = ".".join(f"`{step}`" for step in steps)
+        return f"{typed_sql(text, field.type_name)} AS `{field.name}`"
 
-    return parsed.select(
-        *carry, *(as_type(value(f.path), f.type_name).alias(f.name) for f in fields)
-    )
+    return parsed.selectExpr(*carry, *(value(field) for field in fields))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
@@ -66,3 +66,16 @@ def stream_session(spark: SparkSession) -> SparkSession:
     sibling.conf.set("spark.sql.shuffle.partitions", str(min(configured, max(cores, 1))))
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return sibling
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan that is too small to occupy the cores, dealt out over them.
+
+    A scan of at least a split per core is returned as it is, so big tables are never shuffled
+    here. The size is the one the planner knows from the file listing.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(df._jdf.queryExecution().sparkSession().sessionState().conf().filesMaxPartitionBytes())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
