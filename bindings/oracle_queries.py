@@ -375,6 +375,12 @@ sql("speed_video", f"""SELECT t.dt, t.bvid, t.mid, v.title, {ints('duration pubd
   {_nulls('view_user_count avg_play_duration_sec', 'BIGINT')}
   FROM (SELECT dt, bvid, mid, {interactions(True)} {_COUNTED} GROUP BY dt, bvid, mid) t
   LEFT JOIN video v ON v.bvid = t.bvid LEFT JOIN account a ON a.mid = t.mid""")
+sql("stream_video_lookup", f"""SELECT t.dt || ' 00:00:00' AS window_start, t.bvid, t.mid,
+  CASE WHEN v.bvid IS NOT NULL THEN p_name || (CASE WHEN again THEN ' v1' ELSE ' v0' END) END AS title, {ints('duration pubdate', 'v.')},
+  CAST(v.mid AS BIGINT) AS category_id, {day_text('v.pubdate')} AS pub_date, v.category_name,
+  {ints(UPLOADER_INTS, 'a.')}, {cols(UPLOADER_PLAIN, 'a.')}, {ints(VIDEO_METRICS, 't.')}
+  FROM (SELECT dt, bvid, mid, {interactions(True)} {_COUNTED} GROUP BY dt, bvid, mid) t
+  LEFT JOIN parts v ON v.bvid = t.bvid LEFT JOIN account a ON a.mid = t.mid AND a.updated_ms IS NOT NULL""")
 _LIVE_ORDERS = f"""SELECT dt, {ORDER_KEYS.replace(' ', ', ')}, current_vip_type, count(*) AS order_cnt, count(DISTINCT mid) AS order_user_cnt,
   {', '.join(f'CAST(sum({n}) AS DOUBLE) AS {n}' for n in AMOUNTS.split())}, CAST(max(pay_duration_sec) AS BIGINT) AS pay_duration_sec,
   {', '.join(f'CAST({v} AS BIGINT) AS {n}' for n, v in {'plan_duration_days': 0, 'age': -1, 'birth_year': -1, 'level': -1, 'official_type': -1, 'account_age_days': -1, 'follower_cnt': -1}.items())},
@@ -450,8 +456,13 @@ sql("speed_comment_counters", f"""SELECT dt, target AS rpid, oid, CAST({net(('co
 _CHANGING = ("vip_create_order", "vip_pay_success", "vip_pay_fail", "vip_pay_cancel")
 _PAID = f"""SELECT *, lag(event_id) OVER o AS prior, lag(ms) OVER o AS prior_ms FROM oe
   WHERE order_no IS NOT NULL AND order_no <> '' AND {when('event_id', _CHANGING)} WINDOW o AS (PARTITION BY order_no ORDER BY ms, event_id)"""
-sql("stream_pending_orders", f"""SELECT order_no, mid, plan_id, new_expire AS new_vip_expire, ms AS server_ts,
-  coalesce(prior = 'vip_create_order' AND ms - prior_ms <= 21600000, false) AS was_pending FROM ({_PAID}) WHERE event_id = 'vip_pay_success'""")
+sql("stream_order_changes", f"""SELECT order_no, mid, plan_id, new_expire AS new_vip_expire, ms AS server_ts,
+  CASE event_id WHEN 'vip_create_order' THEN 'created' WHEN 'vip_pay_success' THEN 'paid' ELSE 'ended' END AS change,
+  coalesce(prior = 'vip_create_order' AND ms - prior_ms <= 21600000, false) AS was_pending FROM ({_PAID})""")
+sql("stream_pending_orders", f"""SELECT order_no, mid, ms AS server_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY ms DESC) AS rn FROM ({_PAID}))
+  WHERE rn = 1 AND event_id = 'vip_create_order'
+  AND ms + 21600000 >= (SELECT max(ms) - 5000 FROM oe WHERE order_no IS NOT NULL AND order_no <> '' AND {when('event_id', _CHANGING)})""")
 sql("stream_vip_updates", f"""SELECT reverse(CAST(mid AS VARCHAR)) AS rowkey, ms AS version,
   CASE WHEN plan_id IN ('monthly', 'auto_monthly') THEN '1' ELSE '2' END AS status__vip_type,
   CASE WHEN plan_id IN ('monthly', 'auto_monthly') THEN '月度大会员' ELSE '年度大会员' END AS status__vip_type_name,

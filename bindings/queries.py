@@ -30,12 +30,13 @@ from tidemark.operators.snapshots import (
 )
 from tidemark.plans import detail, dims, serving, stats, summaries
 from tidemark.session import stream_session, work_path
-from tidemark.sources.changelog import read_columns
+from tidemark.sources.changelog import read_columns, read_latest, upsert_versioned
 from tidemark.sources.raw import read_raw
 from tidemark.sources.tables import Tables
 from tidemark.streaming import dims as live_dims
 from tidemark.streaming import orders as live_orders
 from tidemark.streaming import summaries as live
+from tidemark.streaming.lookups import start_enriched
 from tidemark.streaming.landing import land_raw_events
 from tidemark.streaming.runs import run_to_end, start
 
@@ -185,6 +186,16 @@ class Book:
         before = self._day("dim_comment_df", DAY_BEFORE, before)
         return dims.comment_snapshot(RUN_DAY, run_ts(), dims.comment_entities(entities, RUN_DAY), _today(daily), before)
 
+    @cached_property
+    def video_wide(self) -> DataFrame:
+        """Wide video rows from the messages alone, as the live attribute stream writes them."""
+        changes = live_dims.video_attributes(self.raw("app_video_content"))
+        return latest_by_key(changes, ["rowkey"], ["version"])
+
+    @cached_property
+    def account_wide(self) -> DataFrame:
+        return serving.account_rows(self.accounts, RUN_DAY)
+
     def registry(self) -> DataFrame:
         fresh = summaries.registry_source(self.accounts, self.accounts_before, run_ts())
         return fresh.withColumn("dt", F.lit(RUN_DAY))
@@ -641,8 +652,7 @@ def speed_account_columns(spark, sf_dir):
 
 @query
 def speed_video_columns(spark, sf_dir):
-    changes = live_dims.video_attributes(Book(spark, sf_dir).raw("app_video_content"))
-    return plain(latest_by_key(changes, ["rowkey"], ["version"]))
+    return plain(Book(spark, sf_dir).video_wide)
 
 
 @query
@@ -701,6 +711,24 @@ def stream_uploader(spark, sf_dir):
     return _live_stream(spark, sf_dir, live.UPLOADER, topics.video_messages)
 
 
+@query
+def stream_video_lookup(spark, sf_dir):
+    """Live totals per video and account, with columns looked up in the wide rows."""
+    path, book = work_path(spark, "video-lookup"), Book(spark, sf_dir)
+    book.video_wide.write.parquet(f"{path}/videos")
+    book.account_wide.write.parquet(f"{path}/accounts")
+    raw = topics.video_messages(_event_stream(spark, sf_dir))
+    query_run = start_enriched(
+        live.VIDEO.totals(live.VIDEO.parse(raw)),
+        lambda: spark.read.parquet(f"{path}/videos"),
+        lambda: spark.read.parquet(f"{path}/accounts"),
+        upsert_versioned(f"{path}/rows", "video"),
+        f"{path}/checkpoint",
+    )
+    run_to_end(query_run)
+    return plain(read_latest(spark, f"{path}/rows", ["window_start", "bvid", "mid"]).drop("window_end"))
+
+
 @query
 def stream_vip_order(spark, sf_dir):
     return _live_stream(spark, sf_dir, live.VIP_ORDER, topics.vip_messages)
@@ -716,17 +744,29 @@ def stream_registration_source(spark, sf_dir):
     return _live_stream(spark, sf_dir, live.REGISTRATION_SOURCE, topics.account_messages)
 
 
-@query
-def stream_pending_orders(spark, sf_dir):
-    path = work_path(spark, "pending")
+def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "order-changes")
     raw = topics.vip_messages(_event_stream(spark, sf_dir))
-    paid = live_orders.pending_orders(live_orders.order_events(raw), ttl_seconds=6 * 3600)
+    changes = live_orders.order_changes(live_orders.order_events(raw), ttl_seconds=6 * 3600)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
 
-    run_to_end(start(paid, write, f"{path}/checkpoint", mode="append"))
-    return plain(spark.read.schema(live_orders.PAID_SCHEMA).parquet(f"{path}/rows/batch_id=*"))
+    run_to_end(start(changes, write, f"{path}/checkpoint", mode="append"))
+    return spark.read.schema(live_orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
+
+
+@query
+def stream_order_changes(spark, sf_dir):
+    changes = _order_changes(spark, sf_dir)
+    return plain(changes.where(F.col("change") != "expired"))
+
+
+@query
+def stream_pending_orders(spark, sf_dir):
+    """Orders still pending at the end of the stream, those past their time limit left out."""
+    pending = live_orders.pending_orders(_order_changes(spark, sf_dir))
+    return plain(pending.select("order_no", "mid", "server_ts"))
 
 
 @query

@@ -36,10 +36,12 @@ def milestones(event: str = "event_id", at: str = "server_ts") -> list[Column]:
     ]
 
 
-def accumulate_order(events: DataFrame, keys: list[str], newest: bool = False) -> DataFrame:
+def accumulate_order(
+    events: DataFrame, keys: list[str], newest: bool = False, extra: tuple[Column, ...] = ()
+) -> DataFrame:
     """One row per order: folded fields, status by priority, milestone times.
 
-    "Any value" fields keep the largest one; with ``newest`` the last non-null one by
+    ``extra`` aggregates are added as they are. "Any value" fields keep the largest one; with ``newest`` the last non-null one by
     ``server_ts``. All folds combine map-side, so an order key with many events is no hot spot.
     """
 
@@ -55,4 +57,5 @@ def accumulate_order(events: DataFrame, keys: list[str], newest: bool = False) -
         status_by_priority().alias("order_status"),
         *milestones(),
         *(F.min(name).alias(name) for name in KEEP_MIN if name in present),
+        *extra,
     )

@@ -19,6 +19,8 @@ PAIR_SCHEMA = (
     "block_fwd boolean, block_bwd boolean, chg_fwd int, chg_bwd int"
 )
 DEFAULT_INLINE_LIMIT = 100_000
+BROADCAST_ROWS = 1_000_000
+SLICES = 64
 
 # Which event adds to and which removes from each relation.
 ADDING = {"follow": "social_follow", "block": "social_block"}
@@ -154,13 +156,20 @@ def relation_lists(
     """Sorted id lists per account, for accounts of at most ``inline_limit`` live relations.
 
     Larger accounts get no row: their members are the pairs themselves, complete and unbounded.
-    The exclusion is an anti join, so a hot account's rows are dropped before anything is collected;
-    its skewed partition is split by AQE, and the excluded set is broadcast only if it turns out small.
+    Their rows are dropped before anything is shuffled by account: the set of large accounts is
+    counted first and broadcast when it has at most ``BROADCAST_ROWS`` ids. Beyond that the anti
+    join runs on (account, slice of the other id), which spreads a large account over the slices.
     """
     size = sum((F.col(f"{name}_cnt") for name in LISTS), F.lit(0))
     oversized = counts.where(size > inline_limit).select("mid")
-    rows = account_sides(live_pairs(pairs)).join(oversized, "mid", "left_anti")
-    return rows.groupBy("mid").agg(
+    rows = account_sides(live_pairs(pairs))
+    if oversized.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        kept = rows.join(F.broadcast(oversized), "mid", "left_anti")
+    else:
+        sliced = oversized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+        by_slice = rows.withColumn("slice", F.pmod(F.xxhash64("other"), F.lit(SLICES)).cast("int"))
+        kept = by_slice.join(sliced, ["mid", "slice"], "left_anti")
+    return kept.groupBy("mid").agg(
         *(
             F.sort_array(F.collect_list(F.when(F.col(name), F.col("other")))).alias(f"{name}_list")
             for name in LISTS

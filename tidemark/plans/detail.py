@@ -249,7 +249,8 @@ def vip_orders(
     events = require(rows, not_blank=("order_no",)).withColumn("server_ts", as_whole("server_ts_text"))
     if not lookback_days:
         return accumulate_order(events, ["dt", "order_no"], newest)
-    by_day = events.withColumn("on_day", F.col("dt") == dt)
-    seen_today = by_day.where("on_day").select("order_no").distinct()
-    whole = by_day.join(seen_today, "order_no", "left_semi")
-    return accumulate_order(whole, ["order_no"], newest).withColumn("dt", F.lit(dt))
+    # Orders without an event on the day are dropped after the fold, which combines map-side;
+    # a semi join on the order would bring all events of a hot order into one task first.
+    seen = F.bool_or(F.col("dt") == dt).alias("seen_today")
+    folded = accumulate_order(events, ["order_no"], newest, (seen,))
+    return folded.where("seen_today").drop("seen_today").withColumn("dt", F.lit(dt))

@@ -175,7 +175,7 @@ def account_snapshot(
 
     List columns are filled for accounts with at most ``inline_limit`` relations (None: no lists);
     above that they stay null and the members are read from the pairs. Counts are always exact.
-    All joins are on ``mid``, so every input is shuffled once.
+    Everything meets on ``mid``: each input is shuffled by it once.
     """
     counts = relation_counts(pairs)
     parts = {
@@ -186,9 +186,10 @@ def account_snapshot(
     if previous is not None:
         kept = previous.select("mid", "vip_type", "vip_expire", *(PROFILE_CARRIED if carry_forward else ()))
         parts["old"] = kept.withColumnsRenamed({c: f"old_{c}" for c in kept.columns if c != "mid"})
-    if inline_limit is not None:
-        parts["lists"] = relation_lists(pairs, counts, inline_limit)
     known = fold_by_key(parts, ["mid"]).select("mid", *(f"{name}.*" for name in parts))
+    if inline_limit is not None:
+        # Both sides are partitioned by mid already, so the lists are not moved once more.
+        known = known.join(relation_lists(pairs, counts, inline_limit), "mid", "left")
     if previous is None:
         known = known.withColumns(
             {"old_vip_type": F.lit(None).cast("int"), "old_vip_expire": F.lit(None).cast("timestamp")}

@@ -13,23 +13,30 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemark.functions.derive import reverse_key
 from tidemark.functions.labels import vip_type_from_plan, vip_type_name
 from tidemark.operators.rows import require
+from tidemark.operators.snapshots import latest_by_key
 from tidemark.plans.serving import SECONDS
 from tidemark.sources.streams import parse_messages, with_event_time
 from tidemark.streaming import schemas
 from tidemark.streaming.dims import start_upsert
 
 DEFAULT_TTL_SECONDS = 3600
-PAID_SCHEMA = (
-    "order_no string, mid bigint, plan_id string, new_vip_expire bigint, server_ts bigint, was_pending boolean"
+CHANGE_SCHEMA = (
+    "order_no string, change string, mid bigint, plan_id string, new_vip_expire bigint, server_ts bigint, "
+    "was_pending boolean"
 )
-ENDING_EVENTS = ("vip_pay_success", "vip_pay_fail", "vip_pay_cancel")
-
+# What an event does to its order.
+CHANGES = {
+    "vip_create_order": "created",
+    "vip_pay_success": "paid",
+    "vip_pay_fail": "ended",
+    "vip_pay_cancel": "ended",
+}
 
 def order_events(raw: DataFrame, delay: str = "5 seconds") -> DataFrame:
     """Order events that change an order's state, with event time; unreadable messages are dropped."""
     messages = parse_messages(raw.where(F.col("topic") == "app_event_vip"), schemas.VIP_EVENT)
     known = require(messages, not_null=("server_ts",), not_blank=("order_no",))
-    changing = known.where(F.col("event_id").isin("vip_create_order", *ENDING_EVENTS))
+    changing = known.where(F.col("event_id").isin(*CHANGES))
     return with_event_time(changing, delay=delay).select(
         "order_no",
         "event_id",
@@ -41,8 +48,8 @@ def order_events(raw: DataFrame, delay: str = "5 seconds") -> DataFrame:
     )
 
 
-def pending_orders(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
-    """Paid orders, each with whether it was pending when paid.
+def order_changes(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
+    """The state changes of orders: created, paid, ended, expired, and whether the order was pending.
 
     Creating an order makes it pending; paying, failing or cancelling ends that; a pending order is
     forgotten ``ttl_seconds`` after its creation. A payment is passed on in any case. The limit is
@@ -50,26 +57,25 @@ def pending_orders(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) ->
     number, and its rows are taken batch by batch, never as a whole.
     """
     ttl_ms = ttl_seconds * 1000
+    changes = dict(CHANGES)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        created = state.get[0] if state.exists else None
         if state.hasTimedOut:
             state.remove()
+            yield pd.DataFrame(
+                {"order_no": [key[0]], "change": ["expired"], "mid": [None], "plan_id": [None],
+                 "new_vip_expire": [None], "server_ts": [created + ttl_ms], "was_pending": [True]}
+            ).astype({"mid": "Int64", "new_vip_expire": "Int64"})
             return
-        created = state.get[0] if state.exists else None
         for rows in batches:
             rows = rows.sort_values(["server_ts", "event_id"], kind="stable")
-            paid_at, pending = [], []
-            for position, (event, at) in enumerate(zip(rows["event_id"], rows["server_ts"], strict=True)):
-                if event == "vip_create_order":
-                    created = int(at)
-                    continue
-                if event == "vip_pay_success":
-                    paid_at.append(position)
-                    pending.append(created is not None and int(at) - created <= ttl_ms)
-                created = None
-            if paid_at:
-                columns = ["order_no", "mid", "plan_id", "new_vip_expire", "server_ts"]
-                yield rows.iloc[paid_at][columns].assign(was_pending=pending)
+            pending = []
+            for event, at in zip(rows["event_id"], rows["server_ts"], strict=True):
+                pending.append(created is not None and int(at) - created <= ttl_ms)
+                created = int(at) if event == "vip_create_order" else None
+            columns = ["order_no", "mid", "plan_id", "new_vip_expire", "server_ts"]
+            yield rows[columns].assign(change=rows["event_id"].map(changes), was_pending=pending)
         if created is None:
             if state.exists:
                 state.remove()
@@ -78,10 +84,22 @@ def pending_orders(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) ->
         state.setTimeoutTimestamp(max(created + ttl_ms, state.getCurrentWatermarkMs() + 1))
 
     return events.groupBy("order_no").applyInPandasWithState(
-        step, PAID_SCHEMA, "created bigint", "append", GroupStateTimeout.EventTimeTimeout
+        step, CHANGE_SCHEMA, "created bigint", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
+def pending_orders(changes: DataFrame) -> DataFrame:
+    """Orders that are pending after the given changes: those whose last change created them."""
+    return latest_by_key(changes, ["order_no"], ["server_ts"]).where(F.col("change") == "created")
+
+
+def paid_orders(events: DataFrame) -> DataFrame:
+    """The payments among order events. A payment counts whether or not its order was pending, so
+    membership updates need no state at all."""
+    paid = events.where(F.col("event_id") == "vip_pay_success")
+    return paid.select("order_no", "mid", "plan_id", "new_vip_expire", "server_ts")
+
+
 def vip_updates(paid: DataFrame, run_ts: Column, expire_unit: str = "s") -> DataFrame:
     """Membership columns of the accounts that paid; rows without account or expiry are skipped."""
     kept = require(paid, not_null=("mid", "new_vip_expire"))
@@ -108,9 +126,8 @@ def start_vip_updates(
     checkpoint: str,
     run_ts: Column,
     trigger: str | None = None,
-    ttl_seconds: int = DEFAULT_TTL_SECONDS,
     expire_unit: str = "s",
 ) -> StreamingQuery:
     """Order messages to membership columns in the account table at ``path``."""
-    paid = pending_orders(order_events(raw), ttl_seconds)
+    paid = paid_orders(order_events(raw))
     return start_upsert(vip_updates(paid, run_ts, expire_unit), path, "vip_orders", checkpoint, trigger)
