@@ -747,7 +747,7 @@ def stream_registration_source(spark, sf_dir):
 def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "order-changes")
     raw = topics.vip_messages(_event_stream(spark, sf_dir))
-    changes = live_orders.order_changes(live_orders.order_events(raw), ttl_seconds=6 * 3600)
+    changes = live_orders.order_changes(live_orders.order_events(raw), ttl_seconds=6 * 3600, slices=64)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Table columns and types, in table order.
@@ -152,11 +151,8 @@ def table_schema(name: str) -> T.StructType:
 def cast_to_schema(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = ()) -> DataFrame:
     """The table's columns in order and type; absent columns become typed nulls."""
     present = set(df.columns)
-    return df.select(
-        *(
-            (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in schema.fields
-        ),
-        *extra,
+    body = (
+        f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in schema.fields
     )
+    return df.selectExpr(*body, *extra)

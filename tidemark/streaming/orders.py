@@ -20,6 +20,7 @@ from tidemark.streaming import schemas
 from tidemark.streaming.dims import start_upsert
 
 DEFAULT_TTL_SECONDS = 3600
+DEFAULT_SLICES = 1024
 CHANGE_SCHEMA = (
     "order_no string, change string, mid bigint, plan_id string, new_vip_expire bigint, server_ts bigint, "
     "was_pending boolean"
@@ -48,43 +49,57 @@ def order_events(raw: DataFrame, delay: str = "5 seconds") -> DataFrame:
     )
 
 
-def order_changes(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
+def order_changes(
+    events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS, slices: int = DEFAULT_SLICES
+) -> DataFrame:
     """The state changes of orders: created, paid, ended, expired, and whether the order was pending.
 
     Creating an order makes it pending; paying, failing or cancelling ends that; a pending order is
     forgotten ``ttl_seconds`` after its creation. A payment is passed on in any case. The limit is
-    measured in event time, so a replay of the stream gives the same rows. An order's state is one
-    number, and its rows are taken batch by batch, never as a whole.
+    measured in event time, so a replay of the stream gives the same rows.
+
+    State is kept per slice of the order numbers, holding the slice's pending orders, so that rows
+    are worked off by column operations on whole Arrow batches instead of order by order. A slice
+    holds its share of the orders of the last ``ttl_seconds``; ``slices`` sets how many there are
+    and stays fixed for the life of a checkpoint. Rows are taken batch by batch, in arrival order
+    between batches and in time order within one.
     """
-    ttl_ms = ttl_seconds * 1000
-    changes = dict(CHANGES)
+    ttl_ms, changes = ttl_seconds * 1000, dict(CHANGES)
+    given = ["order_no", "event_id", "server_ts", "mid", "plan_id", "new_vip_expire"]
+    names = ["order_no", "change", "mid", "plan_id", "new_vip_expire", "server_ts", "was_pending"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        created = state.get[0] if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame(
-                {"order_no": [key[0]], "change": ["expired"], "mid": [None], "plan_id": [None],
-                 "new_vip_expire": [None], "server_ts": [created + ttl_ms], "was_pending": [True]}
-            ).astype({"mid": "Int64", "new_vip_expire": "Int64"})
-            return
-        for rows in batches:
-            rows = rows.sort_values(["server_ts", "event_id"], kind="stable")
-            pending = []
-            for event, at in zip(rows["event_id"], rows["server_ts"], strict=True):
-                pending.append(created is not None and int(at) - created <= ttl_ms)
-                created = int(at) if event == "vip_create_order" else None
-            columns = ["order_no", "mid", "plan_id", "new_vip_expire", "server_ts"]
-            yield rows[columns].assign(change=rows["event_id"].map(changes), was_pending=pending)
-        if created is None:
+        orders, created = state.get if state.exists else ([], [])
+        held = pd.DataFrame({"order_no": list(orders), "server_ts": pd.Series(list(created), dtype="int64")})
+        if not state.hasTimedOut:
+            for rows in batches:
+                held["event_id"], held["fresh"] = "vip_create_order", False
+                both = pd.concat([held, rows[given].assign(fresh=True)], ignore_index=True)
+                both = both.sort_values(["order_no", "fresh", "server_ts", "event_id"], kind="stable")
+                prior = both.groupby("order_no", sort=False)[["event_id", "server_ts"]].shift()
+                age = both["server_ts"] - prior["server_ts"]
+                both["was_pending"] = (prior["event_id"] == "vip_create_order") & (age <= ttl_ms)
+                both["change"] = both["event_id"].map(changes)
+                yield both.loc[both["fresh"].astype(bool), names]
+                last = both.drop_duplicates("order_no", keep="last")
+                held = last.loc[last["event_id"] == "vip_create_order", ["order_no", "server_ts"]]
+                held = held.reset_index(drop=True)
+        watermark = state.getCurrentWatermarkMs()
+        over = held["server_ts"] + ttl_ms < watermark
+        if over.any():
+            gone = held[over].assign(change="expired", mid=None, plan_id=None, new_vip_expire=None, was_pending=True)
+            yield gone.assign(server_ts=gone["server_ts"] + ttl_ms)[names]
+        held = held[~over]
+        if held.empty:
             if state.exists:
                 state.remove()
             return
-        state.update((created,))
-        state.setTimeoutTimestamp(max(created + ttl_ms, state.getCurrentWatermarkMs() + 1))
+        state.update((held["order_no"].tolist(), held["server_ts"].tolist()))
+        state.setTimeoutTimestamp(max(int(held["server_ts"].min()) + ttl_ms, watermark + 1))
 
-    return events.groupBy("order_no").applyInPandasWithState(
-        step, CHANGE_SCHEMA, "created bigint", "append", GroupStateTimeout.EventTimeTimeout
+    sliced = events.withColumn("slice", F.pmod(F.xxhash64("order_no"), F.lit(slices)))
+    return sliced.groupBy("slice").applyInPandasWithState(
+        step, CHANGE_SCHEMA, "orders array<string>, created array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
