@@ -10,7 +10,7 @@ from tidemark.plans import detail, stats
 from tidemark.plans.nightly import run_day
 from tidemark.plans.serving import load_summary
 from tidemark.sources.raw import RAW_SCHEMA, scan_raw
-from tidemark.sources.tables import MissingSnapshot, days_back
+from tidemark.sources.tables import MissingSnapshot, Tables, days_back
 
 DAYS = ["2024-03-01", "2024-03-02", "2024-03-03"]
 DAY_MS = 86_400_000
@@ -154,6 +154,14 @@ def test_a_missing_day_before_is_an_error(spark, raw, tmp_path):
         run_day(spark, raw, str(tmp_path), DAYS[1], f"{DAYS[1]} 23:59:00")
 
 
+def test_a_half_written_day_counts_as_missing(spark, tables, tmp_path):
+    other = Tables(spark, str(tmp_path))
+    other.overwrite_partition(tables.scan_snapshot("dim_video_df", DAYS[0]), "dim_video_df", DAYS[0])
+    assert other.has_day("dim_video_df", DAYS[0])
+    (tmp_path / "dim_video_df" / f"dt={DAYS[0]}" / "_temporary").mkdir()
+    assert not other.has_day("dim_video_df", DAYS[0])
+
+
 def test_overwrite_days_leaves_other_days_alone(spark, tables, rows):
     other = spark.createDataFrame([(1, "BVx", 5, "2024-02-01")], "rpid bigint, oid string, like_count_delta int, dt string")
     before = rows(tables.read("dwd_stats_comment_di"))

@@ -56,9 +56,26 @@ def test_distinct_viewers_are_spread_before_they_are_counted(spark, tmp_path):
     assert "mid" in first and "bvid" in first
 
 
-def test_fold_by_key_shuffles_once(spark, no_broadcast):
-    parts = {n: spark.range(9).selectExpr("id AS k", f"id AS {n}") for n in "abc"}
-    assert exchanges(fold_by_key(parts, ["k"])) == 1
+def test_fold_by_key_moves_each_part_once(spark, no_broadcast):
+    parts = {n: spark.range(9).selectExpr("id AS k", f"id AS {n}") for n in "ab"}
+    parts["c"] = spark.range(9).selectExpr("id % 3 AS k", "id AS c").groupBy("k").agg(F.max("c").alias("c"))
+    plan = physical(fold_by_key(parts, ["k"]))
+    assert "Exchange" not in plan[: plan.index("Union")]
+    assert exchanges(fold_by_key(parts, ["k"])) == 3
+
+
+def test_fold_by_key_stays_whole_when_partitions_are_joined(spark, no_broadcast):
+    big = spark.range(50_000).selectExpr("id % 20000 AS k", "repeat(CAST(id AS STRING), 5) AS v")
+    big = big.groupBy("k").agg(F.max("v").alias("v"))
+    small = spark.range(300).selectExpr("id * 100 AS k", "id AS w").groupBy("k").agg(F.max("w").alias("w"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    try:
+        folded = fold_by_key({"big": big, "small": small}, ["k"])
+        assert folded.count() == 20_100
+        assert folded.where("big IS NOT NULL AND small IS NOT NULL").count() == 200
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
 
 
 def test_snapshot_meets_changes_in_one_join(spark, no_broadcast):

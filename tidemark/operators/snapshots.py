@@ -54,20 +54,18 @@ def merge_latest(
 def fold_by_key(parts: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """Put parts (one row per key each) side by side: the keys and one struct column per part.
 
-    The result is that of a chain of full outer joins, with one shuffle: a full outer join loses
-    its partitioning, so a chain would move all columns again at every link. A key has at most
-    one row per part here, so no key can be hot.
+    The result is that of a chain of full outer joins, but each part moves once: a full outer join
+    loses its partitioning, so a chain would move all columns again at every link. A key has at
+    most one row per part here, so no key can be hot.
     """
+    # Each part is dealt by key on its own, which costs nothing for parts that come out of an
+    # aggregation by the key; a union of parts dealt alike needs no shuffle of its own.
     rows = [
-        df.select(*keys, F.struct(*(c for c in df.columns if c not in keys)).alias(name))
+        df.select(*keys, F.struct(*(c for c in df.columns if c not in keys)).alias(name)).repartition(*keys)
         for name, df in parts.items()
     ]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    return (
-        union.repartition(*keys)
-        .groupBy(*keys)
-        .agg(*(F.first(name, ignorenulls=True).alias(name) for name in parts))
-    )
+    return union.groupBy(*keys).agg(*(F.first(name, ignorenulls=True).alias(name) for name in parts))
 
 
 def key_spine(keys: list[str], *frames: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,11 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidemark-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -44,9 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(SHARED_DIR_KEY, folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -44,8 +44,16 @@ class Tables:
         return self.read(name).where(F.col("dt") == dt).drop("dt")
 
     def has_day(self, name: str, dt: str) -> bool:
-        """Whether the day's partition was written; an empty but written day counts as present."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/dt={dt}")
+        """Whether the day's partition is there and committed; an empty day counts as present.
+
+        A write that broke off while its files were being published leaves its temporary folder
+        behind, and such a day counts as missing.
+        """
+        folder = f"{self.path(name)}/dt={dt}"
+        return self._exists(folder) and not self._exists(f"{folder}/_temporary")
+
+    def _exists(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return bool(system.exists(folder))
 
