@@ -82,8 +82,9 @@ class Book:
     """The jobs over one data folder: all days before the run day folded into the snapshot of the
     day before, and the run day rolled on top of it.
 
-    What later jobs read several times is written as the nightly run writes it, under the shared
-    folder, and read back: plans stay short and nothing is computed twice.
+    What a query reads several times is written as the nightly run writes it, under the shared
+    folder, and read back, so that nothing is computed twice; what it reads once (or once per
+    disjoint set of days) stays a plan.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -101,6 +102,10 @@ class Book:
         self.tables.overwrite_days(df, name)
         return self.tables.read(name)
 
+    def _known(self, name: str) -> DataFrame:
+        """The stored form of a step if this book has stored it, else the step's plan."""
+        return self.__dict__[f"stored_{name}"] if f"stored_{name}" in self.__dict__ else getattr(self, name)
+
     def raw(self, topic: str) -> DataFrame:
         return topics.raw_messages(self.spark, self.sf_dir, topic).drop("ms")
 
@@ -148,42 +153,50 @@ class Book:
     @cached_property
     def accounts_before(self) -> DataFrame:
         # Only the id and the membership state are read from it, so no lists are built.
-        snapshot = dims.account_snapshot(
+        return dims.account_snapshot(
             DAY_BEFORE, old_run_ts(), dims.profiles(self.raw("app_user_profile"), DAY_BEFORE), self.pairs_before,
-            _past(self.stored_orders), None, inline_limit=None,
+            _past(self._known("orders")), None, inline_limit=None,
         )
-        return self._day("dim_account_df", DAY_BEFORE, snapshot)
 
     @cached_property
-    def accounts(self) -> DataFrame:
+    def stored_accounts_before(self) -> DataFrame:
+        return self._day("dim_account_df", DAY_BEFORE, self.accounts_before)
+
+    def _accounts(self, inline_limit: int | None) -> DataFrame:
         return dims.account_snapshot(
             RUN_DAY, run_ts(), dims.profiles(self.raw("app_user_profile"), RUN_DAY), self.stored_pairs,
-            _today(self.stored_orders), self.accounts_before,
+            _today(self._known("orders")), self._known("accounts_before"), inline_limit=inline_limit,
         )
 
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return self._accounts(relations.DEFAULT_INLINE_LIMIT)
+
+    @cached_property
+    def accounts_without_lists(self) -> DataFrame:
+        return self._accounts(None)
+
     @cached_property
     def videos_before(self) -> DataFrame:
-        snapshot = dims.video_snapshot(
+        return dims.video_snapshot(
             DAY_BEFORE, old_run_ts(), dims.video_content(_past(self.raw("app_video_content")), None),
-            _past(self.stored_video_stats), _past(stats.reply_counts(self.comment_actions)), None,
+            _past(self._known("video_stats")), _past(stats.reply_counts(self.comment_actions)), None,
         )
-        return self._day("dim_video_df", DAY_BEFORE, snapshot)
 
     @cached_property
     def videos(self) -> DataFrame:
         return dims.video_snapshot(
             RUN_DAY, run_ts(), dims.video_content(self.raw("app_video_content"), RUN_DAY),
-            _today(self.stored_video_stats), _today(stats.reply_counts(self.comment_actions)), self.videos_before,
+            _today(self._known("video_stats")), _today(stats.reply_counts(self.comment_actions)), self.videos_before,
         )
 
     @cached_property
     def comments(self) -> DataFrame:
         entities = self.raw("app_comment")
-        daily = self._days("dwd_stats_comment_di", stats.comment_stats(self.comment_actions))
+        daily = stats.comment_stats(self.comment_actions)
         before = dims.comment_snapshot(
             DAY_BEFORE, old_run_ts(), dims.comment_entities(_past(entities), None), _past(daily), None
         )
-        before = self._day("dim_comment_df", DAY_BEFORE, before)
         return dims.comment_snapshot(RUN_DAY, run_ts(), dims.comment_entities(entities, RUN_DAY), _today(daily), before)
 
     @cached_property
@@ -197,17 +210,21 @@ class Book:
         return serving.account_rows(self.accounts, RUN_DAY)
 
     def registry(self) -> DataFrame:
-        fresh = summaries.registry_source(self.accounts, self.accounts_before, run_ts())
+        before = self.stored_accounts_before
+        fresh = summaries.registry_source(self.accounts_without_lists, before, run_ts())
         return fresh.withColumn("dt", F.lit(RUN_DAY))
 
     def uploaders(self) -> DataFrame:
-        return summaries.uploader_summary(self.stored_video_stats, self.videos, self.accounts, run_ts())
+        daily = self.stored_video_stats
+        return summaries.uploader_summary(daily, self.videos, self.accounts_without_lists, run_ts())
 
     def video_rows(self) -> DataFrame:
-        return summaries.video_summary(self.stored_video_stats, self.videos, self.accounts, run_ts())
+        daily = self.stored_video_stats
+        return summaries.video_summary(daily, self.videos, self.accounts_without_lists, run_ts())
 
     def order_source(self) -> DataFrame:
-        return summaries.order_source(self.stored_orders, self.accounts, run_ts())
+        orders = self.stored_orders
+        return summaries.order_source(orders, self.accounts_without_lists, run_ts())
 
 
 # ---- operators over the tables ---------------------------------------------------------------
@@ -626,7 +643,7 @@ def speed_video(spark, sf_dir):
     book = Book(spark, sf_dir)
     view = _live_view(spark, sf_dir, live.VIDEO)
     videos = book.videos.select("bvid", "title", "duration", "pubdate", "pub_date", "category_id", "category_name")
-    return plain(live.enrich_video_view(view, videos, book.accounts))
+    return plain(live.enrich_video_view(view, videos, book.accounts_without_lists))
 
 
 @query
