@@ -713,7 +713,8 @@ def speed_comment_counters(spark, sf_dir):
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = stream_session(spark).readStream.schema(EVENTS_SCHEMA)
-    return topics.shape_events(files.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    # A stream's plain path must be a folder; a pattern may match the table as a file or a folder.
+    return topics.shape_events(files.parquet(f"{sf_dir}/event[s].parquet"))
 
 
 def _live_stream(spark: SparkSession, sf_dir: str, summary: live.LiveSummary, messages) -> DataFrame:
@@ -805,7 +806,7 @@ def stream_column_upsert(spark, sf_dir):
 
     parts = stream_session(spark).readStream.schema(
         "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
-    ).option("pathGlobFilter", "part.parquet").parquet(sf_dir)
+    ).parquet(f"{sf_dir}/par[t].parquet")
     rows = f"{path}/rows"
     run_to_end(
         live_dims.start_upsert(

@@ -103,6 +103,10 @@ def test_a_replayed_batch_replaces_itself(spark, rows):
     sink(spark.createDataFrame([(1, 7), (2, 1)], "k int, n int"), 1)
     assert rows(changelog.read_latest(spark, path, ["k"])) == [(1, 7), (2, 1)]
     assert changelog.read_versions(spark, path).count() == 3
+    target = work_path(spark, "versions-compacted")
+    changelog.compact_latest(spark, path, target, ["k"])
+    changelog.upsert_versioned(target, "s")(spark.createDataFrame([(2, 9)], "k int, n int"), 2)
+    assert rows(changelog.read_latest(spark, target, ["k"])) == [(1, 7), (2, 9)]
 
 
 def wide(spark, rowkey, version, **families):

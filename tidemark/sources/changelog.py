@@ -51,6 +51,13 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return rows.drop("source", "batch_id")
 
 
+def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
+    """Start a new log at ``target`` with just the newest rows; the stream goes on writing there
+    with its next batch ids, which all rank after the base."""
+    newest = read_latest(spark, path, keys).hint("rebalance")
+    newest.write.mode("overwrite").parquet(f"{target}/source=base/batch_id=-1")
+
+
 def column_changes(
     df: DataFrame, key: str, version: Column, ties: tuple[str, ...] = ()
 ) -> DataFrame:
