@@ -11,18 +11,16 @@ Encoding in pieces is exact where no token can cross a piece's edge:
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
 
-MEMO_WORDS = 300_000
-# Fixed value: the characters that tokenizers' patterns take as white space.
-_WHITE = "".join(
-    map(chr, (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
-)
-_UNEVEN = re.compile(f"^ | $|[{_WHITE}] | [{_WHITE}]").search
+MEMO_WORDS = 1_000_000
+
+
+def _uneven(piece: str) -> bool:
+    """Whether a space beside this piece is at an end of its text or meets other white space."""
+    return not piece or piece != piece.strip()
 
 
 class Encoder:
@@ -37,7 +35,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.cut, self.memo_words = cut, memo_words
         self.end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
-        self.memo: dict[bytes, bytes] = {}
+        self.memo: dict[bytes, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -51,34 +49,36 @@ class Encoder:
         ends = (4 * np.cumsum(counts)).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, words: Iterable[bytes], before: bytes) -> None:
+    def _learn(self, words: set[bytes], before: str) -> None:
+        """Encodes the words that are new. When the memo is full, just the words in use stay."""
         if len(self.memo) > self.memo_words:
-            self.memo.clear()
+            self.memo = {word: self.memo[word] for word in words if word in self.memo}
         new = [word for word in words if word not in self.memo]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            self.memo.update(zip(part, self._each([(before + word).decode() for word in part])))
+            texts = [word.decode() for word in part]
+            self.memo.update(zip(part, self._each([before + text for text in texts])))
+            if before:
+                self.memo.update((word, None) for word, text in zip(part, texts) if _uneven(text))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text, null as empty, with the end id. Takes a slice of a batch at a time."""
         texts = [text or "" for text in texts]
         if self.cut == "words":
             split = [text.encode().split() for text in texts]
-            self._learn(set().union(*split), b"")
+            self._learn(set().union(*split), "")
             find = self.memo.__getitem__
             return [b"".join(map(find, words)) + self.end for words in split]
         if self.cut is None:
             return [self._whole(text) + self.end for text in texts]
-        out: list[bytes] = [b""] * len(texts)
-        even = [n for n, text in enumerate(texts) if not _UNEVEN(text)]
-        split = [texts[n].encode().split(b" ") for n in even]
-        heads = self._each([words[0].decode() for words in split])
-        self._learn(set().union(*(words[1:] for words in split)), b" ")
-        find = self.memo.__getitem__
-        for n, head, words in zip(even, heads, split):
-            out[n] = head + b"".join(map(find, words[1:])) + self.end
-        for n in set(range(len(texts))).difference(even):
-            out[n] = self._whole(texts[n]) + self.end
+        split = [text.encode().split(b" ") for text in texts]
+        heads = [words.pop(0).decode() for words in split]
+        self._learn(set().union(*split), " ")
+        find, out = self.memo.get, []
+        for text, head, ids, words in zip(texts, heads, self._each(heads), split):
+            rest = list(map(find, words))
+            even = None not in rest and not (words and _uneven(head))
+            out.append((ids + b"".join(rest) if even else self._whole(text)) + self.end)
         return out
 
 
