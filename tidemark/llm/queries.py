@@ -10,6 +10,7 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tidemark.llm.mixing import OP8_SQL, op8_mixing
 from tidemark.llm.packing import op4_packing
+from tidemark.llm.quality import OP5_SQL, op5_quality
 from tidemark.llm.records import op2_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,8 +23,9 @@ def _documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op2_records": _documents(op2_records),
     "op4_packing": _documents(op4_packing),
+    "op5_quality": _documents(op5_quality),
     "op7_exact_dedup": _documents(op7_exact_dedup),
     "op8_mixing": _documents(op8_mixing),
 }
 
-ORACLE: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
+ORACLE: dict[str, str] = {"op5_quality": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
