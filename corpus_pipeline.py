@@ -10,11 +10,17 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import deduplicate
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.packing import op4_packing
+from tidemark.llm.toxicity import drop_toxic
 from tidemark.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the network learns from ``labels`` outside its held-out fold."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     return deduplicate(docs)
@@ -31,6 +37,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
     ("mixing", mixing),
     ("packing", packing),
