@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import deduplicate
+from tidemark.llm.jaccard import drop_near_copies
 from tidemark.llm.mixing import mix_documents
 from tidemark.llm.packing import op4_packing
 from tidemark.llm.toxicity import drop_toxic
@@ -26,6 +27,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deduplicate(docs)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies stays."""
+    return drop_near_copies(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources repeated or thinned to their targets; a repeated document is a repeated row."""
     return mix_documents(docs)
@@ -39,6 +45,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
+    ("jaccard_join", jaccard_join),
     ("mixing", mixing),
     ("packing", packing),
 ]

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_fold, slices, stored
@@ -177,13 +177,13 @@ class Identifier:
 def train(rows: DataFrame, order: int = ORDER) -> ContextTrees:
     """Trees from all given rows (``lang``, ``text``, neither null). Per language the ``MAX_NODES``
     commonest grams are kept, shorter ones first, which bounds what is broadcast."""
-    commonest = Window.partitionBy("lang").orderBy("size", F.desc("n"), "code")
-    counted = stored(count_grams(rows, order), "grams").withColumn("rank", F.row_number().over(commonest))
-    table = counted.where(F.col("rank") <= MAX_NODES).select("lang", "size", "code", "n").toPandas()
-    langs = sorted(table["lang"].unique())
+    counted = stored(count_grams(rows, order), "grams")
+    langs = sorted(row[0] for row in counted.select("lang").distinct().collect())
     kept: dict[int, list] = defaultdict(list)
-    for (lang, size), part in table.groupby(["lang", "size"]):
-        kept[int(size)].append((np.full(len(part), langs.index(lang)), part["code"].to_numpy(), part["n"].to_numpy()))
+    for number, lang in enumerate(langs):
+        own = counted.where(F.col("lang") == lang).orderBy("size", F.desc("n"), "code")
+        for size, part in own.select("size", "code", "n").limit(MAX_NODES).toPandas().groupby("size"):
+            kept[int(size)].append((np.full(len(part), number), part["code"].to_numpy(), part["n"].to_numpy()))
     return ContextTrees(langs, {size: tuple(map(np.concatenate, zip(*parts))) for size, parts in kept.items()})
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from tidemark.llm.html_text import op10_html_text
+from tidemark.llm.jaccard import OP6_SQL, op6_jaccard_join
 from tidemark.llm.language import op9_language
 from tidemark.llm.mixing import OP8_SQL, op8_mixing
 from tidemark.llm.packing import op4_packing
@@ -33,9 +35,11 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": _toxicity,
     "op4_packing": _documents(op4_packing),
     "op5_quality": _documents(op5_quality),
+    "op6_jaccard_join": _documents(op6_jaccard_join),
     "op7_exact_dedup": _documents(op7_exact_dedup),
     "op8_mixing": _documents(op8_mixing),
     "op9_language": _documents(op9_language),
+    "op10_html_text": lambda spark, sf_dir: op10_html_text(table(spark, sf_dir, "pages")),
 }
 
-ORACLE: dict[str, str] = {"op5_quality": OP5_SQL, "op7_exact_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
+ORACLE: dict[str, str] = {"op5_quality": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
