@@ -297,13 +297,21 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     edges = stored(verified(first_pairs, arrays), "links")
     roots = components(edges)
 
-    in_tiles = shared.select("key", "row").unionByName(shared.select("key", F.col("first").alias("row"))).distinct()
-    known = members.join(full.where("bits IS NOT NULL").select("row", "bits"), "row").select("row", "node", "n", "bits")
-    known = known.join(roots.withColumnRenamed("root", "label"), "node", "left")
-    known = known.withColumn("label", F.coalesce("label", "node"))
-    in_tiles = in_tiles.join(known, "row").drop("row").dropDuplicates(["key", "node"])
-    several = in_tiles.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    open_tiles = stored(in_tiles.join(several.select("key"), "key", "left_semi"), "open")
+    in_tiles = shared.select("key", "row").unionByName(shared.select("key", F.col("first").alias("row")))
+    labels = of_row.join(roots, "node", "left").select("row", "node", F.coalesce("root", "node").alias("label"))
+    in_tiles = stored(in_tiles.join(labels, "row").select("key", "node", "label").distinct(), "in_tiles")
+    alike = in_tiles.groupBy("key").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("node")).alias("who"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("who_too"),
+    )
+    # Tiles of several components; of those with the same members, one.
+    several = alike.where("low <> high").groupBy("members", "who", "who_too").agg(F.min("key").alias("key"))
+    open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
+    maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
+    open_tiles = stored(open_tiles.join(maps, "node"), "open")
     more = tile_pairs(open_tiles, block).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
