@@ -1,0 +1,374 @@
+"""The operators against brute force on small tables, with nulls, ties, repeats and clashing columns."""
+
+from __future__ import annotations
+
+import random
+import struct
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import records
+from tidemark.llm.exact_dedup import deduplicate, exact_groups, op7_exact_dedup, tree_merge
+from tidemark.llm.jaccard import BANDS, Shingler, drop_near_copies, links, may_link, op6_jaccard_join
+from tidemark.llm.language import ContextTrees, Identifier, op9_language
+from tidemark.llm.mixing import mix_documents, op8_mixing
+from tidemark.llm.packing import CAPACITY, Packer, cut, op4_packing
+from tidemark.llm.quality import op5_quality
+from tidemark.llm.records import DamagedRecord, frame, op2_records, pack_ids, read_at, read_frames, unpack_ids, write_records
+from tidemark.llm.tokens import Encoder, public_path
+from tidemark.llm.toxicity import HIDDEN, Network, Scorer, drop_toxic, laid_out, op3_toxicity, train, windows
+from tidemark.llm.url_filter import CharModel, grams, op1_url_filter
+
+# Columns named like those that operators make clash with nothing.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row int, sha string, key string, doc string"
+
+
+def words(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def corpus():
+    rng = random.Random(5)
+    texts = [words(rng, rng.choice([1, 2, 5, 30, 60, 120, 700])) for _ in range(60)]
+    for base in list(texts[:25]):
+        parts = base.split()
+        texts += [base, base.replace(" ", "\n", 1), base.upper()]
+        for _ in range(3):
+            changed = list(parts)
+            for _ in range(rng.randrange(1, 4)):
+                changed[rng.randrange(len(changed))] = "new"
+            texts.append(" ".join(changed))
+    texts += [None, "", " ", "\t\n", "x" * 30_000, words(rng, 20_000, 50)]
+    rows = [
+        (n, t, rng.choice(["en", "fr", None]), rng.choice(["a", "b", "a", "c", None]), 1, 2, "s", "k", "d")
+        for n, t in enumerate(texts)
+    ]
+    return rows + [rows[3], rows[3], (None, "null id", "en", "a", 1, 2, "s", "k", "d"), (None, texts[0], None, None, 1, 2, "s", "k", "d")]
+
+
+@pytest.fixture(scope="module")
+def rows_in():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows_in):
+    return spark.createDataFrame(rows_in, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def split(text):
+    return (text or "").encode().split()
+
+
+def test_op2_round_trip(spark, docs, none, rows_in, tmp_path):
+    encoder = Encoder(public_path("word_bpe_49k.json"), None, 1)
+    got = [tuple(r) for r in op2_records(docs).orderBy("start").collect()]
+    assert [r[0] for r in got] == sorted((r[0] for r in rows_in), key=lambda i: (i is not None, i or 0))
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:n]) for n in range(len(got))]
+    ids = [encoder.encode([r[1]])[0] for r in rows_in]
+    want = Counter((r[0], len(i) // 4, zlib.crc32(i)) for r, i in zip(rows_in, ids))
+    assert Counter((r[0], r[2], r[3]) for r in got) == want
+    assert op2_records(none).count() == 0
+    shards = write_records(docs, str(tmp_path / "out")).collect()
+    for shard in shards:
+        last = shard["n_records"] - 1
+        payloads = read_at(shard["file"], [last, 0])
+        with open(shard["file"], "rb") as file:
+            whole = list(read_frames(file))
+        assert payloads == [whole[last], whole[0]] and len(whole) == last + 1
+
+
+@given(st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)), st.lists(st.integers(0, 2**32 - 1)))
+def test_record_frames(doc_id, values):
+    import io
+
+    ids = np.array(values, dtype="<u4").tobytes()
+    payload = pack_ids(doc_id, ids)
+    assert unpack_ids(payload) == (doc_id, ids)
+    framed = frame(payload)
+    assert list(read_frames(io.BytesIO(framed * 2))) == [payload, payload]
+    for at in (0, 9, len(framed) - 1, 13):
+        broken = bytearray(framed)
+        broken[at] ^= 1
+        with pytest.raises(DamagedRecord):
+            list(read_frames(io.BytesIO(bytes(broken))))
+    assert struct.unpack("<Q", framed[:8])[0] == len(payload) and records.masked(b"") == records.MASK
+
+
+def test_op4_pieces_fill_sequences_without_gaps(docs, none, rows_in):
+    encoder = Encoder(public_path("byte_bpe_50k.json"), None, 2)
+    got = op4_packing(docs).collect()
+    want = Counter()
+    for row in rows_in:
+        ids = encoder.encode([row[1]])[0]
+        for piece, (start, length) in enumerate(cut(len(ids) // 4, CAPACITY)):
+            want[row[0], piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for held in places.values():
+        held.sort()
+        assert [o for o, _ in held] == [sum(n for _, n in held[:k]) for k in range(len(held))]
+        assert sum(n for _, n in held) <= CAPACITY
+    assert len(places) <= -(-sum(r.length for r in got) // CAPACITY) + 2
+    assert op4_packing(none).count() == 0
+
+
+@given(st.lists(st.integers(1, 20), max_size=80), st.integers(1, 6))
+def test_packer_is_best_fit(sizes, open_bins):
+    packer, free, closed = Packer(20, open_bins), [], []
+    for n, size in enumerate(sizes):
+        closed += packer.put(size, n)
+        fitting = [f for f in free if f >= size]
+        if fitting:
+            free.remove(min(fitting))
+            left = min(fitting) - size
+        else:
+            if len(free) == open_bins:
+                free.remove(min(free))
+            left = 20 - size
+        free += [left] if left else []
+        assert sorted(20 - b[1] for b in packer.rest()) == sorted(free)
+    assert sorted(i for b in closed + packer.rest() for i, _ in b[2]) == list(range(len(sizes)))
+    assert list(cut(2500, 1024)) == [(0, 452), (452, 1024), (1476, 1024)] and list(cut(0, 9)) == []
+
+
+def test_op5_counts_and_verdicts(docs, none, rows_in):
+    def measured(text):
+        w = [x.decode() for x in split(text)]
+        lines = [x for x in (text or "").split("\n") if split(x)]
+        seen = Counter(tuple(w[n : n + 8]) for n in range(len(w) - 7))
+        covered = {n + k for n in range(len(w) - 7) if seen[tuple(w[n : n + 8])] > 1 for k in range(8)}
+        failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
+        symbols = sum(c in "#*$%&|<>" for c in text or "")
+        return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+    got = op5_quality(docs).collect()
+    assert Counter(tuple(r)[:-1] for r in got) == Counter((r[0], *measured(r[1])) for r in rows_in)
+    assert not any(r.kept and r.base_failed for r in got) and any(r.kept for r in got)
+    assert op5_quality(none).count() == 0
+
+
+def brute_links(texts):
+    shingles = []
+    for text in texts:
+        w = [x.lower() for x in split(text)]
+        shingles.append({tuple(w[n : n + 3]) for n in range(max(1, len(w) - 2))} if w else set())
+    for a, b in combinations(range(len(texts)), 2):
+        common = len(shingles[a] & shingles[b])
+        if common and 100 * common >= 90 * len(shingles[a] | shingles[b]):
+            yield a, b
+
+
+def test_op6_components(docs, none, rows_in):
+    root = list(range(len(rows_in)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in brute_links([r[1] for r in rows_in]):
+        root[find(a)] = find(b)
+    lowest = defaultdict(list)
+    for n, row in enumerate(rows_in):
+        lowest[find(n)] += [row[0]] if row[0] is not None else []
+    want = Counter((row[0], min(lowest[find(n)], default=None)) for n, row in enumerate(rows_in))
+    assert Counter((r.doc_id, r.component_id) for r in op6_jaccard_join(docs).collect()) == want
+    assert op6_jaccard_join(none).count() == 0
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {min(v) for v in lowest.values() if v}
+
+
+def test_op6_blocks_give_the_same_pairs(docs):
+    from tidemark.llm.jaccard import jaccard_components
+
+    whole = Counter(map(tuple, jaccard_components(docs).drop("kept").collect()))
+    assert Counter(map(tuple, jaccard_components(docs, block=2).drop("kept").collect())) == whole
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 900), st.integers(0, 100), st.integers(0, 100), st.integers(0, 2**32))
+def test_linked_sets_share_a_tile_and_pass_the_bitmaps(n, less, more, seed):
+    rng = np.random.default_rng(seed)
+    pool = np.unique(rng.integers(0, 2**64, n + more, dtype=np.uint64))
+    a, b = pool[: max(1, len(pool) - more * n // 900)], pool[less * n // 900 :]
+    if not len(b) or not links(a, b):
+        return
+    assert set(BANDS.keys(a).tolist()) & set(BANDS.keys(b).tolist())
+    from tidemark.llm.jaccard import folded
+
+    maps = [np.frombuffer(BANDS.bitmap(x), dtype=np.uint8) for x in (a, b)]
+    width = min(map(len, maps))
+    assert may_link(len(a), folded(maps[0], width), len(b), folded(maps[1], width)[None, :])[0]
+
+
+def test_op7_groups(docs, none, rows_in, spark):
+    norm = [" ".join(w.decode() for w in split("x" + (r[1] or "") + "x"))[1:-1] for r in rows_in]
+    groups = defaultdict(list)
+    for row, text in zip(rows_in, norm):
+        groups[text].append(row[0])
+    got = op7_exact_dedup(docs).collect()
+    want = Counter((r[0], min((i for i in groups[t] if i is not None), default=None), len(groups[t])) for r, t in zip(rows_in, norm))
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert op7_exact_dedup(none).count() == 0
+    stay = deduplicate(docs)
+    assert stay.columns == docs.columns and stay.count() == len(groups)
+    assert exact_groups(docs, fan_in=2).where("kept").count() == len(groups)
+
+
+def test_tree_merge_of_many_runs(spark):
+    runs = spark.range(1000).select(
+        (F.col("id") % 50).cast("int").alias("run"), F.sha2((F.col("id") % 7).cast("string"), 256).alias("sha"),
+        F.lit(1).cast("long").alias("n_bytes"), F.lit(1).cast("long").alias("second"),
+        F.struct(F.lit(False).alias("no_id"), F.col("id"), F.col("id").alias("row")).alias("first"),
+        F.lit(1).cast("long").alias("copies"),
+    )
+    whole = tree_merge(runs, 50, fan_in=3).collect()
+    assert sorted(r["first"]["id"] for r in whole) == list(range(7)) and sum(r.copies for r in whole) == 1000
+
+
+def test_op8_meets_its_targets(docs, none, rows_in):
+    got = op8_mixing(docs).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((r[0], len(split(r[1]))) for r in rows_in)
+    assert Counter(map(tuple, got)) == Counter(map(tuple, op8_mixing(docs.repartition(7)).collect()))
+    by = defaultdict(lambda: [0, 0])
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size and r.target <= 3 * r.source_size
+        by[r.source_size, r.target][0] += r.taken
+    for (size, target), (taken, _) in by.items():
+        assert taken == int(target)
+    assert sum(t for _, t in by) == pytest.approx(sum(s for s, _ in by))
+    assert op8_mixing(none).count() == 0
+    mixed = mix_documents(docs)
+    assert mixed.columns == docs.columns and mixed.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0] <= 9
+
+
+def test_op9_code_lengths_and_predictions(spark, docs, none):
+    counts = Counter()
+    text = b" abab abba "
+    for at in range(1, len(text)):
+        begin = max(text.rfind(b" ", 0, at), 0)
+        for size in range(min(3, at - begin) + 1):
+            counts[text[at - size : at + 1]] += 1
+
+    def cost(context, byte):
+        total = sum(n for g, n in counts.items() if g[:-1] == context)
+        kinds = sum(1 for g in counts if g[:-1] == context)
+        if (n := counts.get(context + byte, 0)):
+            return np.log2(total + kinds) - np.log2(n)
+        escape = np.log2(total + kinds) - np.log2(kinds) if kinds else 0
+        return escape + (cost(context[1:], byte) if context else 8)
+
+    def code(word):
+        whole = b" " + word + b" "
+        return sum(cost(whole[max(0, at - 3) : at], whole[at : at + 1]) for at in range(1, len(whole)))
+
+    tables = {}
+    for size in range(1, 5):
+        own = [(int.from_bytes(g[::-1], "little"), n) for g, n in counts.items() if len(g) == size]
+        tables[size] = (np.zeros(len(own), dtype=int), np.array([c for c, _ in own]), np.array([n for _, n in own]))
+    trees = ContextTrees(["x"], tables)
+    some = [b"abab", b"b", b"abc", b"zz", b"abbaabab"]
+    assert trees.word_bits(some)[:, 0] == pytest.approx([code(w) for w in some], rel=1e-4)
+    identifier = Identifier(trees)
+    assert identifier.identify([None, "12 3", "ab 1"])[0] == ["und", "und", "x"]
+    rows = [(n, "the thing that there" if n % 2 else "der die das und", "en" if n % 2 else "de", 0) for n in range(60)]
+    made = op9_language(spark.createDataFrame(rows + [(None, None, None, 0), (99, "..", "en", 0)], "doc_id long, text string, lang string, score int"))
+    got = {r.doc_id: r for r in made.collect()}
+    assert all(got[n].lang_pred == rows[n][2] and 0 <= got[n].score <= 1 for n in range(60))
+    assert got[None].lang_pred == got[99].lang_pred == "und"
+    assert all(r.held_out == (zlib.crc32(str(n).encode()) % 4 == 2) for n, r in got.items() if n is not None)
+    assert op9_language(none).count() == 0 and op9_language(docs).count() == docs.count()
+
+
+def test_op1_rules_and_model(spark):
+    urls = [
+        (1, "http://A.ORG/x?y"), (2, "https://sub.example.org/es/1"), (3, "x://example.org/en/1b"), (4, "x://b.com/fr/"),
+        (5, "x://b.com/de/z#t"), (6, None), (7, "no scheme"), (8, "x://org"), (9, "x://net/EN/://q/"), (10, "x://notorg/x"),
+    ] + [(n, f"h://a.com/{'fr/eau' if n % 2 else 'de/zu'}{n}") for n in range(20, 120)]
+    got = {r.page_id: r for r in op1_url_filter(spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("a.org", "/x", "org/", "allow")
+    assert (got[2].rule, got[2].verdict) == ("example.org/es/", "block")
+    assert (got[3].rule, got[3].verdict) == ("example.org/en/1", "block")
+    assert (got[4].verdict, got[5].verdict) == ("allow", "block")
+    assert [(got[n].host, got[n].path, got[n].rule) for n in (6, 7, 8)] == [("", "", None), ("", "", None), ("org", "", None)]
+    assert (got[9].host, got[9].path) == ("net", "/EN/://q/") and got[10].rule is None
+    assert all(r.verdict in ("allow", "block") for r in got.values())
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert op1_url_filter(empty).count() == 0
+    model = CharModel(Counter(grams("abab", 2)))
+    assert sum(model.chance("a" + chr(c)) for c in range(256)) == pytest.approx(1)
+
+
+def test_op3_gradients_follow_the_loss():
+    network = Network.fresh({"bad": 0}, np.array([1.0]))
+    for name, value in network.p.items():
+        network.p[name] = value.astype(np.float64)
+    network.p["attend"] = np.linspace(-1, 1, 2 * HIDDEN)
+    vectors = network.embed(["bad", "good", "Other!"])[0]
+    table, lengths = laid_out(np.array([0, 1, 2, 1, 0] * 3), 3)
+    table, lengths = np.concatenate([table, table]), np.concatenate([lengths, lengths - 4])
+    gates = network.project(vectors)
+    logits, kept = network.logits(gates, table, lengths, keep=True)
+    g, d_gates = network.gradients(gates, table, lengths, kept, np.array([1.0, 0.5]))
+
+    def loss():
+        return float(network.logits(gates, table, lengths) @ np.array([1.0, 0.5]))
+
+    for array, gradient in [(network.p["uf"], g["uf"]), (network.p["ub"], g["ub"]), (network.p["attend"], g["attend"]), (gates, d_gates)]:
+        for at in [(0,) * array.ndim, (1,) * array.ndim]:
+            before = array[at]
+            array[at] = before + 1e-2
+            up = loss()
+            array[at] = before - 1e-2
+            down = loss()
+            array[at] = before
+            assert (up - down) / 2e-2 == pytest.approx(gradient[at], rel=0.05, abs=2e-3)
+    assert list(windows(10)) == [(0, 10)] and list(windows(60)) == [(0, 32), (24, 56), (48, 60)]
+
+
+def test_op3_learns_and_scores_whole_texts(spark):
+    rng = random.Random(1)
+    rows, marks = [], []
+    for n in range(400):
+        text = words(rng, rng.randrange(5, 90)).split()
+        if n % 3 == 0:
+            text[rng.randrange(len(text))] = rng.choice(["Scum!", "vile", "vile,"])
+        rows.append((n, " ".join(text), 1))
+        marks.append((n, int(n % 3 == 0), 1))
+    rows += [(400, None, 1), (401, "", 1), (402, words(rng, 5000) + " vile", 1), (0, rows[0][1], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    labels = spark.createDataFrame(marks + [(None, 1, 1), (5, None, 1), (9, 1, 1)], "doc_id long, toxic int, mark int")
+    got = op3_toxicity(docs, labels).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    judged = [by[n].predicted == int(n % 3 == 0) for n in range(400) if by[n].held_out]
+    assert sum(judged) >= 0.9 * len(judged) and by[402].predicted == 1
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and 402 not in {r.doc_id for r in kept.collect()}
+    assert op3_toxicity(docs.limit(0), labels).count() == 0
+    assert {r.score for r in op3_toxicity(docs, labels.limit(0)).collect()} == {0.0}
+    network = train([r[1] for r in rows[:100]], [m[1] for m in marks[:100]])
+    assert Scorer(network, memo_words=3).scores(["vile " * 50, "", None]) == pytest.approx(
+        [Scorer(network).scores([t])[0] for t in ("vile " * 50, "", "")], abs=1e-5)
+
+
+def test_shingles_ignore_ascii_case_only():
+    a, b, c, d = Shingler().sets(["A b C d", "a B\nc\td", "É b c d", "é b c d"])
+    assert (a == b).all() and not (c == d).all()

@@ -32,6 +32,7 @@ THRESHOLD = (9, 10)
 BAND_RATIO = 1.5
 BLOCK = 1024
 MEMO_WORDS = 400_000
+FILTER_BITS = 1 << 24
 # Odd multipliers of the mixing steps.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SETS = "row bigint, doc_id bigint, n bigint, digest binary, bits binary, keys array<bigint>"
@@ -193,7 +194,13 @@ def arrays_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 )
 
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    # A bitset of the wanted ids, as at most FILTER_BITS / 64 rows, keeps most other texts unmoved.
+    rows = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place"))
+    marks = ids.select(F.pmod(F.xxhash64("wanted_id"), F.lit(FILTER_BITS)).alias("place"))
+    cells = marks.groupBy(F.expr("place DIV 64").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, int(place % 64)))").alias("set"))
+    near = rows.join(F.broadcast(cells), F.expr("place DIV 64") == F.col("cell"))
+    near = near.where("shiftright(set, int(place % 64)) & 1L = 1").select("doc_id", "text")
+    texts = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     made = texts.select("text").mapInArrow(make, "digest binary, hashes binary")
     return wanted.select("node", "digest").join(made, "digest").groupBy("node").agg(F.first("hashes").alias("hashes"))
 

@@ -97,7 +97,7 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epo
     is within the budget. Documents without words are in no mix. Repeated rows share their key; each
     of them gets the mean of their shares, rounded.
     """
-    plan = mixture(docs, weights, max_epochs).groupBy("key").agg(
+    plan = mixture(docs, weights, max_epochs).where("size > 0").groupBy("key").agg(
         F.round(F.sum("taken") / F.sum("size")).cast("int").alias("copies")
     )
     plan = plan.where("copies > 0").select(F.col("key").alias("wanted"), "copies")

@@ -388,13 +388,13 @@ def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with all their columns; scored where they are read."""
     shared = docs.sparkSession.sparkContext.broadcast(train(*training_sample(docs, labels)))
-    place = docs.columns.index("text")
+    names, place = docs.columns, docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
             for part in slices(batch.rename_columns([str(n) for n in range(batch.num_columns)]), str(place)):
                 good = pa.array([value < 0.5 for value in scorer.scores(part.column(place).to_pylist())])
-                yield part.filter(good).rename_columns(docs.columns)
+                yield part.filter(good).rename_columns(names)
 
     return docs.mapInArrow(keep, docs.schema)
