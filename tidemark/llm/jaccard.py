@@ -199,9 +199,8 @@ def arrays_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     marks = ids.select(F.pmod(F.xxhash64("wanted_id"), F.lit(FILTER_BITS)).alias("place"))
     cells = marks.groupBy(F.expr("place DIV 64").alias("cell")).agg(F.expr("bit_or(shiftleft(1L, int(place % 64)))").alias("set"))
     near = rows.join(F.broadcast(cells), F.expr("place DIV 64") == F.col("cell"))
-    near = near.where("shiftright(set, int(place % 64)) & 1L = 1").select("doc_id", "text")
-    texts = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    made = texts.select("text").mapInArrow(make, "digest binary, hashes binary")
+    near = near.where("shiftright(set, int(place % 64)) & 1L = 1").select("text")
+    made = near.mapInArrow(make, "digest binary, hashes binary")
     return wanted.select("node", "digest").join(made, "digest").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 

@@ -168,8 +168,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if held:
                     yield _records(held)
 
-    # One task per shard, or as many as there may be.
-    return shards.repartition(F.col("shard")).mapInArrow(read, RECORDS).withColumnRenamed("before", "start")
+    # About one shard per task; a fixed number is not coalesced.
+    return shards.repartition(max(1, manifest.count())).mapInArrow(read, RECORDS).withColumnRenamed("before", "start")
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
