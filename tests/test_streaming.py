@@ -132,10 +132,29 @@ def test_column_upserts_touch_only_their_columns(spark, rows):
     target = work_path(spark, "compacted")
     changelog.compact(spark, path, target, ["attributes", "counters", "vip"])
     changelog.upsert_columns(target, "counters")(wide(spark, "k", 9, stats={"views": "'7'"}), 0)
-    after = {r["rowkey"]: r for r in changelog.read_columns(spark, target, ["base", "counters"]).collect()}
+    sources = ["attributes", "counters", "vip", "never_written"]
+    after = {r["rowkey"]: r for r in changelog.read_columns(spark, target, sources).collect()}
     assert (after["k"]["stats"]["views"], after["k"]["basic"]["title"], after["j"]["status"]["vip"]) == ("7", "b", "2")
 
 
+def test_compaction_keeps_a_version_per_source(spark):
+    path, target = work_path(spark, "between"), work_path(spark, "between-compacted")
+    changelog.upsert_columns(path, "attributes")(wide(spark, "k", 100, basic={"title": "'old'"}), 0)
+    changelog.upsert_columns(path, "counters")(wide(spark, "k", 200, stats={"views": "'5'"}), 0)
+    changelog.compact(spark, path, target, ["attributes", "counters"])
+    changelog.upsert_columns(target, "attributes")(wide(spark, "k", 150, basic={"title": "'new'"}), 1)
+    got = changelog.read_columns(spark, target, ["attributes", "counters"]).first()
+    assert (got["basic"]["title"], got["stats"]["views"], got["version"]) == ("new", "5", 200)
+
+
+def test_a_later_batch_wins_at_an_equal_version(spark):
+    path = work_path(spark, "ties")
+    counters = changelog.upsert_columns(path, "counters")
+    counters(wide(spark, "k", 5, stats={"views": "'2'"}), 0)
+    counters(wide(spark, "k", 5, stats={"views": "'1'"}), 1)
+    assert changelog.read_columns(spark, path, ["counters"]).first()["stats"]["views"] == "1"
+
+
 def test_counters_on_top_of_the_snapshot(spark, feed, rows):
     feed.add("app_event_video", video("video_view", 1, "BV1", 1), video("video_like", 1, "BV1", 1))
     base = spark.createDataFrame([("BV1", 100, 0, 0, 0, 0, -1)], "bvid string, view_count int, danmaku_count int, favorite_count int, coin_count int, share_count int, like_count int")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +90,8 @@ def fold_columns(changes: dict[str, DataFrame], key: str = "rowkey") -> DataFram
 
     ``changes`` maps a source to its rows: key, ``version`` and family structs. Every column
     takes its value from the newest row among the sources that provide that column; a null
-    written by such a row is a value. One shuffle by key, reduced map-side.
+    written by such a row is a value. Of one source's rows with equal versions the later batch
+    counts. One shuffle by key, reduced map-side.
     """
     skip = {key, "version", "source", "batch_id"}
     layout: dict[str, dict[str, None]] = {}
@@ -111,12 +113,13 @@ def fold_columns(changes: dict[str, DataFrame], key: str = "rowkey") -> DataFram
             for family, leaves in layout.items()
             for leaf in leaves
         ]
-        part = df.select(key, "version", F.lit(source).alias("_source"), *columns)
+        batch = F.col("batch_id").cast("long") if "batch_id" in df.columns else F.lit(0).cast("long")
+        part = df.select(key, "version", F.lit(source).alias("_source"), batch.alias("_batch"), *columns)
         flat = part if flat is None else flat.unionByName(part)
 
     def newest(family: str, leaf: str) -> Column:
         writers = [source for source in changes if (family, leaf) in provided[source]]
-        stamp = F.struct("version", "_source")
+        stamp = F.struct("version", "_source", "_batch")
         at = stamp if len(writers) == len(changes) else F.when(F.col("_source").isin(*writers), stamp)
         return F.max_by(f"{family}__{leaf}", at).alias(f"{family}__{leaf}")
 
@@ -135,16 +138,31 @@ def fold_columns(changes: dict[str, DataFrame], key: str = "rowkey") -> DataFram
 
 
 def read_columns(spark: SparkSession, path: str, sources: list[str], key: str = "rowkey") -> DataFrame:
-    """The current wide rows from the change log of the named sources."""
-    logs = {
-        source: spark.read.option("basePath", path).parquet(f"{path}/source={source}/batch_id=*")
-        for source in sources
-    }
+    """The current wide rows from the change log of the named sources; those that have not written
+    yet provide nothing."""
+    logs = {source: log for source in sources if (log := _log(spark, path, source)) is not None}
+    if not logs:
+        raise FileNotFoundError(f"none of {sources} has written to {path}")
     return fold_columns(logs, key)
 
 
+def _log(spark: SparkSession, path: str, source: str) -> DataFrame | None:
+    try:
+        return spark.read.option("basePath", path).parquet(f"{path}/source={source}/batch_id=*")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def compact(spark: SparkSession, path: str, target: str, sources: list[str], key: str = "rowkey") -> None:
-    """Fold the log into a new base table; streams then continue on a log that starts from it."""
-    read_columns(spark, path, sources, key).hint("rebalance").write.mode("overwrite").parquet(
-        f"{target}/source=base/batch_id=0"
-    )
+    """Start a new log at ``target`` with the newest row per key of every source.
+
+    A source writes all its columns at once, so its newest row holds all that counts of it, and the
+    row keeps its version: what another source, or a later batch, writes between two versions is
+    still compared column by column. Streams go on writing there with their next batch ids.
+    """
+    for source in sources:
+        if (log := _log(spark, path, source)) is not None:
+            newest = latest_by_key(log, [key], ["version", "batch_id"]).drop("source", "batch_id")
+            newest.hint("rebalance").write.mode("overwrite").parquet(f"{target}/source={source}/batch_id=-1")

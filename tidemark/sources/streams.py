@@ -13,14 +13,16 @@ def kafka_options(
     pattern: str | None = None,
     starting: str = "latest",
     max_offsets: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of Spark's Kafka source for a topic list or a topic pattern."""
+    """Options of Spark's Kafka source for a topic list or a topic pattern. Offsets that are gone end the
+    stream with an error, unless ``fail_on_data_loss`` is given as false."""
     if (topics is None) == (pattern is None):
         raise ValueError("give either topics or a pattern")
     options = {
         "kafka.bootstrap.servers": servers,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "subscribe" if topics else "subscribePattern": topics or pattern,
     }
     if max_offsets:
