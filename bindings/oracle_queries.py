@@ -88,6 +88,12 @@ _LIVE = """live AS (SELECT DISTINCT least(a, b) AS lo, greatest(a, b) AS hi FROM
   UNION ALL SELECT mid, target_mid FROM sv WHERE dt = '{day}'))""".format(day=RUN_DAY)
 sql("relation_counts", f""", {_LIVE}
 SELECT mid, {ints(_COUNTS)} FROM rel WHERE mid IN (SELECT lo FROM live UNION SELECT hi FROM live)""")
+sql("relation_members", """
+SELECT me AS mid, 'following' AS relation, other FROM both_ways WHERE following
+UNION ALL SELECT me, 'follower', other FROM both_ways WHERE follower
+UNION ALL SELECT me, 'mutual_follow', other FROM both_ways WHERE following AND follower
+UNION ALL SELECT me, 'blocking', other FROM both_ways WHERE blocking
+UNION ALL SELECT me, 'blocked_by', other FROM both_ways WHERE blocked_by""")
 sql("relation_lists", """SELECT mid, following_list, follower_list, mutual_follow_list, blocking_list, blocked_by_list
   FROM rel WHERE following_cnt + follower_cnt + blocking_cnt + blocked_by_cnt > 0""")
 sql("relation_pairs_ordered", f""", lastev AS (

@@ -296,6 +296,11 @@ def relation_counts(spark, sf_dir):
     return plain(relations.relation_counts(Book(spark, sf_dir).pairs))
 
 
+@query
+def relation_members(spark, sf_dir):
+    return plain(relations.relation_members(Book(spark, sf_dir).pairs))
+
+
 @query
 def relation_lists(spark, sf_dir):
     pairs = Book(spark, sf_dir).stored_pairs

@@ -97,6 +97,7 @@ def test_relations_match_set_algebra_over_random_days(spark):
     counts = relations.relation_counts(pairs)
     lists = {r["mid"]: r for r in relations.relation_lists(pairs, counts).collect()}
     sizes = {r["mid"]: r for r in counts.collect()}
+    rows = [(r["mid"], f"{r['relation']}_list", r["other"]) for r in relations.relation_members(pairs).collect()]
     for me in range(8):
         following = {t for m, t in state["following"] if m == me}
         followers = {m for m, t in state["following"] if t == me}
@@ -108,6 +109,7 @@ def test_relations_match_set_algebra_over_random_days(spark):
         for name, members in want.items():
             got = lists[me][name] if me in lists else []
             assert got == sorted(members)
+            assert sorted(o for m, n, o in rows if m == me and n == name) == sorted(members)
             assert (sizes[me][name.replace("_list", "_cnt")] if me in sizes else 0) == len(members)
         changes = {e: {(m, t) for m, t, ev, _ in events if ev == e} for e in names}
         gained = len([1 for m, t in changes["social_follow"] if m == me]) - len([1 for m, t in changes["social_unfollow"] if m == me])
@@ -121,15 +123,18 @@ def test_follow_unfollow_follow_ends_unfollowed_unless_ordered(spark):
     assert kept["follow_fwd"] and not kept["follow_bwd"]
 
 
-def test_large_accounts_get_no_list_but_keep_counts_and_pairs(spark, monkeypatch):
+def test_large_accounts_get_no_list_but_keep_counts_and_all_members(spark):
     star = [(n, 0, "social_follow", 1) for n in range(1, 30)] + [(1, 2, "social_follow", 1)]
     pairs = relations.relation_rollforward(None, actions(spark, *star))
     counts = relations.relation_counts(pairs)
-    broadcast = {r["mid"] for r in relations.relation_lists(pairs, counts, inline_limit=10).collect()}
-    monkeypatch.setattr(relations, "BROADCAST_ROWS", 0)
-    sliced = relations.relation_lists(pairs, counts, inline_limit=10)
-    assert "Broadcast" not in sliced.select("mid")._jdf.queryExecution().optimizedPlan().toString()
-    assert broadcast == {r["mid"] for r in sliced.collect()} == set(range(1, 30))
+    listed = relations.relation_lists(pairs, counts, inline_limit=10)
+    assert {r["mid"] for r in listed.collect()} == set(range(1, 30))
+    members = relations.relation_members(pairs)
+    own = members.where("mid = 0").collect()
+    assert sorted((r["relation"], r["other"]) for r in own) == [("follower", n) for n in range(1, 30)]
+    assert "Exchange" not in relations.relation_members(
+        spark.createDataFrame(pairs.collect(), relations.PAIR_SCHEMA)
+    )._jdf.queryExecution().executedPlan().toString()
     assert counts.where("mid = 0").first()["follower_cnt"] == 29
 
 

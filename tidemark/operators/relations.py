@@ -3,7 +3,8 @@
 The state is kept as one row per unordered pair of accounts (``lo`` <= ``hi``) with one flag per
 direction, not as lists per account. Roll-forward, mutual follows and counts then need no list at
 all: rows spread evenly over tasks however many followers one account has. Lists are built from
-the pairs only for output, and only for accounts whose lists are of bounded size.
+the pairs only for output, and only for accounts whose lists are of bounded size; the members of all
+accounts are rows of :func:`relation_members`.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ PAIR_SCHEMA = (
     "block_fwd boolean, block_bwd boolean, chg_fwd int, chg_bwd int"
 )
 DEFAULT_INLINE_LIMIT = 100_000
-BROADCAST_ROWS = 1_000_000
 SLICES = 64
 
 # Which event adds to and which removes from each relation.
@@ -150,25 +150,30 @@ def relation_counts(pairs: DataFrame) -> DataFrame:
     )
 
 
+def relation_members(pairs: DataFrame) -> DataFrame:
+    """Every member of every account's relations as one row: mid, relation, other.
+
+    A projection of the pairs, with no shuffle and no limit, so it is whole for accounts of any size.
+    """
+    named = F.array(*(F.when(F.col(name), F.lit(name)) for name in LISTS))
+    return account_sides(live_pairs(pairs)).select("mid", F.explode(F.array_compact(named)).alias("relation"), "other")
+
+
 def relation_lists(
     pairs: DataFrame, counts: DataFrame, inline_limit: int = DEFAULT_INLINE_LIMIT
 ) -> DataFrame:
     """Sorted id lists per account, for accounts of at most ``inline_limit`` live relations.
 
-    Larger accounts get no row: their members are the pairs themselves, complete and unbounded.
-    Their rows are dropped before anything is shuffled by account: the set of large accounts is
-    counted first and broadcast when it has at most ``BROADCAST_ROWS`` ids. Beyond that the anti
-    join runs on (account, slice of the other id), which spreads a large account over the slices.
+    Larger accounts get no row: :func:`relation_members` gives the members of every account. Their rows
+    are dropped before anything is shuffled by account alone: the anti join runs on (account, slice of
+    the other id), which spreads a large account over the slices.
     """
     size = sum((F.col(f"{name}_cnt") for name in LISTS), F.lit(0))
     oversized = counts.where(size > inline_limit).select("mid")
     rows = account_sides(live_pairs(pairs))
-    if oversized.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        kept = rows.join(F.broadcast(oversized), "mid", "left_anti")
-    else:
-        sliced = oversized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-        by_slice = rows.withColumn("slice", F.pmod(F.xxhash64("other"), F.lit(SLICES)).cast("int"))
-        kept = by_slice.join(sliced, ["mid", "slice"], "left_anti")
+    sliced = oversized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    by_slice = rows.withColumn("slice", F.pmod(F.xxhash64("other"), F.lit(SLICES)).cast("int"))
+    kept = by_slice.join(sliced, ["mid", "slice"], "left_anti")
     return kept.groupBy("mid").agg(
         *(
             F.sort_array(F.collect_list(F.when(F.col(name), F.col("other")))).alias(f"{name}_list")
