@@ -189,6 +189,19 @@ def test_pending_order_state(spark, feed, rows):
     assert rows(orders.pending_orders(stored), "order_no") == [("e",)]
 
 
+def test_order_changes_do_not_depend_on_the_size_of_arrow_batches(spark, feed, rows):
+    feed.add("app_event_vip", vip("vip_pay_success", "a", 200), vip("vip_create_order", "a", 100))
+    path, stream = work_path(spark, "orders"), feed.stream()
+    stream.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        changes = orders.order_changes(orders.order_events(stream), ttl_seconds=100)
+        run_to_end(start(changes, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
+    finally:
+        stream.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
+    assert rows(stored.where("change = 'paid'"), "order_no", "was_pending") == [("a", True)]
+
+
 def test_vip_updates_skip_incomplete_payments(spark, feed, rows):
     feed.add(
         "app_event_vip", vip("vip_pay_success", "a", 1, plan_id="monthly", new_vip_expire=BASE // 1000),

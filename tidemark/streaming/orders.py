@@ -61,8 +61,8 @@ def order_changes(
     State is kept per slice of the order numbers, holding the slice's pending orders, so that rows
     are worked off by column operations on whole Arrow batches instead of order by order. A slice
     holds its share of the orders of the last ``ttl_seconds``; ``slices`` sets how many there are
-    and stays fixed for the life of a checkpoint. Rows are taken batch by batch, in arrival order
-    between batches and in time order within one.
+    and stays fixed for the life of a checkpoint. Rows are taken in arrival order between micro-batches
+    and in time order within one; a task holds a slice's share of a micro-batch.
     """
     ttl_ms, changes = ttl_seconds * 1000, dict(CHANGES)
     given = ["order_no", "event_id", "server_ts", "mid", "plan_id", "new_vip_expire"]
@@ -72,18 +72,19 @@ def order_changes(
         orders, created = state.get if state.exists else ([], [])
         held = pd.DataFrame({"order_no": list(orders), "server_ts": pd.Series(list(created), dtype="int64")})
         if not state.hasTimedOut:
-            for rows in batches:
-                held["event_id"], held["fresh"] = "vip_create_order", False
-                both = pd.concat([held, rows[given].assign(fresh=True)], ignore_index=True)
-                both = both.sort_values(["order_no", "fresh", "server_ts", "event_id"], kind="stable")
-                prior = both.groupby("order_no", sort=False)[["event_id", "server_ts"]].shift()
-                age = both["server_ts"] - prior["server_ts"]
-                both["was_pending"] = (prior["event_id"] == "vip_create_order") & (age <= ttl_ms)
-                both["change"] = both["event_id"].map(changes)
-                yield both.loc[both["fresh"].astype(bool), names]
-                last = both.drop_duplicates("order_no", keep="last")
-                held = last.loc[last["event_id"] == "vip_create_order", ["order_no", "server_ts"]]
-                held = held.reset_index(drop=True)
+            # All rows of the micro-batch at once: the size of Arrow batches must not decide their order.
+            rows = pd.concat(batches, ignore_index=True)
+            held["event_id"], held["fresh"] = "vip_create_order", False
+            both = pd.concat([held, rows[given].assign(fresh=True)], ignore_index=True)
+            both = both.sort_values(["order_no", "fresh", "server_ts", "event_id"], kind="stable")
+            prior = both.groupby("order_no", sort=False)[["event_id", "server_ts"]].shift()
+            age = both["server_ts"] - prior["server_ts"]
+            both["was_pending"] = (prior["event_id"] == "vip_create_order") & (age <= ttl_ms)
+            both["change"] = both["event_id"].map(changes)
+            yield both.loc[both["fresh"].astype(bool), names]
+            last = both.drop_duplicates("order_no", keep="last")
+            held = last.loc[last["event_id"] == "vip_create_order", ["order_no", "server_ts"]]
+            held = held.reset_index(drop=True)
         watermark = state.getCurrentWatermarkMs()
         over = held["server_ts"] + ttl_ms < watermark
         if over.any():
