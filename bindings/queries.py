@@ -41,6 +41,8 @@ from tidemark.streaming.landing import land_raw_events
 from tidemark.streaming.runs import run_to_end, start
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+# For tables of a few gigabytes.
+STREAM_PARTITIONS = 8
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -717,7 +719,7 @@ def speed_comment_counters(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = stream_session(spark).readStream.schema(EVENTS_SCHEMA)
+    files = stream_session(spark, STREAM_PARTITIONS).readStream.schema(EVENTS_SCHEMA)
     # A stream's plain path must be a folder; a pattern may match the table as a file or a folder.
     return topics.shape_events(files.parquet(f"{sf_dir}/event[s].parquet"))
 
@@ -809,7 +811,7 @@ def stream_column_upsert(spark, sf_dir):
     def arriving(messages: DataFrame) -> DataFrame:
         return messages.withColumn("arrival", F.timestamp_millis("ms"))
 
-    parts = stream_session(spark).readStream.schema(
+    parts = stream_session(spark, STREAM_PARTITIONS).readStream.schema(
         "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
     ).parquet(f"{sf_dir}/par[t].parquet")
     rows = f"{path}/rows"

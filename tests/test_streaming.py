@@ -15,6 +15,7 @@ from tidemark.streaming.landing import land_raw_events
 from tidemark.streaming.runs import fan_out, run_to_end, start
 
 BASE = 1709251200000  # 2024-03-01 00:00:00 UTC
+STREAM_PARTITIONS = 4
 RAW = "json_str string, topic string, arrival timestamp"
 
 
@@ -33,7 +34,7 @@ class Feed:
         self.count += 1
 
     def stream(self):
-        reader = stream_session(self.spark).readStream.schema(RAW).option("maxFilesPerTrigger", 1)
+        reader = stream_session(self.spark, STREAM_PARTITIONS).readStream.schema(RAW).option("maxFilesPerTrigger", 1)
         return reader.option("recursiveFileLookup", "true").parquet(self.path)
 
     def batch(self):

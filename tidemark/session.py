@@ -58,16 +58,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int) -> SparkSession:
     """A sibling session for streaming queries, with its own SQL settings.
 
-    A stream keeps its number of shuffle partitions for the life of its checkpoint, so it is
-    sized to the cores once instead of taking the batch default.
+    A stream keeps its number of shuffle partitions for the life of its checkpoint, so ``partitions``
+    is chosen for the state it will grow to, not for the cores of its first start.
     """
     sibling = spark.newSession()
-    cores = spark.sparkContext.defaultParallelism
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sibling.conf.set("spark.sql.shuffle.partitions", str(min(configured, max(cores, 1))))
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return sibling
 
