@@ -123,12 +123,15 @@ def test_follow_unfollow_follow_ends_unfollowed_unless_ordered(spark):
     assert kept["follow_fwd"] and not kept["follow_bwd"]
 
 
-def test_large_accounts_get_no_list_but_keep_counts_and_all_members(spark):
+def test_large_accounts_get_no_list_but_keep_counts_and_all_members(spark, monkeypatch):
     star = [(n, 0, "social_follow", 1) for n in range(1, 30)] + [(1, 2, "social_follow", 1)]
     pairs = relations.relation_rollforward(None, actions(spark, *star))
     counts = relations.relation_counts(pairs)
-    listed = relations.relation_lists(pairs, counts, inline_limit=10)
-    assert {r["mid"] for r in listed.collect()} == set(range(1, 30))
+    broadcast = {r["mid"] for r in relations.relation_lists(pairs, counts, inline_limit=10).collect()}
+    monkeypatch.setattr(relations, "BROADCAST_ROWS", 0)
+    sliced = relations.relation_lists(pairs, counts, inline_limit=10)
+    assert "Broadcast" not in sliced.select("mid")._jdf.queryExecution().optimizedPlan().toString()
+    assert broadcast == {r["mid"] for r in sliced.collect()} == set(range(1, 30))
     members = relations.relation_members(pairs)
     own = members.where("mid = 0").collect()
     assert sorted((r["relation"], r["other"]) for r in own) == [("follower", n) for n in range(1, 30)]
