@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import records
 from tidemark.llm.exact_dedup import deduplicate, exact_groups, op7_exact_dedup, tree_merge
-from tidemark.llm.jaccard import BANDS, Shingler, drop_near_copies, links, may_link, op6_jaccard_join
+from tidemark.llm.jaccard import BANDS, Shingler, drop_near_copies, links, most_common, op6_jaccard_join, reaches
 from tidemark.llm.language import ContextTrees, Identifier, op9_language
 from tidemark.llm.mixing import mix_documents, op8_mixing
 from tidemark.llm.packing import CAPACITY, Packer, cut, op4_packing
@@ -201,6 +201,25 @@ def test_op6_blocks_give_the_same_pairs(docs):
     assert Counter(map(tuple, jaccard_components(docs, block=2).drop("kept").collect())) == whole
 
 
+def test_op6_many_near_copies(spark):
+    """Copies of one text that differ in a word or two each: links are few, chains are long."""
+    rng = np.random.default_rng(5)
+    base = [f"w{n}" for n in range(90)]
+    texts = []
+    for n in range(80):
+        own = list(base)
+        for at in rng.integers(0, 90, 1 + n % 2):
+            own[at] = f"x{rng.integers(0, 6)}"
+        texts.append(" ".join(own))
+    root = list(range(len(texts)))
+    for a, b in brute_links(texts):
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    copies = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in op6_jaccard_join(copies).collect()}
+    assert got == {n: root.index(r) for n, r in enumerate(root)}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 900), st.integers(0, 100), st.integers(0, 100), st.integers(0, 2**32))
 def test_linked_sets_share_a_tile_and_pass_the_bitmaps(n, less, more, seed):
@@ -214,7 +233,7 @@ def test_linked_sets_share_a_tile_and_pass_the_bitmaps(n, less, more, seed):
 
     maps = [np.frombuffer(BANDS.bitmap(x), dtype=np.uint8) for x in (a, b)]
     width = min(map(len, maps))
-    assert may_link(len(a), folded(maps[0], width), len(b), folded(maps[1], width)[None, :])[0]
+    assert reaches(most_common(len(a), folded(maps[0], width), len(b), folded(maps[1], width)[None, :]), len(a), len(b))[0]
 
 
 def test_op7_groups(docs, none, rows_in, spark):

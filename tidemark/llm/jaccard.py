@@ -10,8 +10,10 @@ miss its tile, and texts which share just a passage seldom agree in a whole part
 Within a tile a bitmap per set (bit h mod m for each element) bounds the overlap from above: every
 bit that only one set has is an element that the other lacks. What passes is decided by intersecting
 the sorted arrays. Each set is first held against the smallest of the tile-mates that it meets most;
-tiles whose members are then all connected are done, and the others are worked off block by block,
-whatever their size.
+tiles whose members are then all connected are done. In the others each set is held against the one
+tile-mate of another component that its bitmap puts closest, and components are joined, as long as
+that finds links; a large group of near copies so comes down to one pair per member and round. What
+then remains apart is worked off block by block, whatever its size.
 """
 
 from __future__ import annotations
@@ -139,18 +141,22 @@ def folded(bitmap: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(bitmap.reshape(-1, size), axis=0) if len(bitmap) > size else bitmap
 
 
-def may_link(n_a: int, a: np.ndarray, n_b: np.ndarray, b: np.ndarray, bands: Bands = BANDS) -> np.ndarray:
-    """Which of the sets b (sizes, and bitmaps as rows of the width of ``a``) may link with a: sizes
-    and the largest overlap that the bitmaps allow must reach the threshold."""
+def most_common(n_a: int, a: np.ndarray, n_b: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The largest overlap with a that the bitmaps allow the sets b (sizes, and bitmaps as rows of the
+    width of ``a``)."""
     only_a = np.bitwise_count(a[None, :] & ~b).sum(axis=1, dtype=np.int64)
     only_b = np.bitwise_count(b & ~a[None, :]).sum(axis=1, dtype=np.int64)
-    most = np.minimum(n_a - only_a, n_b - only_b)
-    return bands.below * most >= bands.above * (n_a + n_b - most)
+    return np.minimum(n_a - only_a, n_b - only_b)
+
+
+def reaches(common, n_a, n_b, bands: Bands = BANDS):
+    """Whether sets of these sizes link with so many elements in common; numbers or arrays."""
+    return bands.below * common >= bands.above * (n_a + n_b - common)
 
 
 def links(a: np.ndarray, b: np.ndarray, bands: Bands = BANDS) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
-    return bands.below * common >= bands.above * (len(a) + len(b) - common)
+    return bool(reaches(common, len(a), len(b), bands))
 
 
 def shingle_sets(docs: DataFrame, bands: Bands = BANDS) -> DataFrame:
@@ -219,9 +225,10 @@ def verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.mapInArrow(test, "u bigint, v bigint")
 
 
-def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS) -> DataFrame:
+def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS, closest: bool = False) -> DataFrame:
     """Pairs (u, v) of a tile's members (``key``, ``node``, ``label``, ``n``, ``bits``) with different
-    labels that size and bitmaps allow. Large tiles are cut into blocks; every two blocks meet once."""
+    labels that size and bitmaps allow. Large tiles are cut into blocks; every two blocks meet once.
+    With ``closest`` just a pair per member, that with the largest similarity that bitmaps allow."""
     sizes = tiles.groupBy("key").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
     own = tiles.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     meets = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -238,16 +245,29 @@ def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS) -> Da
         maps = [np.frombuffer(r["bits"], dtype=np.uint8) for r in rows]
         width = min(map(len, maps))
         table = np.stack([folded(m, width) for m in maps])
+        top, mate = np.full(len(rows), -1.0), np.zeros(len(rows), dtype=np.int64)
         for at in range(len(rows) - 1):
             end = int(np.searchsorted(n, n[at] * bands.below // bands.above, side="right"))
             near = np.arange(at + 1, end)
             near = near[labels[near] != labels[at]]
             if i != j:
                 near = near[left[near] != left[at]]
-            if len(near):
-                for k in near[may_link(n[at], table[at], n[near], table[near], bands)]:
-                    a, b = rows[at]["node"], rows[k]["node"]
-                    yield max(a, b), min(a, b)
+            if not len(near):
+                continue
+            most = most_common(n[at], table[at], n[near], table[near])
+            fit = reaches(most, n[at], n[near], bands)
+            near, alike = near[fit], (most / (n[at] + n[near] - most))[fit]
+            if not closest:
+                own = rows[at]["node"]
+                yield from ((max(own, rows[k]["node"]), min(own, rows[k]["node"]), 0.0) for k in near)
+            elif len(near):
+                best = int(alike.argmax())
+                if alike[best] > top[at]:
+                    top[at], mate[at] = alike[best], near[best]
+                nearer = alike > top[near]
+                top[near[nearer]], mate[near[nearer]] = alike[nearer], at
+        for at in np.flatnonzero(top >= 0):
+            yield rows[at]["node"], rows[mate[at]]["node"], float(top[at])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tile = [], None
@@ -264,15 +284,39 @@ def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS) -> Da
             yield _pairs(list(within(held, *tile[1:])))
 
     sorted_ = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_.mapInArrow(scan, "u bigint, v bigint").distinct()
+    found = sorted_.mapInArrow(scan, "u bigint, v bigint, alike double")
+    if not closest:
+        return found.select("u", "v").distinct()
+    best = found.groupBy("u").agg(F.max(F.struct("alike", (-F.col("v")).alias("v"))).alias("best"))
+    best = best.select("u", (-F.col("best.v")).alias("v"))
+    return best.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+def _pairs(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.float64())
     return pa.RecordBatch.from_arrays(
-        [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"]
+        [pa.array([p[k] for p in pairs], kind) for k, kind in enumerate(kinds)], ["u", "v", "alike"]
     )
 
 
+def joined_by_closest(tiles: DataFrame, arrays: DataFrame, edges: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The tiles that are still open, with new labels, and all links, after rounds in which each member
+    is held against the closest of another component. A round that links less than a tenth of its
+    pairs is the last; each of the others joins components, so rounds come to an end."""
+    while True:
+        pairs = stored(tile_pairs(tiles, block, closest=True), "closest")
+        new = stored(verified(pairs, arrays), "links")
+        linked = new.count()
+        if linked:
+            edges = stored(edges.unionByName(new), "links")
+            named = tiles.drop("label").join(components(edges), "node", "left")
+            named = named.select("key", "node", F.coalesce("root", "node").alias("label"), "n", "bits")
+            apart = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+            tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open")
+        if linked * 10 <= pairs.count():
+            return tiles, edges
+
+
 def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and ``kept`` for one row of each component.
 
@@ -317,7 +361,8 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     several = alike.where("low <> high").groupBy("members", "who", "who_too").agg(F.min("key").alias("key"))
     open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
     maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
-    open_tiles = stored(open_tiles.join(maps, "node"), "open")
+    open_tiles = stored(open_tiles.join(maps, "node").select("key", "node", "label", "n", "bits"), "open")
+    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, block)
     more = tile_pairs(open_tiles, block).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
