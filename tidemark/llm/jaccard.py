@@ -299,21 +299,25 @@ def _pairs(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
     )
 
 
-def joined_by_closest(tiles: DataFrame, arrays: DataFrame, edges: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+def joined_by_closest(
+    tiles: DataFrame, arrays: DataFrame, edges: DataFrame, roots: DataFrame, block: int
+) -> tuple[DataFrame, DataFrame]:
     """The tiles that are still open, with new labels, and all links, after rounds in which each member
-    is held against the closest of another component. A round that links less than a tenth of its
-    pairs is the last; each of the others joins components, so rounds come to an end."""
+    is held against the closest of another component. Rounds go on while one joins at least a tenth as
+    many components as it tests pairs."""
+    joined = roots.count()
     while True:
         pairs = stored(tile_pairs(tiles, block, closest=True), "closest")
-        new = stored(verified(pairs, arrays), "links")
-        linked = new.count()
-        if linked:
-            edges = stored(edges.unionByName(new), "links")
-            named = tiles.drop("label").join(components(edges), "node", "left")
-            named = named.select("key", "node", F.coalesce("root", "node").alias("label"), "n", "bits")
-            apart = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open")
-        if linked * 10 <= pairs.count():
+        edges = stored(edges.unionByName(verified(pairs, arrays)), "links")
+        roots, before = components(edges), joined
+        joined = roots.count()
+        if joined == before:
+            return tiles, edges
+        named = tiles.drop("label").join(roots, "node", "left")
+        named = named.select("key", "node", F.coalesce("root", "node").alias("label"), "n", "bits")
+        apart = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open")
+        if (joined - before) * 10 < pairs.count():
             return tiles, edges
 
 
@@ -362,7 +366,7 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
     maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
     open_tiles = stored(open_tiles.join(maps, "node").select("key", "node", "label", "n", "bits"), "open")
-    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, block)
+    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, roots, block)
     more = tile_pairs(open_tiles, block).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
