@@ -14,6 +14,8 @@ from tidemark.llm.packing import op4_packing
 from tidemark.llm.toxicity import drop_toxic
 from tidemark.session import work_path
 
+NEAR_WORDS, NEAR_THRESHOLD = 5, (8, 10)
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -28,8 +30,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays."""
-    return drop_near_copies(docs)
+    """One document of each component of near copies stays: sets of five-word shingles, linked at 0.8 and more."""
+    return drop_near_copies(docs, NEAR_WORDS, NEAR_THRESHOLD)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

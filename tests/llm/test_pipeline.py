@@ -1,6 +1,10 @@
 from __future__ import annotations
 
-from corpus_pipeline import STAGES, run
+import random
+import re
+from itertools import combinations
+
+from corpus_pipeline import STAGES, jaccard_join, run
 from tidemark.llm.common import table
 
 
@@ -17,3 +21,36 @@ def test_stages(spark, tmp_path):
         counts.append(docs.count())
     assert counts[0] >= counts[1] >= counts[2] >= counts[3] > 0
     assert run(spark, sf_dir).count() == counts[-1]
+
+
+def survivors(texts):
+    """Brute force: the first of each component of texts that share 0.8 of their five-word shingles."""
+    sets, root = [], list(range(len(texts)))
+    for text in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
+        sets.append({tuple(w[n : n + 5]) for n in range(max(1, len(w) - 4))} if w else set())
+    for a, b in combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if common and 10 * common >= 8 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    return {n for n, r in enumerate(root) if n == r}
+
+
+def test_near_copies_go_by_five_words_at_four_fifths(spark):
+    rng = random.Random(3)
+    texts = []
+    for size in (1, 4, 5, 6, 9, 12, 20, 40, 41, 60, 90, 150, 400):
+        base = [f"w{rng.randrange(300)}" for _ in range(size)]
+        texts += [" ".join(base), " ".join(base[: size - 1]), " ".join(base + ["more"])]
+        for share in (0.01, 0.02, 0.03, 0.04, 0.05):
+            own = [w if rng.random() > share else f"x{rng.randrange(9)}" for w in base]
+            texts += [" ".join(own), " ".join(own[: int(size * 0.9)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id for r in jaccard_join(spark, docs, "").collect()} == survivors(texts)
+
+
+def test_near_copies_of_the_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").dropDuplicates(["doc_id"]).orderBy("doc_id")
+    ids, texts = zip(*((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()))
+    assert {r.doc_id for r in jaccard_join(spark, docs, "").collect()} == {ids[n] for n in survivors(texts)}

@@ -81,6 +81,8 @@ class Bands:
 
     def __init__(self, threshold: tuple[int, int] = THRESHOLD, ratio: float = BAND_RATIO):
         self.above, self.below = threshold
+        if self.below > self.above * ratio:
+            raise ValueError("linked sets must lie in the same band or in neighbouring ones")
         self.begins = [1]
         while self.begins[-1] < 1 << 40:
             self.begins.append(max(self.begins[-1] + 1, int(self.begins[-1] * ratio)))
@@ -159,11 +161,11 @@ def links(a: np.ndarray, b: np.ndarray, bands: Bands = BANDS) -> bool:
     return bool(reaches(common, len(a), len(b), bands))
 
 
-def shingle_sets(docs: DataFrame, bands: Bands = BANDS) -> DataFrame:
+def shingle_sets(docs: DataFrame, bands: Bands = BANDS, words: int = WORDS_PER_SHINGLE) -> DataFrame:
     """One row per document. Bitmap and keys are given once per task for equal sets."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
+        shingler, seen = Shingler(words), set()
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingler.sets(part.column(2).to_pylist())
@@ -186,11 +188,11 @@ def shingle_sets(docs: DataFrame, bands: Bands = BANDS) -> DataFrame:
     return rows.mapInArrow(make, SETS)
 
 
-def arrays_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def arrays_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS_PER_SHINGLE) -> DataFrame:
     """(node, n, hashes) of the wanted sets (``node``, ``doc_id``, ``digest``), from their texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler = Shingler(words)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingler.sets(part.column(0).to_pylist())
@@ -210,13 +212,13 @@ def arrays_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.select("node", "digest").join(made, "digest").groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
-def verified(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, arrays: DataFrame, bands: Bands = BANDS) -> DataFrame:
     """The pairs (u, v) whose sets link, by intersection of their sorted arrays."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [[np.frombuffer(x.as_py(), dtype=np.uint64) for x in batch.column(k)] for k in (2, 3)]
-            good = pa.array([links(a, b) for a, b in zip(*sets)], pa.bool_())
+            good = pa.array([links(a, b, bands) for a, b in zip(*sets)], pa.bool_())
             yield batch.select(["u", "v"]).filter(good)
 
     left = arrays.select(F.col("node").alias("u"), F.col("hashes").alias("a"))
@@ -300,15 +302,15 @@ def _pairs(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
 
 
 def joined_by_closest(
-    tiles: DataFrame, arrays: DataFrame, edges: DataFrame, roots: DataFrame, block: int
+    tiles: DataFrame, arrays: DataFrame, edges: DataFrame, roots: DataFrame, block: int, bands: Bands = BANDS
 ) -> tuple[DataFrame, DataFrame]:
     """The tiles that are still open, with new labels, and all links, after rounds in which each member
     is held against the closest of another component. Rounds go on while one joins at least a tenth as
     many components as it tests pairs."""
     joined = roots.count()
     while True:
-        pairs = stored(tile_pairs(tiles, block, closest=True), "closest")
-        edges = stored(edges.unionByName(verified(pairs, arrays)), "links")
+        pairs = stored(tile_pairs(tiles, block, bands, closest=True), "closest")
+        edges = stored(edges.unionByName(verified(pairs, arrays, bands)), "links")
         roots, before = components(edges), joined
         joined = roots.count()
         if joined == before:
@@ -321,15 +323,19 @@ def joined_by_closest(
             return tiles, edges
 
 
-def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, block: int = BLOCK, words: int = WORDS_PER_SHINGLE, threshold: tuple[int, int] = THRESHOLD
+) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and ``kept`` for one row of each component.
+    Sets of shingles of ``words`` words link at a Jaccard similarity of ``threshold`` (a fraction) and more.
 
     Null, empty and blank texts have an empty set and are alone, with their own doc_id as component. A
     component's id is its smallest doc_id; rows with a null id count for nothing there, and a component
     of such rows has a null id. Repeated rows have equal sets and are one component. An empty table
     gives no rows. Other columns are not read.
     """
-    sets = stored(shingle_sets(docs), "sets")
+    bands = Bands(threshold)
+    sets = stored(shingle_sets(docs, bands, words), "sets")
     full = sets.where("n > 0")
     names = full.groupBy("digest").agg(F.min("row").alias("node"))
     members = stored(full.select("row", "doc_id", "n", "digest").join(names, "digest"), "members")
@@ -344,11 +350,11 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     met = stored(met, "met")
     nodes = met.select("node").unionByName(met.select(F.col("mate").alias("node"))).distinct()
     wanted = members.join(nodes, "node", "left_semi").where("row = node").select("node", "doc_id", "digest")
-    arrays = stored(arrays_of(docs, wanted), "arrays")
+    arrays = stored(arrays_of(docs, wanted, words), "arrays")
 
     best = met.groupBy("node").agg(F.max(F.struct("times", (-F.col("mate")).alias("mate"))).alias("best"))
     first_pairs = best.select(F.col("node").alias("u"), (-F.col("best.mate")).alias("v"))
-    edges = stored(verified(first_pairs, arrays), "links")
+    edges = stored(verified(first_pairs, arrays, bands), "links")
     roots = components(edges)
 
     in_tiles = shared.select("key", "row").unionByName(shared.select("key", F.col("first").alias("row")))
@@ -366,11 +372,11 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
     maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
     open_tiles = stored(open_tiles.join(maps, "node").select("key", "node", "label", "n", "bits"), "open")
-    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, roots, block)
-    more = tile_pairs(open_tiles, block).join(
+    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, roots, block, bands)
+    more = tile_pairs(open_tiles, block, bands).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
-    edges = edges.unionByName(verified(more, arrays))
+    edges = edges.unionByName(verified(more, arrays, bands))
     roots = components(edges)
 
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -386,13 +392,15 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return whole.unionByName(alone)
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, words: int = WORDS_PER_SHINGLE, threshold: tuple[int, int] = THRESHOLD
+) -> DataFrame:
     """The documents that stay, one of each component, with all their columns.
 
     Rows are found again by doc_id. Where rows that stay and rows that go share an id, as repeated rows
     do, one row stays of each text that the id has.
     """
-    found = jaccard_components(docs).groupBy("doc_id").agg(
+    found = jaccard_components(docs, words=words, threshold=threshold).groupBy("doc_id").agg(
         F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay")
     )
     found = stored(found.where("stay > 0"), "stay")
