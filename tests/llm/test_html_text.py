@@ -35,6 +35,52 @@ def test_layout(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<div class="a"">text</div><p>more', "text\n\nmore"),
+        ("<p title=it's>one</p><p>two it's</p>three", "one\n\ntwo it's\n\nthree"),
+        ('<p a"b>one</p>two "three"', 'one\n\ntwo "three"'),
+        ("<p a='x'y' b>one</p>two", "one\n\ntwo"),
+        ("<p a = '>' b=\">\"c>one", "one"),
+        ("<p =\"a>one", "one"),
+        ("<p a= >one</p \">two", "one\n\ntwo"),
+        ('x<p a="one>two', "x"),
+    ],
+)
+def test_a_quote_opens_a_value_only_after_an_equals_sign(html, text):
+    assert render(html) == text
+
+
+def end_of_tag(html):
+    """Brute force: the tokenizer's states, character by character, from the tag name's end; None if the tag stays open."""
+    state = "before"
+    for at, c in enumerate(html):
+        space = c in " \t\n\r\f"
+        if state in "\"'":
+            state = "before" if c == state else state
+        elif c == ">":
+            return at
+        elif state == "value" and c in "\"'":
+            state = c
+        elif state in ("value", "unquoted"):
+            state = state if state == "value" and space else "before" if space else "unquoted"
+        elif c == "=" and state in ("name", "after"):
+            state = "value"
+        elif space:
+            state = "after" if state in ("name", "after") else "before"
+        else:
+            state = "before" if c == "/" else "name"
+    return None
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text("ab \n/='\">", max_size=25))
+def test_tags_end_where_the_tokenizer_ends_them(html):
+    end = end_of_tag(" " + html)
+    assert render(f"x<b {html}") == ("x" if end is None else render("x" + html[end:]))
+
+
 class Words(HTMLParser):
     """Brute force: all words outside elements that are not shown."""
 

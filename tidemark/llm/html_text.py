@@ -48,8 +48,13 @@ HEAD_PARTS = frozenset("base link meta title style script noscript template".spl
 
 # Columns are padded to their widest cell, up to this.
 PAD_LIMIT = 40
+# A quote opens a value right after "=" and white space; anywhere else in a tag it is an ordinary character.
+GAP = r"[ \t\n\r\f]*+"
+NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\r\f>]*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]++|<", re.S
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[ \t\n\r\f/]++|{NAME}(?:{GAP}={GAP}(?:{VALUE}))?+)*+)>|[^<]++|<",
+    re.S,
 )
 UNCLOSED = re.compile(r"/?[A-Za-z]")
 HIDDEN = re.compile(
