@@ -52,6 +52,29 @@ def test_a_quote_opens_a_value_only_after_an_equals_sign(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'class="btn hidden lg:flex"', 'title="the hidden valley"', 'aria-label="a hidden gem"', 'data-hidden="hidden"',
+    "alt='style=display:none'", 'title="style = visibility:hidden"', "data-style='display:none'", "title=hidden",
+    'style="backface-visibility: hidden"', "style='overflow:hidden'", 'style="display:none;display:block"', "style",
+    "aria-hidden=false", 'a="" b=\' hidden \'', "style='color:red' style='display:none'",
+])
+def test_shown_elements(attributes):
+    assert render(f"<p {attributes}>one</p>two") == "one\n\ntwo"
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN", 'hidden=""', "hidden=until-found", "class='a'hidden", "a/hidden", "style=display:none", "hidden/",
+    "title='a' hidden", 'STYLE = "color: red; Display : none !important; display: block"', "style='visibility:hidden'",
+    "style='display:/* a */none'", "style='display&#58;none'", "x='hidden' style=';display:none;'",
+])
+def test_elements_that_are_not_shown(attributes):
+    assert render(f"<p {attributes}>one</p>two") == "two"
+
+
+def test_a_cell_spans_only_by_its_own_attribute():
+    assert render("<table><td title='colspan=2'>wide<td>x<tr><td>a<td>b</table>") == "wide  x\na     b"
+
+
 def end_of_tag(html):
     """Brute force: the tokenizer's states, character by character, from the tag name's end; None if the tag stays open."""
     state = "before"

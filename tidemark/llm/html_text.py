@@ -57,11 +57,35 @@ TOKEN = re.compile(
     re.S,
 )
 UNCLOSED = re.compile(r"/?[A-Za-z]")
-HIDDEN = re.compile(
-    r"(?:^|\s)hidden(?=[\s=/]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I
-)
+ATTRIBUTE = re.compile(rf"({NAME})(?:{GAP}={GAP}({VALUE}))?+")
+READ = re.compile("hidden|style|colspan", re.I)
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 SPACES = re.compile(r"[ \t\n\r\f]+")
-SPAN = re.compile(r"colspan\s*=\s*[\"']?(\d{1,3})", re.I)
+SPAN = re.compile(r"\s*(\d{1,3})")
+
+
+def attributes_of(tag: str) -> dict[str, str]:
+    """Names, in lower case, and values of a tag's attributes, if one that is read may be among them. Of
+    attributes with one name the first counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(tag) if READ.search(tag) else ():
+        found.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in ("'", '"') else value))
+    return found
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element has the attribute hidden, or a style by which it is not shown. Of declarations of
+    one property the last counts, important ones before others."""
+    if "hidden" in attributes:
+        return True
+    declared: dict[str, tuple[bool, str]] = {}
+    for name, value, important in DECLARED.findall(COMMENT.sub("", attributes.get("style", ""))):
+        name = name.lower()
+        if bool(important) >= declared.get(name, (False, ""))[0]:
+            declared[name] = bool(important), value.lower()
+    shown = {name: value for name, (_, value) in declared.items()}
+    return shown.get("display") == "none" or shown.get("visibility") == "hidden"
 
 
 class Writer:
@@ -175,7 +199,7 @@ class Renderer:
         self.marks: list[bool] = []
         self.pre = 0
 
-    def start(self, tag: str, attributes: str, closed: bool) -> None:
+    def start(self, tag: str, attributes: dict[str, str], closed: bool) -> None:
         if tag in CLOSES:
             targets, limits = CLOSES[tag]
             self._close_within(targets, limits)
@@ -184,7 +208,7 @@ class Renderer:
         if tag in BLOCKS:
             self._close_within({"p"}, BARRIERS)
         if tag in ("td", "th") and self.tables and "tr" not in self._in_table():
-            self.start("tr", "", False)
+            self.start("tr", {}, False)
         shown = not self.unseen
         if shown and tag in BLOCKS:
             self.writers[-1].block(tag in SPACED and not (tag in ("ul", "ol") and self.lists))
@@ -192,7 +216,7 @@ class Renderer:
             self.writers[-1].end_line(force=True)
         if tag in VOID:
             return
-        hidden = tag in UNSEEN or (bool(attributes) and HIDDEN.search(attributes) is not None)
+        hidden = tag in UNSEEN or is_hidden(attributes)
         self.open.append(tag)
         self.counts[tag] += 1
         self.marks.append(hidden)
@@ -204,7 +228,7 @@ class Renderer:
         elif tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
         elif tag in ("td", "th") and self.tables:
-            span = SPAN.search(attributes)
+            span = SPAN.match(attributes.get("colspan", ""))
             self.spans.append(min(100, max(1, int(span[1]))) if span else 1)
             self.writers.append(Writer())
         elif tag in ("ul", "ol"):
@@ -313,7 +337,7 @@ def render(html: str | None) -> str:
         if match[1]:
             renderer.end(tag)
             continue
-        renderer.start(tag, match[3], match[3].endswith("/"))
+        renderer.start(tag, attributes_of(match[3]), match[3].endswith("/"))
         if tag in RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
             stop = close.start() if close else len(html)
