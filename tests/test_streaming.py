@@ -203,6 +203,31 @@ def test_order_changes_do_not_depend_on_the_size_of_arrow_batches(spark, feed, r
     assert rows(stored.where("change = 'paid'"), "order_no", "was_pending") == [("a", True)]
 
 
+def test_late_rows_change_orders(spark, feed, rows):
+    create, pay = "vip_create_order", "vip_pay_success"
+    feed.add("app_event_vip", vip(create, "a", 0), vip(create, "b", 0), vip(create, "c", 10))
+    feed.add("app_event_vip", vip(create, "d", 80), vip(pay, "f", 75))
+    feed.add("app_event_vip", vip(pay, "a", 10), vip(create, "f", 60), vip("vip_pay_cancel", "c", 20))
+    feed.add("app_event_vip", vip(create, "e", 1000))
+    feed.add("app_event_vip", vip(create, "i", 1050))
+    feed.add("app_event_vip", vip(pay, "b", 20), vip(create, "g", 5), vip(pay, "y", 1))
+    feed.add("app_event_vip", vip(create, "h", 1100))
+    path = work_path(spark, "orders")
+    changes = orders.order_changes(orders.order_events(feed.stream()), ttl_seconds=100, slices=2)
+    run_to_end(start(changes, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
+    stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
+    seen = stored.withColumn("second", F.expr(f"(server_ts - {BASE}) div 1000"))
+    # "b" was paid in time, but its payment came after its limit had been over; "f" was paid before its creation came.
+    assert rows(seen.where("change in ('paid', 'ended')"), "order_no", "second", "was_pending") == [
+        ("a", 10, True), ("b", 20, False), ("c", 20, True), ("f", 75, False), ("y", 1, False)
+    ]
+    assert rows(seen.where("change = 'created'"), "order_no", "second") == [
+        ("a", 0), ("b", 0), ("c", 10), ("d", 80), ("e", 1000), ("f", 60), ("g", 5), ("h", 1100), ("i", 1050)
+    ]
+    assert rows(seen.where("change = 'expired'"), "order_no", "second") == [("b", 100), ("d", 180), ("g", 105)]
+    assert rows(orders.pending_orders(stored), "order_no") == [("e",), ("h",), ("i",)]
+
+
 def test_vip_updates_skip_incomplete_payments(spark, feed, rows):
     feed.add(
         "app_event_vip", vip("vip_pay_success", "a", 1, plan_id="monthly", new_vip_expire=BASE // 1000),

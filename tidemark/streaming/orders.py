@@ -61,46 +61,57 @@ def order_changes(
     State is kept per slice of the order numbers, holding the slice's pending orders, so that rows
     are worked off by column operations on whole Arrow batches instead of order by order. A slice
     holds its share of the orders of the last ``ttl_seconds``; ``slices`` sets how many there are
-    and stays fixed for the life of a checkpoint. Rows are taken in arrival order between micro-batches
-    and in time order within one; a task holds a slice's share of a micro-batch.
+    and stays fixed for the life of a checkpoint. A task holds a slice's share of a micro-batch.
+
+    Rows behind the watermark are taken like others; the watermark only tells when time limits are over.
+    Rows are worked off in time order, within a micro-batch and against what is held. An order that has
+    ended is held for ``ttl_seconds`` too, so that its creation, should it come later, leaves it ended.
+    What was passed on before a late row came is not taken back.
     """
     ttl_ms, changes = ttl_seconds * 1000, dict(CHANGES)
     given = ["order_no", "event_id", "server_ts", "mid", "plan_id", "new_vip_expire"]
     names = ["order_no", "change", "mid", "plan_id", "new_vip_expire", "server_ts", "was_pending"]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        orders, created = state.get if state.exists else ([], [])
-        held = pd.DataFrame({"order_no": list(orders), "server_ts": pd.Series(list(created), dtype="int64")})
+        orders, times, ended = state.get if state.exists else ([], [], [])
+        held = pd.DataFrame({"order_no": list(orders), "server_ts": pd.Series(list(times), dtype="int64")})
+        # Any event that ends an order stands for the one that did.
+        held["event_id"] = ["vip_pay_success" if x else "vip_create_order" for x in ended]
         if not state.hasTimedOut:
             # All rows of the micro-batch at once: the size of Arrow batches must not decide their order.
             rows = pd.concat(batches, ignore_index=True)
-            held["event_id"], held["fresh"] = "vip_create_order", False
-            both = pd.concat([held, rows[given].assign(fresh=True)], ignore_index=True)
-            both = both.sort_values(["order_no", "fresh", "server_ts", "event_id"], kind="stable")
+            both = pd.concat([held.assign(fresh=False), rows[given].assign(fresh=True)], ignore_index=True)
+            both = both.sort_values(["order_no", "server_ts", "event_id", "fresh"], kind="stable")
             prior = both.groupby("order_no", sort=False)[["event_id", "server_ts"]].shift()
             age = both["server_ts"] - prior["server_ts"]
             both["was_pending"] = (prior["event_id"] == "vip_create_order") & (age <= ttl_ms)
             both["change"] = both["event_id"].map(changes)
             yield both.loc[both["fresh"].astype(bool), names]
-            last = both.drop_duplicates("order_no", keep="last")
-            held = last.loc[last["event_id"] == "vip_create_order", ["order_no", "server_ts"]]
+            held = both.drop_duplicates("order_no", keep="last")[["order_no", "server_ts", "event_id"]]
             held = held.reset_index(drop=True)
         watermark = state.getCurrentWatermarkMs()
         over = held["server_ts"] + ttl_ms < watermark
-        if over.any():
-            gone = held[over].assign(change="expired", mid=None, plan_id=None, new_vip_expire=None, was_pending=True)
+        gone = held[over & (held["event_id"] == "vip_create_order")]
+        if len(gone):
+            gone = gone.assign(change="expired", mid=None, plan_id=None, new_vip_expire=None, was_pending=True)
             yield gone.assign(server_ts=gone["server_ts"] + ttl_ms)[names]
         held = held[~over]
         if held.empty:
             if state.exists:
                 state.remove()
             return
-        state.update((held["order_no"].tolist(), held["server_ts"].tolist()))
+        ended = (held["event_id"] != "vip_create_order").tolist()
+        state.update((held["order_no"].tolist(), held["server_ts"].tolist(), ended))
         state.setTimeoutTimestamp(max(int(held["server_ts"].min()) + ttl_ms, watermark + 1))
 
-    sliced = events.withColumn("slice", F.pmod(F.xxhash64("order_no"), F.lit(slices)))
+    # Spark drops rows whose column with the watermark's mark is behind the watermark. That column is given as
+    # null, which is behind nothing; the watermark itself is taken from the times below it.
+    mark = events.schema["event_time"].metadata
+    timeless = F.lit(None).cast("timestamp").alias("event_time", metadata=mark)
+    sliced = events.select(*given, timeless).withColumn("slice", F.pmod(F.xxhash64("order_no"), F.lit(slices)))
     return sliced.groupBy("slice").applyInPandasWithState(
-        step, CHANGE_SCHEMA, "orders array<string>, created array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
+        step, CHANGE_SCHEMA, "orders array<string>, times array<bigint>, ended array<boolean>", "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
 
 
