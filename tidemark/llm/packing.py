@@ -9,6 +9,7 @@ at the end of a task is packed once more, whole bins at a time, by fewer tasks.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,9 +25,13 @@ END_ID = 2
 CAPACITY = 1024
 OPEN_BINS = 256
 BINS_PER_MERGE = 16_384
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, bin bigint, offset bigint, open boolean"
-_KINDS = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
+PIECES = (
+    "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary, bin bigint, offset bigint, "
+    "open boolean"
+)
+_KINDS = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
 _NAMES = [part.split()[0] for part in PIECES.split(", ")]
+_OF_PIECE = _NAMES[:6]
 
 
 class Packer:
@@ -89,8 +94,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _rows(bins: list[list], base: int, is_open: bool) -> Iterator[tuple]:
     for number, _, items in bins:
         for pieces, offset in items:
-            for doc_id, piece, start, length, ids, within in pieces:
-                yield doc_id, piece, start, length, ids, base + number, offset + within, is_open
+            for *piece, within in pieces:
+                yield *piece, base + number, offset + within, is_open
 
 
 def pack_texts(
@@ -100,8 +105,10 @@ def pack_texts(
     end_id: int | None = END_ID,
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Pieces of all documents with their place: doc_id, piece, start, length, ids, sequence_id, offset.
+    """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, ids, sequence_id,
+    offset. Without ``with_ids`` the ids are null, and only their checksum leaves the worker.
 
     Null and empty texts are just their end id. Repeated rows are packed as often as they occur; a null
     id stays null. An empty table gives no rows. Other columns are not read.
@@ -116,7 +123,8 @@ def pack_texts(
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                     for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         own = ids[4 * start : 4 * (start + length)]
-                        closed = packer.put(length, [(doc_id, piece, start, length, own, 0)])
+                        kept = own if with_ids else None
+                        closed = packer.put(length, [(doc_id, piece, start, length, zlib.crc32(own), kept, 0)])
                         out += _rows(closed, base, False)
                         held += length
                         if held > 1 << 20:
@@ -131,10 +139,10 @@ def pack_texts(
     closed, left = packed.where("NOT open"), packed.where("open")
     whole = left.groupBy("bin").agg(
         F.sum("length").alias("filled"),
-        F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids"))).alias("pieces"),
+        F.sort_array(F.collect_list(F.struct("offset", *_OF_PIECE))).alias("pieces"),
     )
     merged = repack(whole, max(1, -(-left.select("bin").distinct().count() // BINS_PER_MERGE)), capacity, open_bins)
-    return closed.unionByName(merged).select(*_NAMES[:5], F.col("bin").alias("sequence_id"), "offset")
+    return closed.unionByName(merged).select(*_OF_PIECE, F.col("bin").alias("sequence_id"), "offset")
 
 
 def repack(bins: DataFrame, tasks: int, capacity: int, open_bins: int) -> DataFrame:
@@ -148,7 +156,7 @@ def repack(bins: DataFrame, tasks: int, capacity: int, open_bins: int) -> DataFr
         for batch in batches:
             out: list[tuple] = []
             for filled, pieces in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                item = [(p["doc_id"], p["piece"], p["start"], p["length"], p["ids"], p["offset"]) for p in pieces]
+                item = [(*(p[name] for name in _OF_PIECE), p["offset"]) for p in pieces]
                 out += _rows(packer.put(filled, item), base, False)
             if out:
                 yield _batch(out)
@@ -161,6 +169,4 @@ def repack(bins: DataFrame, tasks: int, capacity: int, open_bins: int) -> DataFr
 
 
 def op4_packing(docs: DataFrame) -> DataFrame:
-    return pack_texts(docs).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
-    )
+    return pack_texts(docs, with_ids=False).drop("ids")

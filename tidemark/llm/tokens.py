@@ -16,6 +16,8 @@ from functools import cache
 import numpy as np
 
 MEMO_WORDS = 1_000_000
+# Fixed value: how byte-level vocabularies write a space.
+SPACE_MARK = "\u0120"
 
 
 def _uneven(piece: str) -> bool:
@@ -36,6 +38,8 @@ class Encoder:
         self.cut, self.memo_words = cut, memo_words
         self.end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
         self.memo: dict[bytes, bytes | None] = {}
+        self.older: dict[bytes, bytes | None] = {}
+        self.begins: np.ndarray | None = None
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -49,17 +53,41 @@ class Encoder:
         ends = (4 * np.cumsum(counts)).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
+    def _after_space(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word with a space before it, from one encoding of all of them: a token that
+        begins with a space begins a word. The words have no white space at their ends."""
+        if self.begins is None:
+            size = self.tokenizer.get_vocab_size()
+            marks = (self.tokenizer.id_to_token(n) or "" for n in range(size))
+            self.begins = np.fromiter((mark.startswith(SPACE_MARK) for mark in marks), dtype=bool, count=size)
+        text = (b" " + b" ".join(words)).decode()
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):
+            return self._each([" " + word.decode() for word in words])
+        flat, edges = ids.tobytes(), (4 * starts).tolist()
+        return [flat[a:b] for a, b in zip(edges, [*edges[1:], len(flat)])]
+
     def _learn(self, words: set[bytes], before: str) -> None:
-        """Encodes the words that are new. When the memo is full, just the words in use stay."""
-        if len(self.memo) > self.memo_words:
-            self.memo = {word: self.memo[word] for word in words if word in self.memo}
-        new = [word for word in words if word not in self.memo]
+        """Encodes the words that are new. A full half of the memo becomes the older one, from which
+        words in use come back; the older one before it is forgotten."""
+        if 2 * len(self.memo) > self.memo_words:
+            self.memo, self.older = {}, self.memo
+        missing = words.difference(self.memo)
+        if self.older:
+            back = missing.intersection(self.older)
+            self.memo.update((word, self.older[word]) for word in back)
+            missing -= back
+        new = list(missing)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            texts = [word.decode() for word in part]
-            self.memo.update(zip(part, self._each([before + text for text in texts])))
             if before:
+                texts = [word.decode() for word in part]
                 self.memo.update((word, None) for word, text in zip(part, texts) if _uneven(text))
+                part = [word for word, text in zip(part, texts) if not _uneven(text)]
+                self.memo.update(zip(part, self._after_space(part) if part else ()))
+            else:
+                self.memo.update(zip(part, self._each([word.decode() for word in part])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text, null as empty, with the end id. Takes a slice of a batch at a time."""
