@@ -10,7 +10,7 @@ from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import deduplicate
 from tidemark.llm.jaccard import drop_near_copies
 from tidemark.llm.mixing import mix_documents
-from tidemark.llm.packing import op4_packing
+from tidemark.llm.packing import pack_texts
 from tidemark.llm.toxicity import drop_toxic
 from tidemark.session import work_path
 
@@ -40,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens with the sequence and place of each."""
-    return op4_packing(docs)
+    """Pieces of at most 1024 tokens with their ids, and the sequence and place of each."""
+    return pack_texts(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
