@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import records
 from tidemark.llm.exact_dedup import deduplicate, exact_groups, op7_exact_dedup, tree_merge
-from tidemark.llm.jaccard import BANDS, Shingler, drop_near_copies, links, most_common, op6_jaccard_join, reaches
+from tidemark.llm.jaccard import BANDS, M3, Bands, Shingler, drop_near_copies, folded, links, mixed, most_common
+from tidemark.llm.jaccard import op6_jaccard_join, reaches
 from tidemark.llm.language import ContextTrees, Identifier, op9_language
 from tidemark.llm.mixing import mix_documents, op8_mixing
 from tidemark.llm.packing import CAPACITY, Packer, cut, op4_packing
@@ -27,6 +28,7 @@ from tidemark.llm.toxicity import HIDDEN, Network, Scorer, drop_toxic, laid_out,
 from tidemark.llm.url_filter import CharModel, grams, op1_url_filter
 
 # Columns named like those that operators make clash with nothing.
+AT_FOUR_FIFTHS = Bands((8, 10))
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row int, sha string, key string, doc string"
 
 
@@ -220,20 +222,47 @@ def test_op6_many_near_copies(spark):
     assert got == {n: root.index(r) for n, r in enumerate(root)}
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.integers(1, 900), st.integers(0, 100), st.integers(0, 100), st.integers(0, 2**32))
-def test_linked_sets_share_a_tile_and_pass_the_bitmaps(n, less, more, seed):
+@settings(max_examples=300, deadline=None)
+@given(st.sampled_from([BANDS, AT_FOUR_FIFTHS]), st.integers(1, 900), st.integers(0, 200), st.integers(0, 200), st.integers(0, 2**32))
+def test_linked_sets_share_a_tile_and_pass_the_bitmaps(bands, n, less, more, seed):
     rng = np.random.default_rng(seed)
     pool = np.unique(rng.integers(0, 2**64, n + more, dtype=np.uint64))
     a, b = pool[: max(1, len(pool) - more * n // 900)], pool[less * n // 900 :]
-    if not len(b) or not links(a, b):
+    if not len(b) or not links(a, b, bands):
         return
-    assert set(BANDS.keys(a).tolist()) & set(BANDS.keys(b).tolist())
-    from tidemark.llm.jaccard import folded
-
-    maps = [np.frombuffer(BANDS.bitmap(x), dtype=np.uint8) for x in (a, b)]
+    assert set(bands.keys(a).tolist()) & set(bands.keys(b).tolist())
+    maps = [np.frombuffer(bands.bitmap(x), dtype=np.uint8) for x in (a, b)]
     width = min(map(len, maps))
-    assert reaches(most_common(len(a), folded(maps[0], width), len(b), folded(maps[1], width)[None, :]), len(a), len(b))[0]
+    most = most_common(len(a), folded(maps[0], width), len(b), folded(maps[1], width)[None, :])
+    assert reaches(most, len(a), len(b), bands)[0]
+
+
+@pytest.mark.parametrize("bands", [BANDS, AT_FOUR_FIFTHS])
+def test_few_sets_enter_a_bands_common_tile(bands):
+    rng = np.random.default_rng(11)
+    common = {int(mixed(np.array([band], dtype=np.uint64) * M3).view(np.int64)[0]) for band in range(len(bands.begins))}
+    sizes = rng.integers(20, 1001, 3000)
+    in_common = sum(bool(common & set(bands.keys(np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))).tolist())) for n in sizes)
+    assert in_common <= 30
+
+
+def test_near_copies_go_whatever_their_ids_and_columns(spark):
+    rng = random.Random(8)
+    base = [words(rng, 80).split() for _ in range(3)]
+    near = [" ".join([*b[:40], "changed", *b[41:]]) for b in base]
+    whole = [" ".join(b) for b in base]
+    rows = [(None, whole[0]), (None, near[0]), (7, whole[1]), (None, near[1]), (9, whole[2]), (9, near[2]), (9, near[2])]
+    rows += [(None, None), (None, ""), (None, None), (3, "alone")]
+    names = ["doc_id", "text", "own", "own_key", "text_key", "rows", "stay", "id", "doc"]
+    made = spark.createDataFrame([(i, t, *"abcdefg") for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    kept = drop_near_copies(made, 5, (8, 10))
+    assert kept.columns == names
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got[None, None] == 2 and got[None, ""] == 1 and got[3, "alone"] == 1
+    for n, ids in enumerate([{None}, {7, None}, {9}]):
+        left = [k for k in got.elements() if k[1] in (whole[n], near[n])]
+        assert len(left) == 1 and left[0][0] in ids
+    assert drop_near_copies(made.limit(0)).count() == 0
 
 
 def test_op7_groups(docs, none, rows_in, spark):

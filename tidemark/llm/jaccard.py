@@ -9,7 +9,8 @@ miss its tile, and texts which share just a passage seldom agree in a whole part
 
 Within a tile a bitmap per set (bit h mod m for each element) bounds the overlap from above: every
 bit that only one set has is an element that the other lacks. What passes is decided by intersecting
-the sorted arrays. Each set is first held against the smallest of the tile-mates that it meets most;
+the sorted arrays, which are made for sets of such pairs only. Each set is first held against the
+smallest of the tile-mates that it meets most, if the bitmaps allow the two to link;
 tiles whose members are then all connected are done. In the others each set is held against the one
 tile-mate of another component that its bitmap puts closest, and components are joined, as long as
 that finds links; a large group of near copies so comes down to one pair per member and round. What
@@ -18,15 +19,16 @@ then remains apart is worked off block by block, whatever its size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, stored
+from tidemark.llm.common import slices, stored, text_or_empty
 from tidemark.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -37,7 +39,7 @@ MEMO_WORDS = 400_000
 FILTER_BITS = 1 << 24
 # Odd multipliers of the mixing steps.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-SETS = "row bigint, doc_id bigint, n bigint, digest binary, bits binary, keys array<bigint>"
+SETS = "row bigint, doc_id bigint, text_key string, n bigint, digest binary, bits binary, keys array<bigint>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -87,6 +89,7 @@ class Bands:
         while self.begins[-1] < 1 << 40:
             self.begins.append(max(self.begins[-1] + 1, int(self.begins[-1] * ratio)))
         self.cuts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.of_band: dict[int, tuple[int, int]] = {}
 
     def cut(self, band: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
         """Where a band's parts end in the range of hashes, and a tag for each part."""
@@ -102,12 +105,22 @@ class Bands:
         """Number of parts, and how many of them agree at least between two linked sets.
 
         With overlap I and D differing elements, I / (I + D) >= a / b gives I >= D a / (b - a), so the
-        sizes' sum 2 I + D is at least D (a + b) / (b - a).
+        sizes' sum 2 I + D is at least D (a + b) / (b - a). The more parts must agree, the fewer sets have
+        as many empty ones and so the band's common tile: ``agree`` grows until the band's smallest set,
+        spread at random, is expected to have fewer by a standard deviation.
         """
-        largest = self.begins[band + 1] - 1
-        differ = 2 * largest * (self.below - self.above) // (self.above + self.below)
-        agree = 1 + (1 + differ // 16 if differ else 0)
-        return differ + agree, agree
+        if band not in self.of_band:
+            largest, smallest = self.begins[band + 1] - 1, max(1, self.above * self.begins[band] // self.below)
+            differ = 2 * largest * (self.below - self.above) // (self.above + self.below)
+            agree = 1
+            for share in (16, 8, 4, 2, 1):
+                agree = 1 + (1 + differ // share if differ else 0)
+                parts = differ + agree
+                empty = parts * math.exp(-smallest / parts)
+                if empty + math.sqrt(empty) < agree:
+                    break
+            self.of_band[band] = differ + agree, agree
+        return self.of_band[band]
 
     def bands_of(self, n: int) -> list[int]:
         own = self.band(n)
@@ -168,7 +181,7 @@ def shingle_sets(docs: DataFrame, bands: Bands = BANDS, words: int = WORDS_PER_S
         shingler, seen = Shingler(words), set()
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = shingler.sets(part.column(2).to_pylist())
+                sets = shingler.sets(part.column(3).to_pylist())
                 names = [digest(s) for s in sets]
                 bits, keys, ends = [], [], [0]
                 for own, name in zip(sets, names):
@@ -179,15 +192,20 @@ def shingle_sets(docs: DataFrame, bands: Bands = BANDS, words: int = WORDS_PER_S
                     ends.append(ends[-1] + len(keys[-1]))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), part.column(1), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(names, pa.binary()), pa.array(bits, pa.binary()), lists],
-                    ["row", "doc_id", "n", "digest", "bits", "keys"],
+                    ["row", "doc_id", "text_key", "n", "digest", "bits", "keys"],
                 )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("text_key"), "text")
     return rows.mapInArrow(make, SETS)
 
 
+def text_key() -> Column:
+    """What stands for the whole text, null and empty alike, where rows are found again."""
+    return F.sha2(text_or_empty(), 256)
+
+
 def arrays_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS_PER_SHINGLE) -> DataFrame:
     """(node, n, hashes) of the wanted sets (``node``, ``doc_id``, ``digest``), from their texts."""
 
@@ -227,6 +245,44 @@ def verified(pairs: DataFrame, arrays: DataFrame, bands: Bands = BANDS) -> DataF
     return both.mapInArrow(test, "u bigint, v bigint")
 
 
+class Arrays:
+    """Sorted arrays of the sets that pairs ask for; each is made from its text once and written."""
+
+    def __init__(self, docs: DataFrame, members: DataFrame, words: int):
+        self.docs, self.words, self.have = docs, words, None
+        self.sources = members.where("row = node").select("node", "doc_id", "digest")
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+        if self.have is not None:
+            nodes = nodes.join(self.have.select("node"), "node", "left_anti")
+        wanted = stored(self.sources.join(nodes, "node", "left_semi"), "wanted")
+        if self.have is None or not wanted.isEmpty():
+            made = stored(arrays_of(self.docs, wanted, self.words), "arrays")
+            self.have = made if self.have is None else self.have.unionByName(made)
+        return self.have
+
+
+def bounded(pairs: DataFrame, maps: DataFrame, bands: Bands = BANDS) -> DataFrame:
+    """The pairs (u, v) that sizes and bitmaps (``node``, ``n``, ``bits``) allow to link."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(k).to_pylist() for k in (2, 3))
+            sets = [[np.frombuffer(x.as_py(), dtype=np.uint8) for x in batch.column(k)] for k in (4, 5)]
+            good = []
+            for a_size, b_size, a, b in zip(n_a, n_b, *sets):
+                width = min(len(a), len(b))
+                most = most_common(a_size, folded(a, width), b_size, folded(b, width)[None, :])
+                good.append(bool(reaches(int(most[0]), a_size, b_size, bands)))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    left = maps.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("bits").alias("bits_u"))
+    right = maps.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("bits").alias("bits_v"))
+    both = pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "n_u", "n_v", "bits_u", "bits_v")
+    return both.mapInArrow(test, "u bigint, v bigint")
+
+
 def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS, closest: bool = False) -> DataFrame:
     """Pairs (u, v) of a tile's members (``key``, ``node``, ``label``, ``n``, ``bits``) with different
     labels that size and bitmaps allow. Large tiles are cut into blocks; every two blocks meet once.
@@ -302,7 +358,7 @@ def _pairs(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
 
 
 def joined_by_closest(
-    tiles: DataFrame, arrays: DataFrame, edges: DataFrame, roots: DataFrame, block: int, bands: Bands = BANDS
+    tiles: DataFrame, arrays: Arrays, edges: DataFrame, roots: DataFrame, block: int, bands: Bands = BANDS
 ) -> tuple[DataFrame, DataFrame]:
     """The tiles that are still open, with new labels, and all links, after rounds in which each member
     is held against the closest of another component. Rounds go on while one joins at least a tenth as
@@ -310,7 +366,7 @@ def joined_by_closest(
     joined = roots.count()
     while True:
         pairs = stored(tile_pairs(tiles, block, bands, closest=True), "closest")
-        edges = stored(edges.unionByName(verified(pairs, arrays, bands)), "links")
+        edges = stored(edges.unionByName(verified(pairs, arrays.of(pairs), bands)), "links")
         roots, before = components(edges), joined
         joined = roots.count()
         if joined == before:
@@ -326,8 +382,9 @@ def joined_by_closest(
 def jaccard_components(
     docs: DataFrame, block: int = BLOCK, words: int = WORDS_PER_SHINGLE, threshold: tuple[int, int] = THRESHOLD
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, and ``kept`` for one row of each component.
-    Sets of shingles of ``words`` words link at a Jaccard similarity of ``threshold`` (a fraction) and more.
+    """One row per document: doc_id, text_key, n_shingles, component_id, and ``kept`` for one row of each
+    component. Sets of shingles of ``words`` words link at a Jaccard similarity of ``threshold`` (a fraction)
+    and more.
 
     Null, empty and blank texts have an empty set and are alone, with their own doc_id as component. A
     component's id is its smallest doc_id; rows with a null id count for nothing there, and a component
@@ -338,7 +395,9 @@ def jaccard_components(
     sets = stored(shingle_sets(docs, bands, words), "sets")
     full = sets.where("n > 0")
     names = full.groupBy("digest").agg(F.min("row").alias("node"))
-    members = stored(full.select("row", "doc_id", "n", "digest").join(names, "digest"), "members")
+    members = stored(full.select("row", "doc_id", "text_key", "n", "digest").join(names, "digest"), "members")
+    arrays = Arrays(docs, members, words)
+    maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
 
     in_tile = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tiles = full.select("row", F.explode("keys").alias("key")).withColumn("first", F.first("row").over(in_tile))
@@ -347,14 +406,10 @@ def jaccard_components(
     met = shared.groupBy("row", "first").agg(F.count("*").alias("times"))
     met = met.join(of_row, "row").join(of_row.select(F.col("row").alias("first"), F.col("node").alias("mate")), "first")
     met = met.where("node <> mate").groupBy("node", "mate").agg(F.sum("times").alias("times"))
-    met = stored(met, "met")
-    nodes = met.select("node").unionByName(met.select(F.col("mate").alias("node"))).distinct()
-    wanted = members.join(nodes, "node", "left_semi").where("row = node").select("node", "doc_id", "digest")
-    arrays = stored(arrays_of(docs, wanted, words), "arrays")
-
     best = met.groupBy("node").agg(F.max(F.struct("times", (-F.col("mate")).alias("mate"))).alias("best"))
     first_pairs = best.select(F.col("node").alias("u"), (-F.col("best.mate")).alias("v"))
-    edges = stored(verified(first_pairs, arrays, bands), "links")
+    first_pairs = stored(bounded(first_pairs, maps, bands), "met")
+    edges = stored(verified(first_pairs, arrays.of(first_pairs), bands), "links")
     roots = components(edges)
 
     in_tiles = shared.select("key", "row").unionByName(shared.select("key", F.col("first").alias("row")))
@@ -370,24 +425,24 @@ def jaccard_components(
     # Tiles of several components; of those with the same members, one.
     several = alike.where("low <> high").groupBy("members", "who", "who_too").agg(F.min("key").alias("key"))
     open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
-    maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
     open_tiles = stored(open_tiles.join(maps, "node").select("key", "node", "label", "n", "bits"), "open")
     open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, roots, block, bands)
     more = tile_pairs(open_tiles, block, bands).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
-    edges = edges.unionByName(verified(more, arrays, bands))
+    more = stored(more, "more")
+    edges = edges.unionByName(verified(more, arrays.of(more), bands))
     roots = components(edges)
 
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     lowest = placed.groupBy("root").agg(F.min(rank).alias("low"))
     whole = placed.join(lowest, "root").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("low.id").alias("component_id"),
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("low.id").alias("component_id"),
         (F.col("row") == F.col("low.row")).alias("kept"),
     )
     alone = sets.where("n = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")
     )
     return whole.unionByName(alone)
 
@@ -397,23 +452,24 @@ def drop_near_copies(
 ) -> DataFrame:
     """The documents that stay, one of each component, with all their columns.
 
-    Rows are found again by doc_id. Where rows that stay and rows that go share an id, as repeated rows
-    do, one row stays of each text that the id has.
+    Rows are found again by doc_id (null is an id like others) and a digest of the text. Of rows that are
+    equal in both, all stay if their texts have no shingle, else one at most. Null, empty and blank texts
+    stay. Other columns, whatever their names, are passed on. An empty table gives no rows.
     """
-    found = jaccard_components(docs, words=words, threshold=threshold).groupBy("doc_id").agg(
+    found = jaccard_components(docs, words=words, threshold=threshold).groupBy("doc_id", "text_key").agg(
         F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay")
     )
     found = stored(found.where("stay > 0"), "stay")
-    simple = found.where("rows = stay").select(F.col("doc_id").alias("own"))
-    kept = docs.join(simple, F.col("doc_id").eqNullSafe(F.col("own")), "left_semi")
-    odd = found.where("rows <> stay")
-    if odd.isEmpty():
-        return kept
-    ids = odd.select(F.col("doc_id").alias("own"))
-    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("own")), "left_semi")
     whole = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
-    rest = rows.select("doc_id", "text", whole).groupBy("doc_id", "text").agg(F.first("doc").alias("doc"))
-    return kept.unionByName(rest.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns)))
+    rows = docs.select(F.col("doc_id").alias("id"), text_key().alias("own_key"), whole)
+
+    def among(chosen: DataFrame) -> DataFrame:
+        same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
+        return rows.join(chosen.select("doc_id", "text_key"), same, "left_semi")
+
+    repeated = among(found.where("rows <> stay")).groupBy("id", "own_key").agg(F.first("doc").alias("doc"))
+    kept = among(found.where("rows = stay")).select("doc").unionByName(repeated.select("doc"))
+    return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def op6_jaccard_join(docs: DataFrame) -> DataFrame:
