@@ -25,6 +25,7 @@ from bindings.oracle import (
     vip_label,
     when,
 )
+from bindings.topics import ROUND, ROUNDS
 
 ORACLE: dict[str, str] = {}
 
@@ -460,15 +461,46 @@ sql("speed_comment_counters", f"""SELECT dt, target AS rpid, oid, CAST({net(('co
 
 # ---- streams
 _CHANGING = ("vip_create_order", "vip_pay_success", "vip_pay_fail", "vip_pay_cancel")
-_PAID = f"""SELECT *, lag(event_id) OVER o AS prior, lag(ms) OVER o AS prior_ms FROM oe
-  WHERE order_no IS NOT NULL AND order_no <> '' AND {when('event_id', _CHANGING)} WINDOW o AS (PARTITION BY order_no ORDER BY ms, event_id)"""
-sql("stream_order_changes", f"""SELECT order_no, mid, plan_id, new_expire AS new_vip_expire, ms AS server_ts,
-  CASE event_id WHEN 'vip_create_order' THEN 'created' WHEN 'vip_pay_success' THEN 'paid' ELSE 'ended' END AS change,
-  coalesce(prior = 'vip_create_order' AND ms - prior_ms <= 21600000, false) AS was_pending FROM ({_PAID})""")
-sql("stream_pending_orders", f"""SELECT order_no, mid, ms AS server_ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY ms DESC) AS rn FROM ({_PAID}))
-  WHERE rn = 1 AND event_id = 'vip_create_order'
-  AND ms + 21600000 >= (SELECT max(ms) - 5000 FROM oe WHERE order_no IS NOT NULL AND order_no <> '' AND {when('event_id', _CHANGING)})""")
+_TTL = 21600000
+# What is held of an order after each round: its last event, unless the watermark had passed its limit.
+_ORDER_CHANGES = f""", ov AS (SELECT order_no, event_id, ms, mid, plan_id, new_expire, {ROUND} AS round FROM oe
+    WHERE order_no IS NOT NULL AND order_no <> '' AND {when('event_id', _CHANGING)}),
+marks AS (SELECT r, coalesce((SELECT max(ms) - 5000 FROM ov WHERE round < r), 0) AS mark FROM range(0, {ROUNDS + 1}) AS t(r)),
+lasts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_no, round ORDER BY ms DESC, event_id DESC) AS rn FROM ov) WHERE rn = 1),
+held AS (
+  SELECT CAST(-1 AS BIGINT) AS r, order_no, CAST(NULL AS BIGINT) AS ts, CAST(NULL AS VARCHAR) AS ev FROM (SELECT DISTINCT order_no FROM ov)
+  UNION ALL
+  SELECT h.r + 1, h.order_no,
+    CASE WHEN h.ts + {_TTL} >= marks.mark AND (l.ms IS NULL OR (h.ts, h.ev) > (l.ms, l.event_id)) THEN h.ts ELSE l.ms END,
+    CASE WHEN h.ts + {_TTL} >= marks.mark AND (l.ms IS NULL OR (h.ts, h.ev) > (l.ms, l.event_id)) THEN h.ev ELSE l.event_id END
+  FROM held h JOIN marks ON marks.r = h.r + 1 LEFT JOIN lasts l ON l.order_no = h.order_no AND l.round = h.r + 1 WHERE h.r < {ROUNDS - 1}),
+before AS (
+  SELECT ov.*, lag(ov.event_id) OVER o AS p_ev, lag(ov.ms) OVER o AS p_ts, h.ev AS h_ev, h.ts AS h_ts
+  FROM ov JOIN marks ON marks.r = ov.round
+    LEFT JOIN held h ON h.order_no = ov.order_no AND h.r = ov.round - 1 AND h.ts + {_TTL} >= marks.mark
+  WINDOW o AS (PARTITION BY ov.order_no, ov.round ORDER BY ov.ms, ov.event_id)),
+priors AS (SELECT *, h_ts IS NOT NULL AND (h_ts, h_ev) <= (ms, event_id) AND (p_ts IS NULL OR (h_ts, h_ev) > (p_ts, p_ev)) AS by_held FROM before),
+changes AS (
+  SELECT order_no, mid, plan_id, new_expire AS new_vip_expire, ms AS server_ts,
+    CASE event_id WHEN 'vip_create_order' THEN 'created' WHEN 'vip_pay_success' THEN 'paid' ELSE 'ended' END AS change,
+    coalesce(CASE WHEN by_held THEN h_ev ELSE p_ev END = 'vip_create_order'
+      AND ms - CASE WHEN by_held THEN h_ts ELSE p_ts END <= {_TTL}, false) AS was_pending FROM priors
+  UNION ALL
+  SELECT order_no, NULL, NULL, NULL, ts + {_TTL}, 'expired', true
+  FROM held JOIN marks ON marks.r = held.r + 1 WHERE ev = 'vip_create_order' AND ts + {_TTL} < mark)
+"""
+
+
+def recursive(text: str) -> str:
+    return text.replace("WITH", "WITH RECURSIVE", 1)
+
+
+ORACLE["stream_order_changes"] = recursive(f"""{COMMON.rstrip().rstrip(',')} {_ORDER_CHANGES}
+SELECT order_no, mid, plan_id, new_vip_expire, server_ts, change, was_pending FROM changes""")
+ORACLE["stream_pending_orders"] = recursive(f"""{COMMON.rstrip().rstrip(',')} {_ORDER_CHANGES}
+SELECT order_no, mid, server_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY server_ts DESC, change DESC) AS rn FROM changes)
+WHERE rn = 1 AND change = 'created'""")
 sql("stream_vip_updates", f"""SELECT reverse(CAST(mid AS VARCHAR)) AS rowkey, ms AS version,
   CASE WHEN plan_id IN ('monthly', 'auto_monthly') THEN '1' ELSE '2' END AS status__vip_type,
   CASE WHEN plan_id IN ('monthly', 'auto_monthly') THEN '月度大会员' ELSE '年度大会员' END AS status__vip_type_name,

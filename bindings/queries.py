@@ -769,27 +769,40 @@ def stream_registration_source(spark, sf_dir):
     return _live_stream(spark, sf_dir, live.REGISTRATION_SOURCE, topics.account_messages)
 
 
+def _in_rounds(rows: DataFrame, path: str, run: Callable[[], None]) -> None:
+    """Rows fed to a stream's folder by their ``round``; the stream is restarted from its checkpoint for each."""
+    for number in range(topics.ROUNDS):
+        rows.where(F.col("round") == number).drop("round").write.mode("append").parquet(path)
+        run()
+
+
 def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages in several rounds; every thirteenth comes a round late, behind the watermark."""
     path = work_path(spark, "order-changes")
-    raw = topics.vip_messages(_event_stream(spark, sf_dir))
-    changes = live_orders.order_changes(live_orders.order_events(raw), ttl_seconds=6 * 3600, slices=64)
+    events = topics.in_rounds(topics.events_of(spark, sf_dir))
+    messages = topics.vip_messages(events, ("round",)).select("json_str", "topic", "round")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
 
-    run_to_end(start(changes, write, f"{path}/checkpoint", mode="append"))
+    def run() -> None:
+        files = stream_session(spark, STREAM_PARTITIONS, keyed=True).readStream.schema("json_str string, topic string")
+        changing = live_orders.order_events(files.parquet(f"{path}/messages"))
+        changes = live_orders.order_changes(changing, ttl_seconds=6 * 3600)
+        run_to_end(start(changes, write, f"{path}/checkpoint", mode="append"))
+
+    _in_rounds(messages, f"{path}/messages", run)
     return spark.read.schema(live_orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
 
 
 @query
 def stream_order_changes(spark, sf_dir):
-    changes = _order_changes(spark, sf_dir)
-    return plain(changes.where(F.col("change") != "expired"))
+    return plain(_order_changes(spark, sf_dir))
 
 
 @query
 def stream_pending_orders(spark, sf_dir):
-    """Orders still pending at the end of the stream, those past their time limit left out."""
+    """Orders whose last change created them, at the end of the stream."""
     pending = live_orders.pending_orders(_order_changes(spark, sf_dir))
     return plain(pending.select("order_no", "mid", "server_ts"))
 

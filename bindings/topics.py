@@ -82,6 +82,19 @@ def events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape_events(table(spark, sf_dir, "events"))
 
 
+ROUNDS = 4
+# Rounds of ten days; rows that are late come a round later.
+ROUND = (
+    "least(3, CASE WHEN dt < '2024-01-11' THEN 0 WHEN dt < '2024-01-21' THEN 1 ELSE 2 END"
+    " + CASE WHEN i % 13 = 0 THEN 1 ELSE 0 END)"
+)
+
+
+def in_rounds(events: DataFrame) -> DataFrame:
+    """Events with the ``round`` in which they are fed to a stream."""
+    return events.selectExpr("*", f"{ROUND} AS round")
+
+
 DEVICE = struct(
     device_id="concat('d', uid % 40)",
     brand=pick(("Apple", "Xiaomi", "Huawei"), "uid"),
@@ -124,8 +137,10 @@ def _message(names: tuple, server_ts: str, properties: str, **extra: str) -> str
     return f"to_json({body}) AS json_str"
 
 
-def _landed(rows: DataFrame, message: str, topic: str, dt: str = "dt", ms: str = "ms") -> DataFrame:
-    return rows.selectExpr(message, f"{dt} AS dt", f"'{topic}' AS topic", f"{ms} AS ms")
+def _landed(
+    rows: DataFrame, message: str, topic: str, dt: str = "dt", ms: str = "ms", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    return rows.selectExpr(message, f"{dt} AS dt", f"'{topic}' AS topic", f"{ms} AS ms", *carry)
 
 
 def video_messages(events: DataFrame) -> DataFrame:
@@ -168,7 +183,7 @@ def comment_messages(events: DataFrame) -> DataFrame:
     return _landed(events, message, "app_event_comment")
 
 
-def vip_messages(events: DataFrame) -> DataFrame:
+def vip_messages(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     events = events.selectExpr(
         "*", f"{pick(VIP_EVENTS, 'i')} AS step", "get(array(31, 30, 366, 93), CAST(k % 4 AS INT)) AS days"
     )
@@ -194,7 +209,7 @@ def vip_messages(events: DataFrame) -> DataFrame:
         "from": "event_type",
     })
     number = f"CASE WHEN step = 'vip_page_view' THEN '' WHEN i % 101 <> 0 THEN {ORDER_NO} END"
-    return _landed(events, _message(VIP_EVENTS, "ms", properties, order_no=number), "app_event_vip")
+    return _landed(events, _message(VIP_EVENTS, "ms", properties, order_no=number), "app_event_vip", carry=carry)
 
 
 def account_messages(events: DataFrame) -> DataFrame:

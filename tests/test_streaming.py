@@ -33,8 +33,8 @@ class Feed:
         df.coalesce(1).write.parquet(f"{self.path}/{self.count:04d}")
         self.count += 1
 
-    def stream(self):
-        reader = stream_session(self.spark, STREAM_PARTITIONS).readStream.schema(RAW).option("maxFilesPerTrigger", 1)
+    def stream(self, keyed=False):
+        reader = stream_session(self.spark, STREAM_PARTITIONS, keyed).readStream.schema(RAW).option("maxFilesPerTrigger", 1)
         return reader.option("recursiveFileLookup", "true").parquet(self.path)
 
     def batch(self):
@@ -181,7 +181,7 @@ def test_pending_order_state(spark, feed, rows):
     feed.add("app_event_vip", vip("vip_pay_success", "b", 99), vip("vip_pay_start", "b", 99))
     feed.add("app_event_vip", vip("vip_pay_success", "c", 200), vip("vip_create_order", "d", 9000), vip("vip_create_order", "e", 12000))
     path = work_path(spark, "orders")
-    changes = orders.order_changes(orders.order_events(feed.stream()), ttl_seconds=100)
+    changes = orders.order_changes(orders.order_events(feed.stream(keyed=True)), ttl_seconds=100)
     run_to_end(start(changes, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
     stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
     paid = rows(stored.where("change = 'paid'"), "order_no", "was_pending")
@@ -192,7 +192,7 @@ def test_pending_order_state(spark, feed, rows):
 
 def test_order_changes_do_not_depend_on_the_size_of_arrow_batches(spark, feed, rows):
     feed.add("app_event_vip", vip("vip_pay_success", "a", 200), vip("vip_create_order", "a", 100))
-    path, stream = work_path(spark, "orders"), feed.stream()
+    path, stream = work_path(spark, "orders"), feed.stream(keyed=True)
     stream.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     try:
         changes = orders.order_changes(orders.order_events(stream), ttl_seconds=100)
@@ -213,7 +213,7 @@ def test_late_rows_change_orders(spark, feed, rows):
     feed.add("app_event_vip", vip(pay, "b", 20), vip(create, "g", 5), vip(pay, "y", 1))
     feed.add("app_event_vip", vip(create, "h", 1100))
     path = work_path(spark, "orders")
-    changes = orders.order_changes(orders.order_events(feed.stream()), ttl_seconds=100, slices=2)
+    changes = orders.order_changes(orders.order_events(feed.stream(keyed=True)), ttl_seconds=100)
     run_to_end(start(changes, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
     stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
     seen = stored.withColumn("second", F.expr(f"(server_ts - {BASE}) div 1000"))
@@ -228,6 +228,19 @@ def test_late_rows_change_orders(spark, feed, rows):
     assert rows(orders.pending_orders(stored), "order_no") == [("e",), ("h",), ("i",)]
 
 
+def test_an_order_expires_just_after_its_limit(spark, feed, rows):
+    """The watermark is 5 seconds behind the newest event; a limit that it just reaches is not over."""
+    create = "vip_create_order"
+    feed.add("app_event_vip", vip(create, "a", 0), vip(create, "b", 1), vip(create, "late", 106))
+    feed.add("app_event_vip", vip(create, "c", 3), vip(create, "very late", -200))
+    path = work_path(spark, "orders")
+    changes = orders.order_changes(orders.order_events(feed.stream(keyed=True)), ttl_seconds=100)
+    run_to_end(start(changes, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
+    stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
+    assert rows(stored.where("change = 'expired'"), "order_no") == [("a",), ("very late",)]
+    assert rows(orders.pending_orders(stored), "order_no") == [("b",), ("c",), ("late",)]
+
+
 def test_vip_updates_skip_incomplete_payments(spark, feed, rows):
     feed.add(
         "app_event_vip", vip("vip_pay_success", "a", 1, plan_id="monthly", new_vip_expire=BASE // 1000),

@@ -58,13 +58,20 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stream_session(spark: SparkSession, partitions: int) -> SparkSession:
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, partitions: int, keyed: bool = False) -> SparkSession:
     """A sibling session for streaming queries, with its own SQL settings.
 
     A stream keeps its number of shuffle partitions for the life of its checkpoint, so ``partitions``
-    is chosen for the state it will grow to, not for the cores of its first start.
+    is chosen for the state it will grow to, not for the cores of its first start. Streams whose state is
+    kept key by key, with timers, are ``keyed``: their states lie in RocksDB.
     """
     sibling = spark.newSession()
+    if keyed:
+        sibling.conf.set(STATE_STORE_KEY, STATE_STORE)
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return sibling

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo,
+    StatefulProcessor,
+    StatefulProcessorHandle,
+    TimerValues,
+)
 
 from tidemark.functions.derive import reverse_key
 from tidemark.functions.labels import vip_type_from_plan, vip_type_name
@@ -20,11 +24,11 @@ from tidemark.streaming import schemas
 from tidemark.streaming.dims import start_upsert
 
 DEFAULT_TTL_SECONDS = 3600
-DEFAULT_SLICES = 1024
 CHANGE_SCHEMA = (
     "order_no string, change string, mid bigint, plan_id string, new_vip_expire bigint, server_ts bigint, "
     "was_pending boolean"
 )
+CREATED = "vip_create_order"
 # What an event does to its order.
 CHANGES = {
     "vip_create_order": "created",
@@ -33,6 +37,7 @@ CHANGES = {
     "vip_pay_cancel": "ended",
 }
 
+
 def order_events(raw: DataFrame, delay: str = "5 seconds") -> DataFrame:
     """Order events that change an order's state, with event time; unreadable messages are dropped."""
     messages = parse_messages(raw.where(F.col("topic") == "app_event_vip"), schemas.VIP_EVENT)
@@ -49,75 +54,107 @@ def order_events(raw: DataFrame, delay: str = "5 seconds") -> DataFrame:
     )
 
 
-def order_changes(
-    events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS, slices: int = DEFAULT_SLICES
-) -> DataFrame:
+class OrderTracker(StatefulProcessor):
+    """One order's state: its last event in time order, with a timer for the end of its time limit."""
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "server_ts bigint, event_id string")
+
+    def _over(self, last: tuple | None, watermark: int) -> bool:
+        return last is not None and last[0] + self.ttl_ms < watermark
+
+    def _expired(self, order_no: str, last: tuple) -> Iterator[Row]:
+        """The row of an order that was still pending; one that had ended is forgotten in silence."""
+        if last[1] == CREATED:
+            yield Row(
+                order_no=order_no, change="expired", mid=None, plan_id=None, new_vip_expire=None,
+                server_ts=last[0] + self.ttl_ms, was_pending=True,
+            )
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        before = last = tuple(self.held.get()) if self.held.exists() else None
+        if self._over(last, watermark):
+            yield from self._expired(key[0], last)
+            last = None
+        # All rows of the micro-batch at once: their order must not depend on how they were brought.
+        steps = [(row.server_ts, row.event_id, row) for row in rows]
+        steps += [(*last, None)] if last else []
+        steps.sort(key=lambda step: (step[0], step[1], step[2] is not None))
+        prior = None
+        for at, event, row in steps:
+            if row is not None:
+                yield Row(
+                    order_no=key[0], change=CHANGES[event], mid=row.mid, plan_id=row.plan_id,
+                    new_vip_expire=row.new_vip_expire, server_ts=at,
+                    was_pending=prior is not None and prior[1] == CREATED and at - prior[0] <= self.ttl_ms,
+                )
+            prior = at, event
+        last = prior
+        if self._over(last, watermark):
+            yield from self._expired(key[0], last)
+            last = None
+        if last == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before[0] + self.ttl_ms)
+        if last is None:
+            self.held.clear()
+        else:
+            self.held.update(last)
+            self.handle.registerTimer(last[0] + self.ttl_ms)
+
+    def handleExpiredTimer(
+        self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[Row]:
+        if not self.held.exists():
+            return
+        last = tuple(self.held.get())
+        if self._over(last, timerValues.getCurrentWatermarkInMs()):
+            yield from self._expired(key[0], last)
+            self.held.clear()
+        else:
+            self.handle.registerTimer(last[0] + self.ttl_ms)
+
+    def close(self) -> None:
+        pass
+
+
+def order_changes(events: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS) -> DataFrame:
     """The state changes of orders: created, paid, ended, expired, and whether the order was pending.
 
     Creating an order makes it pending; paying, failing or cancelling ends that; a pending order is
     forgotten ``ttl_seconds`` after its creation. A payment is passed on in any case. The limit is
-    measured in event time, so a replay of the stream gives the same rows.
+    measured in event time, so a replay of the same micro-batches gives the same rows.
 
-    State is kept per slice of the order numbers, holding the slice's pending orders, so that rows
-    are worked off by column operations on whole Arrow batches instead of order by order. A slice
-    holds its share of the orders of the last ``ttl_seconds``; ``slices`` sets how many there are
-    and stays fixed for the life of a checkpoint. A task holds a slice's share of a micro-batch.
+    Each order has a state of its own, its last event, and a timer. A micro-batch touches the states of
+    the orders that it has events of and of those whose timer is over, whatever their number; states lie
+    in RocksDB, outside the memory of the tasks. A task holds the events that one order has in a
+    micro-batch. The session must be one of ``stream_session(..., keyed=True)``.
 
     Rows behind the watermark are taken like others; the watermark only tells when time limits are over.
     Rows are worked off in time order, within a micro-batch and against what is held. An order that has
     ended is held for ``ttl_seconds`` too, so that its creation, should it come later, leaves it ended.
     What was passed on before a late row came is not taken back.
     """
-    ttl_ms, changes = ttl_seconds * 1000, dict(CHANGES)
     given = ["order_no", "event_id", "server_ts", "mid", "plan_id", "new_vip_expire"]
-    names = ["order_no", "change", "mid", "plan_id", "new_vip_expire", "server_ts", "was_pending"]
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        orders, times, ended = state.get if state.exists else ([], [], [])
-        held = pd.DataFrame({"order_no": list(orders), "server_ts": pd.Series(list(times), dtype="int64")})
-        # Any event that ends an order stands for the one that did.
-        held["event_id"] = ["vip_pay_success" if x else "vip_create_order" for x in ended]
-        if not state.hasTimedOut:
-            # All rows of the micro-batch at once: the size of Arrow batches must not decide their order.
-            rows = pd.concat(batches, ignore_index=True)
-            both = pd.concat([held.assign(fresh=False), rows[given].assign(fresh=True)], ignore_index=True)
-            both = both.sort_values(["order_no", "server_ts", "event_id", "fresh"], kind="stable")
-            prior = both.groupby("order_no", sort=False)[["event_id", "server_ts"]].shift()
-            age = both["server_ts"] - prior["server_ts"]
-            both["was_pending"] = (prior["event_id"] == "vip_create_order") & (age <= ttl_ms)
-            both["change"] = both["event_id"].map(changes)
-            yield both.loc[both["fresh"].astype(bool), names]
-            held = both.drop_duplicates("order_no", keep="last")[["order_no", "server_ts", "event_id"]]
-            held = held.reset_index(drop=True)
-        watermark = state.getCurrentWatermarkMs()
-        over = held["server_ts"] + ttl_ms < watermark
-        gone = held[over & (held["event_id"] == "vip_create_order")]
-        if len(gone):
-            gone = gone.assign(change="expired", mid=None, plan_id=None, new_vip_expire=None, was_pending=True)
-            yield gone.assign(server_ts=gone["server_ts"] + ttl_ms)[names]
-        held = held[~over]
-        if held.empty:
-            if state.exists:
-                state.remove()
-            return
-        ended = (held["event_id"] != "vip_create_order").tolist()
-        state.update((held["order_no"].tolist(), held["server_ts"].tolist(), ended))
-        state.setTimeoutTimestamp(max(int(held["server_ts"].min()) + ttl_ms, watermark + 1))
-
     # Spark drops rows whose column with the watermark's mark is behind the watermark. That column is given as
     # null, which is behind nothing; the watermark itself is taken from the times below it.
     mark = events.schema["event_time"].metadata
     timeless = F.lit(None).cast("timestamp").alias("event_time", metadata=mark)
-    sliced = events.select(*given, timeless).withColumn("slice", F.pmod(F.xxhash64("order_no"), F.lit(slices)))
-    return sliced.groupBy("slice").applyInPandasWithState(
-        step, CHANGE_SCHEMA, "orders array<string>, times array<bigint>, ended array<boolean>", "append",
-        GroupStateTimeout.EventTimeTimeout,
+    tracker = OrderTracker(ttl_seconds * 1000)
+    return events.select(*given, timeless).groupBy("order_no").transformWithState(
+        tracker, CHANGE_SCHEMA, "append", "EventTime"
     )
 
 
 def pending_orders(changes: DataFrame) -> DataFrame:
     """Orders that are pending after the given changes: those whose last change created them."""
-    return latest_by_key(changes, ["order_no"], ["server_ts"]).where(F.col("change") == "created")
+    return latest_by_key(changes, ["order_no"], ["server_ts", "change"]).where(F.col("change") == "created")
 
 
 def paid_orders(events: DataFrame) -> DataFrame:
