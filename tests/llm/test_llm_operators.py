@@ -25,7 +25,7 @@ from tidemark.llm.quality import op5_quality
 from tidemark.llm.records import DamagedRecord, frame, op2_records, pack_ids, read_at, read_frames, unpack_ids, write_records
 from tidemark.llm.tokens import Encoder, public_path
 from tidemark.llm.toxicity import HIDDEN, Network, Scorer, drop_toxic, laid_out, op3_toxicity, train, windows
-from tidemark.llm.url_filter import CharModel, grams, op1_url_filter
+from tidemark.llm.url_filter import logistic, op1_url_filter
 
 # Columns named like those that operators make clash with nothing.
 AT_FOUR_FIFTHS = Bands((8, 10))
@@ -360,8 +360,56 @@ def test_op1_rules_and_model(spark):
     assert all(r.verdict in ("allow", "block") for r in got.values())
     empty = spark.createDataFrame([], "page_id long, url string")
     assert op1_url_filter(empty).count() == 0
-    model = CharModel(Counter(grams("abab", 2)))
-    assert sum(model.chance("a" + chr(c)) for c in range(256)) == pytest.approx(1)
+
+
+class CharModel:
+    """Interpolated variable-order Markov model by plain recursion."""
+
+    def __init__(self, texts, order=4):
+        self.counts, self.totals, self.kinds = Counter(), Counter(), Counter()
+        for text in texts:
+            marked = "\x02" + text + "\x03"
+            self.counts.update(marked[at - k : at + 1] for at in range(1, len(marked)) for k in range(min(order, at) + 1))
+        for gram, n in self.counts.items():
+            self.totals[gram[:-1]] += n
+            self.kinds[gram[:-1]] += 1
+
+    def chance(self, gram):
+        lower = self.chance(gram[1:]) if len(gram) > 1 else 1 / 256
+        total, kinds = self.totals[gram[:-1]], self.kinds[gram[:-1]]
+        return (self.counts[gram] + kinds * lower) / (total + kinds) if total else lower
+
+
+def test_op1_ratio_and_calibration_by_brute_force(spark):
+    """Repeated rows, null, very long urls, symbols beyond ASCII, clashing columns."""
+    rng = random.Random(2)
+    urls = [f"h://a.com/{rng.choice(['fr/', 'de/', 'x/'])}{rng.choice(['eau', 'haus', 'é', '漢字'])}{rng.randrange(50)}?q={n % 7}" for n in range(400)]
+    urls += [None, "", "no scheme", "h://b.com/x/" + "long" * 20_000, urls[0], urls[0], "h://c.net/\U0001f600"]
+    rows = [(n if n % 50 else None, u) for n, u in enumerate(urls)]
+    names = ["gram", "id", "text", "allow", "bits", "ratio"]
+    frame = spark.createDataFrame([(*r, 1, 2, "t", 3, 4, 5) for r in rows], "page_id long, url string, " + ", ".join(f"{n} {'string' if n == 'text' else 'int'}" for n in names))
+    got = op1_url_filter(frame).collect()
+    assert len(got) == len(rows)
+    judged = [(i, u, "allow" if "com/fr/" in u else "block") for i, u in rows if u and ("com/fr/" in u or "com/de/" in u)]
+    held = [zlib.crc32(("null" if i is None else str(i)).encode()) % 5 == 0 for i, *_ in judged]
+    models = {c: CharModel([u for (_, u, v), out in zip(judged, held) if v == c and not out]) for c in ("allow", "block")}
+
+    def ratio(text):
+        marked = "\x02" + text + "\x03"
+        ends = [marked[max(0, at - 4) : at + 1] for at in range(1, len(marked))]
+        return sum(np.log2(models["allow"].chance(g)) - np.log2(models["block"].chance(g)) for g in ends) / len(ends)
+
+    kept = [(ratio(u), v == "allow") for (_, u, v), out in zip(judged, held) if out]
+    slope, offset = logistic(np.array([k[0] for k in kept]), np.array([k[1] for k in kept], dtype=float))
+    want = Counter()
+    for i, u in rows:
+        if u and ("com/fr/" in u or "com/de/" in u):
+            want[i, "allow" if "com/fr/" in u else "block", None] += 1
+        else:
+            chance = 1 / (1 + np.exp(-np.clip(slope * ratio(u or "") + offset, -60, 60)))
+            want[i, "block" if chance < 0.5 else "allow", round(float(chance), 6)] += 1
+    assert Counter((r.page_id, r.verdict, None if r.chance is None else round(r.chance, 6)) for r in got) == want
+    assert sum(models["allow"].chance("r" + chr(c)) for c in range(256)) == pytest.approx(1, abs=0.02)
 
 
 def test_op3_gradients_follow_the_loss():

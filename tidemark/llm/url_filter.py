@@ -1,24 +1,26 @@
 """URL filter: rules first, then a likelihood ratio of two character models.
 
 Urls that a rule judges train the method: one smoothed variable-order Markov model for those allowed
-and one for those blocked, from all of them. A url's measure is the difference of its two
+and one for those blocked, from all of them and whole. A url's measure is the difference of its two
 log-likelihoods divided by its length; a logistic curve fitted on urls kept out of the counts turns
 it into the probability that the url would be allowed.
+
+The models are tables, not objects: counts of grams, totals and kinds of their contexts, and chances
+worked out from shorter to longer grams by joins, for just those grams that some url has. Nothing of
+them is broadcast or collected, so no gram is left out whatever their number.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_fold, stored
+from tidemark.llm.common import in_fold, slices, stored
 
 # The rules, as verdict and host with path.
 RULES = (
@@ -32,10 +34,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 
 ORDER = 4
-# Bounds of what is broadcast and of the calibration sample.
-MAX_GRAMS = 500_000
+SYMBOLS = 256
+# Bound of the calibration sample.
 CALIBRATION_ROWS = 20_000
 CALIBRATION_FOLDS = 5
+GRAM_BYTES = 1 << 18
 FIRST, LAST = "\x02", "\x03"
 
 
@@ -56,98 +59,74 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def grams(text: str, order: int) -> Iterator[str]:
-    """Every symbol with each of its contexts of up to ``order`` symbols before it."""
+def last_grams(text: str, order: int = ORDER) -> Counter:
+    """Every symbol with up to ``order`` symbols before it, and how often."""
     marked = FIRST + text + LAST
-    for at in range(1, len(marked)):
-        for size in range(min(order, at) + 1):
-            yield marked[at - size : at + 1]
-
-
-def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """verdict, gram, n over all rows (``verdict``, ``text``), counted in each task and then summed."""
+    return Counter(marked[max(0, at - order) : at + 1] for at in range(1, len(marked)))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def flush() -> pa.RecordBatch:
-            keys = list(held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 pa.array([held[k] for k in keys], pa.int64())],
-                ["verdict", "gram", "n"],
-            )
+def text_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(id, gram, times, allow, block) of every text (``id``, ``text``, ``allow``, ``block``)."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for verdict, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.update((verdict, gram) for gram in grams(text, order))
-                if len(held) > 500_000:
-                    yield flush()
-                    held.clear()
-        if held:
-            yield flush()
-
-    parts = rows.select("verdict", "text").mapInArrow(count, "verdict string, gram string, n bigint")
-    return parts.groupBy("verdict", "gram").agg(F.sum("n").alias("n"))
-
-
-class CharModel:
-    """Interpolated variable-order Markov model: a context's share of new symbols goes to the next
-    shorter context, down to a uniform choice among ``symbols``."""
-
-    def __init__(self, counts: dict[str, int], symbols: int = 256):
-        self.counts, self.symbols, self.known = counts, symbols, {}
-        self.totals: Counter = Counter()
-        self.kinds: Counter = Counter()
-        for gram, n in counts.items():
-            self.totals[gram[:-1]] += n
-            self.kinds[gram[:-1]] += 1
-
-    def chance(self, gram: str) -> float:
-        """Of the last symbol after the others."""
-        context = gram[:-1]
-        lower = self.chance(gram[1:]) if context else 1 / self.symbols
-        total = self.totals.get(context, 0)
-        if not total:
-            return lower
-        kinds = self.kinds[context]
-        return (self.counts.get(gram, 0) + kinds * lower) / (total + kinds)
-
-    def bits(self, gram: str) -> float:
-        if gram not in self.known:
-            if len(self.known) > 500_000:
-                self.known.clear()
-            self.known[gram] = -math.log2(self.chance(gram))
-        return self.known[gram]
-
-
-class RatioModel:
-    """Two character models and the logistic curve over their normalised difference."""
-
-    def __init__(self, allow: dict[str, int], block: dict[str, int], order: int = ORDER):
-        self.allow, self.block, self.order = CharModel(allow), CharModel(block), order
-        self.slope, self.offset = 0.0, 0.0
-        self.trained = bool(allow) and bool(block)
-
-    def ratio(self, text: str) -> float:
-        """Bits per symbol by which the allowed model does better."""
-        marked = FIRST + text + LAST
-        total = 0.0
-        for at in range(1, len(marked)):
-            gram = marked[max(0, at - self.order) : at + 1]
-            total += self.block.bits(gram) - self.allow.bits(gram)
-        return total / (len(marked) - 1)
-
-    def calibrate(self, texts: list[str], allowed: list[bool]) -> None:
-        x, y = np.array([self.ratio(t) for t in texts]), np.array(allowed, dtype=float)
-        if len(x):
-            self.slope, self.offset = logistic(x, y)
-
-    def chance(self, text: str) -> float:
-        """That the url would be allowed; 0.5 for any url if either class has no training rows."""
-        if not self.trained:
-            return 0.5
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.slope * self.ratio(text) + self.offset))))
+            for part in slices(batch, "text", GRAM_BYTES):
+                rows, grams, times = [], [], []
+                for row, text in enumerate(part.column(1).to_pylist()):
+                    found = last_grams(text, order)
+                    rows += [row] * len(found)
+                    grams += found.keys()
+                    times += found.values()
+                at = pa.array(rows, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), pa.array(grams, pa.string()), pa.array(times, pa.int64()),
+                     part.column(2).take(at), part.column(3).take(at)],
+                    ["id", "gram", "times", "allow", "block"],
+                )
+
+    kinds = "id bigint, gram string, times bigint, allow bigint, block bigint"
+    return texts.select("id", "text", "allow", "block").mapInArrow(cut, kinds)
+
+
+def gram_bits(grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, bits): by how many bits the model of allowed urls does better at the gram's last symbol.
+
+    A context's share of new symbols goes to the next shorter context, down to a uniform choice among
+    ``SYMBOLS``; the shorter grams and contexts of a gram are its ends.
+    """
+    classes = ("allow", "block")
+    longest = grams.groupBy("gram").agg(*(F.sum(F.col("times") * F.col(c)).alias(c) for c in classes))
+    ends = F.transform(F.sequence(F.lit(1), F.length("gram")), lambda size: F.right(F.col("gram"), size))
+    counts = longest.select(F.explode(ends).alias("gram"), *classes).groupBy("gram").agg(*(F.sum(c).alias(c) for c in classes))
+    counts = counts.withColumn("size", F.length("gram"))
+    counts = stored(counts.withColumn("context", F.expr("left(gram, size - 1)")), "counts")
+    contexts = counts.groupBy("context").agg(
+        *(F.sum(c).alias(f"{c}_total") for c in classes), *(F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in classes)
+    )
+    known = stored(counts.join(contexts, "context"), "known")
+
+    def chance(of: str, lower: Column) -> Column:
+        total, kinds = F.col(f"{of}_total"), F.col(f"{of}_kinds")
+        return F.when(total > 0, (F.col(of) + kinds * lower) / (total + kinds)).otherwise(lower)
+
+    uniform = F.lit(1 / SYMBOLS)
+    level = known.where("size = 1").select("gram", *(chance(c, uniform).alias(f"{c}_chance") for c in classes))
+    levels = None
+    for size in range(2, order + 2):
+        lower = level.select(F.col("gram").alias("end"), *(F.col(f"{c}_chance").alias(f"{c}_lower") for c in classes))
+        own = known.where(F.col("size") == size).withColumn("end", F.right(F.col("gram"), F.lit(size - 1)))
+        own = own.join(lower, "end").select("gram", *(chance(c, F.col(f"{c}_lower")).alias(f"{c}_chance") for c in classes))
+        level = stored(own, "level")
+        levels = level if levels is None else levels.unionByName(level)
+    return levels.select("gram", (F.log2("allow_chance") - F.log2("block_chance")).alias("bits"))
+
+
+def text_ratios(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(text, ratio): bits per symbol by which the allowed model does better, for distinct texts."""
+    grams = stored(text_grams(texts, order), "grams")
+    own = grams.select("id", "gram", "times").join(gram_bits(grams, order), "gram")
+    sums = own.groupBy("id").agg((F.sum(F.col("times") * F.col("bits")) / F.sum("times")).alias("ratio"))
+    return texts.select("id", "text").join(sums, "id").select("text", "ratio")
 
 
 def logistic(
@@ -167,46 +146,37 @@ def logistic(
     return float(beta[0]), float(beta[1])
 
 
-def train(judged: DataFrame, order: int = ORDER) -> RatioModel:
-    """Fits both models on all judged rows (``page_id``, ``verdict``, ``text``) but one fold, and the
-    curve on at most ``CALIBRATION_ROWS`` rows of that fold. The ``MAX_GRAMS`` commonest grams of
-    each class that occur at least twice are kept, which bounds what is broadcast."""
-    kept_out = in_fold("page_id", CALIBRATION_FOLDS, 0)
-    counted = stored(count_grams(judged.where(~kept_out), order).where("n > 1"), "grams")
-    models = {
-        verdict: dict(counted.where(F.col("verdict") == verdict).orderBy(F.desc("n"), "gram").limit(MAX_GRAMS)
-                      .select("gram", "n").toPandas().itertuples(index=False, name=None))
-        for verdict in ("allow", "block")
-    }
-    model = RatioModel(models["allow"], models["block"], order)
-    sample = judged.where(kept_out).orderBy(F.xxhash64("page_id", "text"), "text").limit(CALIBRATION_ROWS)
-    rows = sample.select("text", F.col("verdict") == "allow").collect()
-    model.calibrate([r[0] for r in rows], [r[1] for r in rows])
-    return model
-
-
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and ``chance`` where the method decided.
 
-    Null urls and urls without ``://`` have empty host and path, fit no rule and are judged as an empty
-    text. Repeated rows are judged alike. Without training rows in both classes the method allows. An
-    empty table gives no rows.
+    Both models are fitted on all judged rows but one fold, the curve on at most ``CALIBRATION_ROWS`` rows
+    of that fold. Null urls and urls without ``://`` have empty host and path and fit no rule; the method
+    reads the whole url, a null as an empty text. Repeated rows are judged alike. Without training rows in
+    both classes the method allows. An empty table gives no rows. Other columns are not read.
     """
     host, path = url_parts(F.col("url"))
-    parts = pages.select("page_id", host.alias("host"), path.alias("path"))
+    parts = pages.select("page_id", host.alias("host"), path.alias("path"), F.coalesce("url", F.lit("")).alias("text"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    rows = parts.select("*", rule.alias("rule"), verdict.alias("verdict"), F.concat("host", "path").alias("text"))
-    model = train(rows.where("verdict IS NOT NULL"))
-    shared = pages.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def chance(texts):
-        return texts.map(shared.value.chance)
-
-    open_rows = rows.where("verdict IS NULL").withColumn("chance", chance("text"))
-    open_rows = open_rows.withColumn("verdict", F.when(F.col("chance") < 0.5, "block").otherwise("allow"))
-    ruled = rows.where("verdict IS NOT NULL").withColumn("chance", F.lit(None).cast("double"))
-    return reduce(DataFrame.unionByName, [ruled, open_rows]).drop("text")
+    rows = parts.select("*", rule.alias("rule"), verdict.alias("verdict"), in_fold("page_id", CALIBRATION_FOLDS, 0).alias("kept_out"))
+    counted = [F.count_if(~F.col("kept_out") & F.col("verdict").eqNullSafe(c)).alias(c) for c in ("allow", "block")]
+    texts = stored(rows.groupBy("text").agg(*counted).withColumn("id", F.monotonically_increasing_id()), "texts")
+    trained = texts.agg(F.coalesce(F.sum("allow"), F.lit(0)), F.coalesce(F.sum("block"), F.lit(0))).first()
+    if min(trained) == 0:
+        return rows.select(
+            "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"),
+            F.when(F.col("verdict").isNull(), 0.5).alias("chance"),
+        )
+    ratios = stored(text_ratios(texts), "ratios")
+    sample = rows.where(F.col("kept_out") & F.col("verdict").isNotNull())
+    sample = sample.orderBy(F.xxhash64("page_id", "text"), "text").limit(CALIBRATION_ROWS)
+    known = sample.join(ratios, "text").select("ratio", F.col("verdict") == "allow").collect()
+    slope, offset = 0.0, 0.0
+    if known:
+        slope, offset = logistic(np.array([r[0] for r in known]), np.array([r[1] for r in known], dtype=float))
+    reach = F.greatest(F.least(F.col("ratio") * slope + offset, F.lit(60.0)), F.lit(-60.0))
+    open_rows = rows.join(ratios, "text").withColumn("chance", F.when(F.col("verdict").isNull(), 1 / (1 + F.exp(-reach))))
+    decided = F.coalesce("verdict", F.when(F.col("chance") < 0.5, "block").otherwise("allow"))
+    return open_rows.select("page_id", "host", "path", "rule", decided.alias("verdict"), "chance")
 
 
 def op1_url_filter(pages: DataFrame) -> DataFrame:
