@@ -345,6 +345,31 @@ def test_op9_code_lengths_and_predictions(spark, docs, none):
     assert op9_language(none).count() == 0 and op9_language(docs).count() == docs.count()
 
 
+def test_op9_parts_give_the_lengths_of_whole_trees(spark):
+    """Fifty languages, sent whole, in groups, and each cut by context bytes."""
+    from tidemark.llm.language import cut_parts, identify, train
+
+    rng = random.Random(12)
+    letters = [rng.sample("abcdefghijklmnopqrstuvwxyzéñß漢字語", 9) for _ in range(50)]
+    text = lambda own: " ".join("".join(rng.choice(own) for _ in range(rng.randrange(1, 9))) for _ in range(25))
+    rows = [(n, text(letters[n % 50]), f"l{n % 50:02}") for n in range(400)] + [(None, None, None), (7, "12", "l00"), (8, "", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    known = frame.where("text IS NOT NULL AND lang IS NOT NULL")
+    for langs, cut in ((50, 20_000), (3, 900)):
+        made = []
+        for cells in (8_000_000, cut):
+            model = train(known.where(F.col("lang") < f"l{langs:02}"), cells=cells)
+            made.append(identify(frame, model, same=F.col("lang")).collect())
+            assert (len(model.parts) == 1) == (cells == 8_000_000)
+        assert any(len(part.ends) < 256 for part in model.parts) == (langs == 3)
+        for a, b in zip(*(sorted(m, key=lambda r: (str(r.doc_id), r.same or "")) for m in made), strict=True):
+            assert (a.doc_id, a.same, a.lang_pred) == (b.doc_id, b.same, b.lang_pred) and a.score == pytest.approx(b.score, rel=1e-3)
+        assert len(made[0]) == len(rows) and sum(r.lang_pred == r.same for r in made[0]) >= 8 * langs - 2
+    sizes = {"a": {None: 2, 5: 3, 9: 4}, "b": {None: 1, 1: 1}, "c": {1: 1}}
+    parts = cut_parts(sizes, 6)
+    assert [(p.langs, p.ends) for p in parts] == [(["a"], range(0, 9)), (["a"], range(9, 256)), (["b", "c"], range(256))]
+
+
 def test_op1_rules_and_model(spark):
     urls = [
         (1, "http://A.ORG/x?y"), (2, "https://sub.example.org/es/1"), (3, "x://example.org/en/1b"), (4, "x://b.com/fr/"),

@@ -5,6 +5,11 @@ known context gives it; a context that has not seen it is charged its escape and
 next shorter one, down to a uniform choice of a byte. Statistics are frozen, so the code length of a
 text is exact and adds up over its words: contexts end at the white space before a word. A word's
 code lengths are therefore worked out once per worker, and a text is the sum of its words.
+
+All grams of all training rows count. Trees that are too large to broadcast together are sent in parts,
+of some languages each, and a language that is too large alone in parts by the byte before the coded
+one: all contexts of a position end in that byte, so each part gives the code lengths of its positions
+and a text's are the sum over parts.
 """
 
 from __future__ import annotations
@@ -12,18 +17,19 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import in_fold, slices, stored
 
 ORDER = 3
 HELD_OUT = (4, 2)
-# Bounds of what is broadcast and of what a worker remembers.
-MAX_NODES = 200_000
+# Bounds of a part that is broadcast (grams times languages) and of what a worker remembers.
+PART_CELLS = 8_000_000
 MEMO_CELLS = 4_000_000
 GRAMS = "lang string, size int, code bigint, n bigint"
 UND = "und"
@@ -86,12 +92,16 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class ContextTrees:
-    """Frozen trees of all languages, by gram size: sorted gram numbers with a cost in bits per language
-    (infinite where unseen), and sorted context numbers with the cost of their escape (0 where unseen)."""
+    """Frozen trees of some languages, by gram size: sorted gram numbers with a cost in bits per language
+    (infinite where unseen), and sorted context numbers with the cost of their escape (0 where unseen).
+    Of positions, those count whose last context byte is one of ``ends``."""
 
-    def __init__(self, langs: list[str], grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    def __init__(
+        self, langs: list[str], grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], order: int = ORDER,
+        ends: range = range(256),
+    ):
         """``grams``: per size, the language number, code and count of every gram."""
-        self.langs, self.order = langs, max(grams, default=0) - 1
+        self.langs, self.order, self.ends = langs, order, ends
         self.costs, self.escapes = {}, {}
         for size, (lang, code, n) in grams.items():
             codes, row = np.unique(code, return_inverse=True)
@@ -112,7 +122,12 @@ class ContextTrees:
         word, codes, context = positions(words, self.order)
         bits = np.zeros((len(word), len(self.langs)), dtype=np.float32)
         todo = np.ones(bits.shape, dtype=bool)
+        if len(self.ends) < 256:
+            last = codes[1] >> 8
+            todo &= ((last >= self.ends.start) & (last < self.ends.stop))[:, None]
         for size in range(self.order + 1, 0, -1):
+            if size not in self.costs:
+                continue
             reach = np.flatnonzero(context >= size - 1)
             code = codes[size - 1][reach]
             known, cost = self.costs[size]
@@ -156,40 +171,95 @@ class Identifier:
             self.memo.update(zip(part, range(self.filled, self.filled + len(part))))
             self.filled += len(part)
 
-    def identify(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        langs, scores = [], []
-        judged = [bool(self.trees.langs) and text is not None and _letter(text) is not None for text in texts]
+    def bits(self, texts: list[str | None]) -> tuple[list[bool], np.ndarray]:
+        """Which texts can be judged, and the code length of every text in every language."""
+        judged = [text is not None and _letter(text) is not None for text in texts]
         split = [text.encode().split() if good else [] for text, good in zip(texts, judged)]
         self._learn(set().union(*split))
-        for good, words in zip(judged, split):
-            if not good:
-                langs.append(UND)
-                scores.append(0.0)
-                continue
-            rows = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
-            bits = self.table[rows].sum(axis=0, dtype=np.float64)
-            best = int(np.argmin(bits))
-            langs.append(self.trees.langs[best])
-            scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()))
-        return langs, scores
+        made = np.zeros((len(texts), len(self.trees.langs)))
+        for n, words in enumerate(split):
+            if words:
+                rows = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))
+                made[n] = self.table[rows].sum(axis=0, dtype=np.float64)
+        return judged, made
+
+    def identify(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        if not self.trees.langs:
+            return [UND] * len(texts), [0.0] * len(texts)
+        judged, bits = self.bits(texts)
+        best = bits.argmin(axis=1)
+        gap = np.maximum(bits[np.arange(len(texts)), best][:, None] - bits, -1000)
+        scores = 1 / np.exp2(gap).sum(axis=1)
+        langs = [self.trees.langs[k] if good else UND for good, k in zip(judged, best)]
+        return langs, [float(score) if good else 0.0 for good, score in zip(judged, scores)]
+
+
+class Part(NamedTuple):
+    """Languages, and the last context bytes of the positions that the part is for."""
+
+    langs: list[str]
+    ends: range
+
+
+class Model(NamedTuple):
+    """All grams (``lang``, ``size``, ``code``, ``n``) as a written table, and its parts."""
+
+    grams: DataFrame
+    parts: list[Part]
+    order: int
+
+    def trees(self, part: Part) -> ContextTrees:
+        own = self.grams.where(F.col("lang").isin(part.langs))
+        if len(part.ends) < 256:
+            own = own.where((F.col("size") == 1) | _end().between(part.ends.start, part.ends.stop - 1))
+        place = {lang: n for n, lang in enumerate(part.langs)}
+        rows, grams = own.select("lang", "size", "code", "n").toPandas(), {}
+        for size, held in rows.groupby("size"):
+            grams[int(size)] = held["lang"].map(place).to_numpy(), held["code"].to_numpy(), held["n"].to_numpy()
+        return ContextTrees(part.langs, grams, self.order, part.ends)
+
+
+def _end() -> Column:
+    """The last byte of a gram's context; none for grams of one byte."""
+    return F.when(F.col("size") > 1, F.shiftright("code", 8).bitwiseAND(255))
+
 
+def cut_parts(sizes: dict[str, dict[int | None, int]], cells: int = PART_CELLS) -> list[Part]:
+    """Parts of at most ``cells`` grams times languages, from each language's number of grams by last
+    context byte (None for grams without context, which every part has). One byte of one language is not
+    cut further: at order 3 it has at most 256^3 + 256^2 + 256 grams."""
+    parts, group, held = [], [], 0
+    for lang in sorted(sizes):
+        own = sum(sizes[lang].values())
+        if group and (own > cells or (held + own) * (len(group) + 1) > cells):
+            parts.append(Part(group, range(256)))
+            group, held = [], 0
+        if own <= cells:
+            group, held = [*group, lang], held + own
+            continue
+        start, filled = 0, 0
+        for byte in range(256):
+            more = sizes[lang].get(byte, 0)
+            if filled and filled + more > cells:
+                parts.append(Part([lang], range(start, byte)))
+                start, filled = byte, 0
+            filled += more
+        parts.append(Part([lang], range(start, 256)))
+    return [*parts, Part(group, range(256))] if group else parts
 
-def train(rows: DataFrame, order: int = ORDER) -> ContextTrees:
-    """Trees from all given rows (``lang``, ``text``, neither null). Per language the ``MAX_NODES``
-    commonest grams are kept, shorter ones first, which bounds what is broadcast."""
+
+def train(rows: DataFrame, order: int = ORDER, cells: int = PART_CELLS) -> Model:
+    """Trees from all given rows (``lang``, ``text``, neither null); every gram counts."""
     counted = stored(count_grams(rows, order), "grams")
-    langs = sorted(row[0] for row in counted.select("lang").distinct().collect())
-    kept: dict[int, list] = defaultdict(list)
-    for number, lang in enumerate(langs):
-        own = counted.where(F.col("lang") == lang).orderBy("size", F.desc("n"), "code")
-        for size, part in own.select("size", "code", "n").limit(MAX_NODES).toPandas().groupby("size"):
-            kept[int(size)].append((np.full(len(part), number), part["code"].to_numpy(), part["n"].to_numpy()))
-    return ContextTrees(langs, {size: tuple(map(np.concatenate, zip(*parts))) for size, parts in kept.items()})
+    sizes: dict[str, dict] = defaultdict(dict)
+    for lang, end, n in counted.groupBy("lang", _end().alias("end")).count().collect():
+        sizes[lang][end] = n
+    return Model(counted, cut_parts(sizes, cells), order)
 
 
-def identify(docs: DataFrame, trees: ContextTrees, **columns) -> DataFrame:
-    """doc_id, the given further columns, lang_pred and score of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+def _scored(rows: DataFrame, trees: ContextTrees) -> DataFrame:
+    """All columns but the text, with lang_pred and score."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         identifier = Identifier(shared.value)
@@ -202,11 +272,48 @@ def identify(docs: DataFrame, trees: ContextTrees, **columns) -> DataFrame:
                     [*held.schema.names, "lang_pred", "score"],
                 )
 
-    rows = docs.select("doc_id", *(c.alias(n) for n, c in columns.items()), "text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     return rows.mapInArrow(score, f"{kinds}, lang_pred string, score double")
 
 
+def _part_bits(rows: DataFrame, trees: ContextTrees) -> DataFrame:
+    """(row, lang, bits) of every text that can be judged, over the part's positions."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        identifier = Identifier(shared.value)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                judged, bits = identifier.bits(part.column(1).to_pylist())
+                good = np.flatnonzero(judged)
+                langs = identifier.trees.langs
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.repeat(good, len(langs)))), pa.array(langs * len(good), pa.string()),
+                     pa.array(bits[good].ravel())],
+                    ["row", "lang", "bits"],
+                )
+
+    return rows.select("row", "text").mapInArrow(measure, "row bigint, lang string, bits double")
+
+
+def identify(docs: DataFrame, model: Model, **columns) -> DataFrame:
+    """doc_id, the given further columns, lang_pred and score of every whole text."""
+    rows = docs.select("doc_id", *(c.alias(n) for n, c in columns.items()), "text")
+    if len(model.parts) < 2:
+        return _scored(rows, model.trees(model.parts[0]) if model.parts else ContextTrees([], {}))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    bits = None
+    for part in model.parts:
+        made = stored(_part_bits(rows, model.trees(part)), "bits")
+        bits = made if bits is None else bits.unionByName(made)
+    whole = bits.groupBy("row", "lang").agg(F.sum("bits").alias("bits"))
+    best = whole.groupBy("row").agg(F.min(F.struct("bits", "lang")).alias("best"), F.collect_list("bits").alias("all"))
+    gap = F.transform("all", lambda b: F.pow(F.lit(2.0), F.greatest(F.col("best.bits") - b, F.lit(-1000.0))))
+    best = best.select("row", F.col("best.lang").alias("lang_pred"), (1 / F.aggregate(gap, F.lit(0.0), lambda a, b: a + b)).alias("score"))
+    found = rows.drop("text").join(best, "row", "left").drop("row")
+    return found.withColumns({"lang_pred": F.coalesce("lang_pred", F.lit(UND)), "score": F.coalesce("score", F.lit(0.0))})
+
+
 def op9_language(docs: DataFrame) -> DataFrame:
     """Learns from the rows outside the held-out fold and predicts all rows.
 
@@ -214,5 +321,5 @@ def op9_language(docs: DataFrame) -> DataFrame:
     training row. Ties go to the language that sorts first. Repeated rows are scored alike.
     """
     held_out = in_fold("doc_id", *HELD_OUT)
-    trees = train(docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    return identify(docs, trees, held_out=held_out)
+    model = train(docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()))
+    return identify(docs, model, held_out=held_out)
