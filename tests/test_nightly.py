@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.relations import relation_counts, relation_rollforward
 from tidemark.plans import detail, stats
 from tidemark.plans.nightly import run_day
-from tidemark.plans.serving import load_summary
+from tidemark.plans.serving import SENTINELS, Serving, load_summary, night_version
+from tidemark.sources.daily import DailyTable
 from tidemark.sources.raw import RAW_SCHEMA, scan_raw
 from tidemark.sources.tables import MissingSnapshot, Tables, days_back
 
@@ -66,10 +68,54 @@ def raw(spark, tmp_path_factory):
 def tables(spark, raw, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("warehouse"))
     for n, day in enumerate(DAYS):
-        done = run_day(spark, raw, root, day, f"{day} 23:59:00", bootstrap=n == 0)
+        done = run_day(spark, raw, root, day, f"{day} 23:59:00", bootstrap=n == 0, serving=Serving(f"{root}/serving", 4))
     return done
 
 
+@pytest.fixture(scope="module")
+def serving(tables):
+    return Serving(f"{tables.root}/serving", 4)
+
+
+def test_nights_load_the_summaries_by_day(spark, tables, serving, rows):
+    for table in SENTINELS:
+        days = serving.summary(table).read(spark)
+        want = load_summary(table, tables.read(table))
+        assert days.count() == want.count() > 0
+        assert rows(days.select(*sorted(set(days.columns) - {"dw_create_time"}))) == rows(want.select(*sorted(set(days.columns) - {"dw_create_time"})))
+        assert rows(serving.summary(table).read(spark, DAYS[1]).select("dt").distinct()) in ([], [(DAYS[1],)])
+
+
+def test_a_day_loaded_again_loses_the_keys_it_no_longer_has(spark, tmp_path, rows):
+    schema = "mid long, dt string, n long, dw_create_time timestamp"
+    day = DailyTable(str(tmp_path), ["mid", "dt"])
+    at = lambda *r: spark.createDataFrame([(m, d, n, dt.datetime(2024, 3, 2, h)) for m, d, n, h in r], schema)
+    day.upsert("live")(at((1, "2024-03-01", 5, 0), (2, "2024-03-01", 6, 1), (3, "2024-03-01", 7, 9), (1, "2024-03-02", 8, 1)), 0)
+    day.replace_day(at((1, "2024-03-01", 50, 2), (4, "2024-03-01", 60, 2), (9, "2024-03-02", 1, 2)), "2024-03-01")
+    assert rows(day.read(spark), "mid", "dt", "n") == [(1, "2024-03-01", 50), (1, "2024-03-02", 8), (3, "2024-03-01", 7), (4, "2024-03-01", 60)]
+    day.replace_day(at((1, "2024-03-01", 51, 3)), "2024-03-01")
+    assert rows(day.read(spark, "2024-03-01"), "mid", "n") == [(1, 51), (3, 7)]
+
+
+def test_nights_load_wide_rows_over_live_ones(spark, tables, serving, rows):
+    sources = ["live", "nightly"]
+    wide = serving.wide("video")
+    before = {r.rowkey: r for r in wide.read(spark, sources).collect()}
+    key = "BV1"[::-1]
+    assert before[key].content.title == "two" and before[key].version == night_version(DAYS[2])
+    live = lambda version, title: spark.createDataFrame([(key, version, title)], "rowkey string, version long, t string").selectExpr(
+        "rowkey", "version", "named_struct('title', t) AS content")
+    wide.upsert("live")(live(night_version(DAYS[2]) - 5, "older"), 0)
+    assert wide.entity(spark, key, sources).first().content.title == "two"
+    wide.upsert("live")(live(night_version(DAYS[2]) + 5, "newer"), 1)
+    row = wide.entity(spark, key, sources).first()
+    assert row.content.title == "newer" and row.stats.view_count == before[key].stats.view_count
+    assert serving.compact(spark, "video", ["live"]) == 1
+    assert rows(wide.read(spark, sources).select("rowkey")) == sorted((k,) for k in before)
+    serving.load_wide("video", tables.scan_snapshot("dim_video_df", DAYS[2]), DAYS[2])
+    assert wide.entity(spark, key, sources).first().content.title == "newer"
+
+
 def test_raw_scan_lists_one_folder(raw):
     plan = scan_raw(raw, "app_event_video", DAYS[0])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan and "PushedFilters: []" in plan

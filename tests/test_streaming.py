@@ -273,7 +273,7 @@ def test_lookups_and_fan_out(spark, feed, rows):
     path = work_path(spark, "lookup")
     sink = fan_out(changelog.upsert_versioned(f"{path}/one", "s"), changelog.upsert_versioned(f"{path}/two", "s"))
     totals = summaries.VIDEO.totals(summaries.VIDEO.parse(feed.stream()))
-    run_to_end(lookups.start_enriched(totals, lambda: videos, lambda: accounts, sink, f"{path}/c"))
+    run_to_end(lookups.start_enriched(totals, lambda keys: videos, lambda keys: accounts, sink, f"{path}/c"))
     for name in ("one", "two"):
         got = rows(changelog.read_latest(spark, f"{path}/{name}", ["bvid", "mid"]), "bvid", "title", "duration", "mid", "level", "is_official")
         assert got == [("BV1", "t", 9, 12, 6, False), ("BV2", None, None, 7, None, None)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.relations import relation_rollforward
 from tidemark.plans import detail, dims, stats, summaries
+from tidemark.plans.serving import Serving
 from tidemark.sources.tables import Tables
 
 
@@ -19,12 +20,13 @@ def run_day(
     bootstrap: bool = False,
     expire_unit: str = "ms",
     carry_forward: bool = False,
+    serving: Serving | None = None,
 ) -> Tables:
     """Compute all tables of ``dt`` under ``root``; running it again replaces the same partitions.
 
     Written partitions are the boundaries between jobs: they cut lineage, and a lost executor
     costs at most the tasks of the table being written. The day before must exist unless
-    ``bootstrap`` is set.
+    ``bootstrap`` is set. With ``serving``, the day's summaries and snapshots are then loaded there.
     """
     tables = Tables(spark, root)
     now = F.lit(run_ts).cast("timestamp")
@@ -95,4 +97,9 @@ def run_day(
         "dws_vip_order_source_di": summaries.order_source(orders, accounts, now),
     }.items():
         tables.overwrite_partition(summary.drop("dt"), name, dt)
+        if serving:
+            serving.load_summary(name, stored(name), dt)
+    if serving:
+        for name, table in {"account": "dim_account_df", "video": "dim_video_df", "comment": "dim_comment_df"}.items():
+            serving.load_wide(name, tables.scan_snapshot(table, dt), dt)
     return tables

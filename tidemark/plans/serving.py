@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date, datetime, time, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.derive import array_text, reverse_key
 from tidemark.operators.serving import fresh_rows, pack_families, protect_keys
+from tidemark.sources.daily import NIGHTLY, DailyTable
+from tidemark.sources.wide import BUCKETS, WideTable
 
 # The key columns of each serving summary table, and what stands for null in them.
 SUMMARY_KEYS = {
@@ -120,3 +124,41 @@ def comment_rows(comments: DataFrame, through: str) -> DataFrame:
     return pack_families(
         fresh, comment_rowkey(F.col("rpid"), F.col("oid")), families(fresh, COMMENT_FAMILIES)
     )
+
+
+def night_version(dt: str) -> int:
+    """The version of a night's wide rows: the last millisecond of the day that they stand for (UTC)."""
+    midnight = datetime.combine(date.fromisoformat(dt) + timedelta(days=1), time(), timezone.utc)
+    return int(midnight.timestamp()) * 1000 - 1
+
+
+class Serving:
+    """The serving tables under one folder, which nights load and streams keep current.
+
+    Wide rows of a night are one more source of their table, with the night's version: columns that a
+    stream has written since midnight stay, older ones give way. Summaries of a night replace their day.
+    """
+
+    WIDE = {"account": account_rows, "video": video_rows, "comment": comment_rows}
+
+    def __init__(self, root: str, buckets: int = BUCKETS):
+        self.root, self.buckets = root.rstrip("/"), buckets
+
+    def wide(self, name: str) -> WideTable:
+        return WideTable(f"{self.root}/wide_{name}", buckets=self.buckets)
+
+    def summary(self, table: str) -> DailyTable:
+        return DailyTable(f"{self.root}/{table}", SUMMARY_KEYS[table])
+
+    def load_wide(self, name: str, snapshot: DataFrame, dt: str) -> None:
+        """The snapshot of ``dt``: rows updated on or before that day. Loading a day again replaces it."""
+        rows = self.WIDE[name](snapshot, dt).withColumn("version", F.lit(night_version(dt)).cast("bigint"))
+        self.wide(name).load(rows, NIGHTLY, date.fromisoformat(dt).toordinal())
+
+    def load_summary(self, table: str, summary: DataFrame, dt: str) -> None:
+        self.summary(table).replace_day(load_summary(table, summary, dt), dt)
+
+    def compact(self, spark: SparkSession, name: str, sources: list[str]) -> int:
+        """Fold what streams and nights have written into the base of a wide table; run it as often as its
+        tail should stay short."""
+        return self.wide(name).compact(spark, [*sources, NIGHTLY])
