@@ -33,6 +33,7 @@ from tidemark.session import stream_session, work_path
 from tidemark.sources.changelog import read_columns, read_latest, upsert_versioned
 from tidemark.sources.raw import read_raw
 from tidemark.sources.tables import Tables
+from tidemark.sources.wide import WideTable
 from tidemark.streaming import dims as live_dims
 from tidemark.streaming import orders as live_orders
 from tidemark.streaming import summaries as live
@@ -740,13 +741,16 @@ def stream_uploader(spark, sf_dir):
 def stream_video_lookup(spark, sf_dir):
     """Live totals per video and account, with columns looked up in the wide rows."""
     path, book = work_path(spark, "video-lookup"), Book(spark, sf_dir)
-    book.video_wide.write.parquet(f"{path}/videos")
-    book.account_wide.write.parquet(f"{path}/accounts")
+    tables = {"videos": book.video_wide, "accounts": book.account_wide.withColumn("version", F.lit(1).cast("bigint"))}
+    wide = {name: WideTable(f"{path}/{name}", buckets=16) for name in tables}
+    for name, rows in tables.items():
+        wide[name].load(rows, name, 0)
+        wide[name].compact(spark, [name], open_batches=0)
     raw = topics.video_messages(_event_stream(spark, sf_dir))
     query_run = start_enriched(
         live.VIDEO.totals(live.VIDEO.parse(raw)),
-        lambda: spark.read.parquet(f"{path}/videos"),
-        lambda: spark.read.parquet(f"{path}/accounts"),
+        lambda keys: wide["videos"].read_for(keys, ["videos"]),
+        lambda keys: wide["accounts"].read_for(keys, ["accounts"]),
         upsert_versioned(f"{path}/rows", "video"),
         f"{path}/checkpoint",
     )
@@ -769,9 +773,9 @@ def stream_registration_source(spark, sf_dir):
     return _live_stream(spark, sf_dir, live.REGISTRATION_SOURCE, topics.account_messages)
 
 
-def _in_rounds(rows: DataFrame, path: str, run: Callable[[], None]) -> None:
+def in_rounds(rows: DataFrame, path: str, run: Callable[[], None], rounds: int = topics.ROUNDS) -> None:
     """Rows fed to a stream's folder by their ``round``; the stream is restarted from its checkpoint for each."""
-    for number in range(topics.ROUNDS):
+    for number in range(rounds):
         rows.where(F.col("round") == number).drop("round").write.mode("append").parquet(path)
         run()
 
@@ -791,7 +795,7 @@ def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         changes = live_orders.order_changes(changing, ttl_seconds=6 * 3600)
         run_to_end(start(changes, write, f"{path}/checkpoint", mode="append"))
 
-    _in_rounds(messages, f"{path}/messages", run)
+    in_rounds(messages, f"{path}/messages", run)
     return spark.read.schema(live_orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
 
 

@@ -143,7 +143,7 @@ def _landed(
     return rows.selectExpr(message, f"{dt} AS dt", f"'{topic}' AS topic", f"{ms} AS ms", *carry)
 
 
-def video_messages(events: DataFrame) -> DataFrame:
+def video_messages(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     properties = struct(**{
         "from": "event_type",
         "coin_count": unless("k % 3 = 0", "k % 3"),
@@ -156,7 +156,7 @@ def video_messages(events: DataFrame) -> DataFrame:
     message = _message(
         VIDEO_EVENTS, unless("i % 89 = 0", "ms"), properties, bvid=unless("i % 71 = 0", BVID)
     )
-    return _landed(events, message, "app_event_video")
+    return _landed(events, message, "app_event_video", carry=carry)
 
 
 def social_messages(events: DataFrame) -> DataFrame:
