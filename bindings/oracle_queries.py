@@ -97,6 +97,7 @@ UNION ALL SELECT me, 'blocking', other FROM both_ways WHERE blocking
 UNION ALL SELECT me, 'blocked_by', other FROM both_ways WHERE blocked_by""")
 sql("relation_lists", """SELECT mid, following_list, follower_list, mutual_follow_list, blocking_list, blocked_by_list
   FROM rel WHERE following_cnt + follower_cnt + blocking_cnt + blocked_by_cnt > 0""")
+ORACLE["relation_chunks"] = ORACLE["dim_account_members"] = ORACLE["relation_members"]
 sql("relation_pairs_ordered", f""", lastev AS (
   SELECT mid AS a, target_mid AS b,
     arg_max(event_id, ms * 2 + CASE WHEN event_id = 'social_unfollow' THEN 1 ELSE 0 END)

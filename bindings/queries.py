@@ -173,7 +173,7 @@ class Book:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return self._accounts(relations.DEFAULT_INLINE_LIMIT)
+        return self._accounts(relations.CHUNK_IDS)
 
     @cached_property
     def accounts_without_lists(self) -> DataFrame:
@@ -310,6 +310,23 @@ def relation_lists(spark, sf_dir):
     return plain(relations.relation_lists(pairs, relations.relation_counts(pairs)))
 
 
+@query
+def relation_chunks(spark, sf_dir):
+    """Every member of every list, by way of chunks of about twenty ids."""
+    pairs = Book(spark, sf_dir).stored_pairs
+    chunks = relations.relation_chunks(pairs, relations.relation_counts(pairs), 20)
+    return plain(relations.chunk_members(chunks))
+
+
+@query
+def dim_account_members(spark, sf_dir):
+    """Every member by the two places that hold it: account rows, and chunks of the larger accounts."""
+    book = Book(spark, sf_dir)
+    rows = book._accounts(20).select("mid", *(f"{name}_list" for name in relations.LISTS))
+    large = dims.large_account_lists(book.stored_pairs, 20).select(*rows.columns)
+    return plain(relations.chunk_members(rows.unionByName(large)))
+
+
 @query
 def relation_pairs_ordered(spark, sf_dir):
     actions = Book(spark, sf_dir).account_actions

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cumulate, orders, relations, rows as row_ops, serving, snapshots
+from tidemark.plans import dims
 
 
 def test_quality_flags_name_the_first_missing_field(spark, rows):
@@ -123,22 +124,31 @@ def test_follow_unfollow_follow_ends_unfollowed_unless_ordered(spark):
     assert kept["follow_fwd"] and not kept["follow_bwd"]
 
 
-def test_large_accounts_get_no_list_but_keep_counts_and_all_members(spark, monkeypatch):
-    star = [(n, 0, "social_follow", 1) for n in range(1, 30)] + [(1, 2, "social_follow", 1)]
+def test_large_accounts_have_their_lists_in_chunks(spark):
+    """One account is in nearly half of all pairs."""
+    star = [(n, 0, "social_follow", 1) for n in range(1, 400)] + [(0, n, "social_follow", 1) for n in range(1, 400, 3)]
+    star += [(n, n + 1, "social_follow", 1) for n in range(1, 300)] + [(0, 500, "social_block", 1)]
     pairs = relations.relation_rollforward(None, actions(spark, *star))
     counts = relations.relation_counts(pairs)
-    broadcast = {r["mid"] for r in relations.relation_lists(pairs, counts, inline_limit=10).collect()}
-    monkeypatch.setattr(relations, "BROADCAST_ROWS", 0)
-    sliced = relations.relation_lists(pairs, counts, inline_limit=10)
-    assert "Broadcast" not in sliced.select("mid")._jdf.queryExecution().optimizedPlan().toString()
-    assert broadcast == {r["mid"] for r in sliced.collect()} == set(range(1, 30))
+    chunks = relations.relation_chunks(pairs, counts, 10).collect()
+    whole = sum(counts.where("mid = 0").first()[f"{name}_cnt"] for name in relations.LISTS)
+    own = [r for r in chunks if r.mid == 0]
+    assert {r.chunks for r in own} == {-(-whole // 10)} and len(own) > whole // 20
+    assert max(sum(len(r[f"{name}_list"]) for name in relations.LISTS) for r in own) < 40
+    small = {r["mid"] for r in relations.relation_lists(pairs, counts, inline_limit=10).collect()}
+    large = {r["mid"] for r in dims.large_account_lists(pairs, 10).collect()}
+    assert 0 in large and not small & large and small | large == {*range(0, 400), 500}
     members = relations.relation_members(pairs)
-    own = members.where("mid = 0").collect()
-    assert sorted((r["relation"], r["other"]) for r in own) == [("follower", n) for n in range(1, 30)]
+    every = relations.chunk_members(spark.createDataFrame(chunks, relations.relation_chunks(pairs, counts, 10).schema))
+    want = sorted(map(tuple, members.collect()))
+    assert sorted(map(tuple, every.collect())) == want and len(want) > 1500
+    mutual = [sorted(o for r in own for o in r["mutual_follow_list"])]
+    assert mutual == [list(range(1, 400, 3))]
+    plan = relations.relation_chunks(pairs, counts, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Broadcast" not in plan
     assert "Exchange" not in relations.relation_members(
         spark.createDataFrame(pairs.collect(), relations.PAIR_SCHEMA)
     )._jdf.queryExecution().executedPlan().toString()
-    assert counts.where("mid = 0").first()["follower_cnt"] == 29
 
 
 def test_pairs_from_stored_lists(spark, rows):

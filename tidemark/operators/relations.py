@@ -3,8 +3,8 @@
 The state is kept as one row per unordered pair of accounts (``lo`` <= ``hi``) with one flag per
 direction, not as lists per account. Roll-forward, mutual follows and counts then need no list at
 all: rows spread evenly over tasks however many followers one account has. Lists are built from
-the pairs only for output, and only for accounts whose lists are of bounded size; the members of all
-accounts are rows of :func:`relation_members`.
+the pairs only for output, in chunks of bounded size: an account with one chunk has its lists in its own
+row, a larger one as rows of :func:`relation_chunks`; both together hold every member.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ PAIR_SCHEMA = (
     "lo bigint, hi bigint, follow_fwd boolean, follow_bwd boolean, "
     "block_fwd boolean, block_bwd boolean, chg_fwd int, chg_bwd int"
 )
-DEFAULT_INLINE_LIMIT = 100_000
-BROADCAST_ROWS = 1_000_000
-SLICES = 64
+# Ids in a chunk of an account's lists, and so in the lists of one row.
+CHUNK_IDS = 100_000
 
 # Which event adds to and which removes from each relation.
 ADDING = {"follow": "social_follow", "block": "social_block"}
@@ -160,28 +159,31 @@ def relation_members(pairs: DataFrame) -> DataFrame:
     return account_sides(live_pairs(pairs)).select("mid", F.explode(F.array_compact(named)).alias("relation"), "other")
 
 
-def relation_lists(
-    pairs: DataFrame, counts: DataFrame, inline_limit: int = DEFAULT_INLINE_LIMIT
-) -> DataFrame:
-    """Sorted id lists per account, for accounts of at most ``inline_limit`` live relations.
+def relation_chunks(pairs: DataFrame, counts: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """All lists of all accounts in chunks of about ``chunk_ids`` ids: mid, chunk, chunks, sorted id lists.
 
-    Larger accounts get no row: their members are the pairs themselves, complete and unbounded.
-    Their rows are dropped before anything is shuffled by account: the set of large accounts is
-    counted first and broadcast when it has at most ``BROADCAST_ROWS`` ids. Beyond that the anti
-    join runs on (account, slice of the other id), which spreads a large account over the slices.
+    An account's number of chunks follows from its exact counts, and an id's chunk from its hash, so a list of
+    any length is put together by as many tasks as it has chunks, and no row grows with it. An id lies in the
+    same chunk of all of its account's lists; mutual follows are so found chunk by chunk.
     """
     size = sum((F.col(f"{name}_cnt") for name in LISTS), F.lit(0))
-    oversized = counts.where(size > inline_limit).select("mid")
-    rows = account_sides(live_pairs(pairs))
-    if oversized.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        kept = rows.join(F.broadcast(oversized), "mid", "left_anti")
-    else:
-        sliced = oversized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-        by_slice = rows.withColumn("slice", F.pmod(F.xxhash64("other"), F.lit(SLICES)).cast("int"))
-        kept = by_slice.join(sliced, ["mid", "slice"], "left_anti")
-    return kept.groupBy("mid").agg(
+    parts = counts.select("mid", F.ceil(size / chunk_ids).cast("int").alias("chunks")).where("chunks > 0")
+    rows = account_sides(live_pairs(pairs)).join(parts, "mid")
+    placed = rows.withColumn("chunk", F.pmod(F.xxhash64("other"), F.col("chunks")).cast("int"))
+    return placed.groupBy("mid", "chunk", "chunks").agg(
         *(
             F.sort_array(F.collect_list(F.when(F.col(name), F.col("other")))).alias(f"{name}_list")
             for name in LISTS
         )
     )
+
+
+def relation_lists(pairs: DataFrame, counts: DataFrame, inline_limit: int = CHUNK_IDS) -> DataFrame:
+    """Sorted id lists per account, for accounts whose lists are one chunk; the others get no row."""
+    return relation_chunks(pairs, counts, inline_limit).where("chunks = 1").drop("chunk", "chunks")
+
+
+def chunk_members(chunks: DataFrame) -> DataFrame:
+    """Chunks of lists as rows: mid, relation, other."""
+    lists = F.array(*(F.struct(F.lit(name).alias("relation"), F.col(f"{name}_list").alias("ids")) for name in LISTS))
+    return chunks.select("mid", F.inline(lists)).select("mid", "relation", F.explode("ids").alias("other"))

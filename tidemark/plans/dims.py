@@ -22,8 +22,9 @@ from tidemark.functions.derive import (
 from tidemark.functions.json_paths import extract_json, json_fields
 from tidemark.functions.labels import account_status_name, vip_type_name
 from tidemark.operators.relations import (
-    DEFAULT_INLINE_LIMIT,
+    CHUNK_IDS,
     LISTS,
+    relation_chunks,
     relation_counts,
     relation_lists,
 )
@@ -156,6 +157,11 @@ PROFILE_CARRIED = (
 ).split()
 
 
+def large_account_lists(pairs: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """The lists of the accounts that have more relations than one row holds, as chunks."""
+    return relation_chunks(pairs, relation_counts(pairs), chunk_ids).where("chunks > 1")
+
+
 def account_snapshot(
     dt: str,
     run_ts: Column,
@@ -165,7 +171,7 @@ def account_snapshot(
     previous: DataFrame | None,
     expire_unit: str = "ms",
     carry_forward: bool = False,
-    inline_limit: int | None = DEFAULT_INLINE_LIMIT,
+    inline_limit: int | None = CHUNK_IDS,
 ) -> DataFrame:
     """The account snapshot of ``dt``.
 
@@ -174,7 +180,8 @@ def account_snapshot(
     from today's messages only; ``carry_forward`` keeps yesterday's where there is none.
 
     List columns are filled for accounts with at most ``inline_limit`` relations (None: no lists);
-    above that they stay null and the members are read from the pairs. Counts are always exact.
+    above that they stay null and :func:`large_account_lists` holds them in chunks, so that both together
+    have every member. Counts are always exact.
     Everything meets on ``mid``: each input is shuffled by it once.
     """
     counts = relation_counts(pairs)

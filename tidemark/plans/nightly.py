@@ -52,6 +52,8 @@ def run_day(
 
     pairs = relation_rollforward(before["dim_account_relation_df"], stored("dwd_action_account_di"))
     tables.overwrite_partition(pairs, "dim_account_relation_df", dt)
+    lists = dims.large_account_lists(tables.scan_snapshot("dim_account_relation_df", dt))
+    tables.overwrite_partition(lists, "dim_account_list_df", dt)
     tables.overwrite_partition(
         dims.account_snapshot(
             dt,

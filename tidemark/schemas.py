@@ -139,6 +139,10 @@ DDL = {
         "lo bigint, hi bigint, follow_fwd boolean, follow_bwd boolean, block_fwd boolean, "
         "block_bwd boolean, chg_fwd int, chg_bwd int"
     ),
+    "dim_account_list_df": (
+        "mid bigint, chunk int, chunks int, following_list array<bigint>, follower_list array<bigint>, "
+        "mutual_follow_list array<bigint>, blocking_list array<bigint>, blocked_by_list array<bigint>"
+    ),
 }
 
 
