@@ -20,15 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """``df`` written once under the shared folder and read back, so that it is neither computed
-    twice nor lost with an executor."""
+    twice nor lost with an executor. From then on the session's queries give up their shuffle files as
+    they end, instead of when the driver happens to collect its garbage."""
     spark = df.sparkSession
-    path = work_path(spark, label)
+    spark.conf.set(SHUFFLE_CLEANUP_KEY, "true")
+    path = path or work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written step that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -28,8 +28,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, stored, text_or_empty
+from tidemark.llm.common import remove, slices, stored, text_or_empty
 from tidemark.llm.components import components
+from tidemark.session import work_path
 
 WORDS_PER_SHINGLE = 3
 THRESHOLD = (9, 10)
@@ -391,8 +392,9 @@ def jaccard_components(
     of such rows has a null id. Repeated rows have equal sets and are one component. An empty table
     gives no rows. Other columns are not read.
     """
-    bands = Bands(threshold)
-    sets = stored(shingle_sets(docs, bands, words), "sets")
+    bands, spark, keyed = Bands(threshold), docs.sparkSession, work_path(docs.sparkSession, "keyed")
+    with_keys = stored(shingle_sets(docs, bands, words), "keyed", keyed)
+    sets = stored(with_keys.drop("keys"), "sets")
     full = sets.where("n > 0")
     names = full.groupBy("digest").agg(F.min("row").alias("node"))
     members = stored(full.select("row", "doc_id", "text_key", "n", "digest").join(names, "digest"), "members")
@@ -400,8 +402,10 @@ def jaccard_components(
     maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
 
     in_tile = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tiles = full.select("row", F.explode("keys").alias("key")).withColumn("first", F.first("row").over(in_tile))
+    tiles = with_keys.select("row", F.explode("keys").alias("key")).withColumn("first", F.first("row").over(in_tile))
     shared = stored(tiles.where("row <> first"), "tiles")
+    # The keys are most of what is written here, and most of them belong to one set only.
+    remove(spark, keyed)
     of_row = members.select("row", "node")
     met = shared.groupBy("row", "first").agg(F.count("*").alias("times"))
     met = met.join(of_row, "row").join(of_row.select(F.col("row").alias("first"), F.col("node").alias("mate")), "first")
