@@ -24,7 +24,8 @@ from tidemark.llm.packing import CAPACITY, Packer, cut, op4_packing
 from tidemark.llm.quality import op5_quality
 from tidemark.llm.records import DamagedRecord, frame, op2_records, pack_ids, read_at, read_frames, unpack_ids, write_records
 from tidemark.llm.tokens import Encoder, public_path
-from tidemark.llm.toxicity import HIDDEN, Network, Scorer, drop_toxic, laid_out, op3_toxicity, train, windows
+from tidemark.llm.toxicity import CHAR_CELLS, HIDDEN, Network, Scorer, drop_toxic, laid_out, op3_toxicity, train
+from tidemark.llm.toxicity import trigrams, windows
 from tidemark.llm.url_filter import logistic, op1_url_filter
 
 # Columns named like those that operators make clash with nothing.
@@ -461,7 +462,70 @@ def test_op3_gradients_follow_the_loss():
             down = loss()
             array[at] = before
             assert (up - down) / 2e-2 == pytest.approx(gradient[at], rel=0.05, abs=2e-3)
-    assert list(windows(10)) == [(0, 10)] and list(windows(60)) == [(0, 32), (24, 56), (48, 60)]
+    assert list(windows(10)) == [(0, 10)] and list(windows(60)) == [(0, 32), (16, 48), (32, 60)]
+
+
+def test_trigram_cells_are_checksums():
+    some = ["a", "Ab!", "naïve", "漢字", "x" * 300, "…", "🙂"]
+    cells, sizes = trigrams(some)
+    want = [[zlib.crc32(f"<{w}>".encode()[n : n + 3]) % CHAR_CELLS for n in range(len(f"<{w}>".encode()) - 2)] for w in some]
+    assert cells.tolist() == [c for own in want for c in own] and sizes.tolist() == [len(own) for own in want]
+
+
+def test_op3_scores_by_plain_loops():
+    """Windows, both directions, attention and the worst window, word by word."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["vile", "Scum!", "fine", "day,", "x1"]) for _ in range(n)) for n in (1, 5, 31, 32, 33, 70)]
+    network = train(texts * 4, [n % 2 for n in range(24)])
+    p = {k: v.astype(np.float64) for k, v in network.p.items()}
+    gate = lambda x: 1 / (1 + np.exp(-x))
+
+    def logit(own):
+        states = np.zeros((len(own), 2 * HIDDEN))
+        for side, order in (("f", range(len(own))), ("b", range(len(own) - 1, -1, -1))):
+            state = np.zeros(HIDDEN)
+            for t in order:
+                x = own[t] @ p[f"w{side}"] + p[f"c{side}"]
+                u = p[f"u{side}"]
+                z = gate(x[:HIDDEN] + state @ u[:, :HIDDEN])
+                r = gate(x[HIDDEN : 2 * HIDDEN] + state @ u[:, HIDDEN : 2 * HIDDEN])
+                c = np.tanh(x[2 * HIDDEN :] + r * (state @ u[:, 2 * HIDDEN :]))
+                state = (1 - z) * state + z * c
+                states[t, HIDDEN * (side == "b") : HIDDEN * (1 + (side == "b"))] = state
+        share = np.exp(states @ p["attend"])
+        return (share / share.sum()) @ states @ p["out"] + p["bias"][0]
+
+    for text in texts:
+        vectors = network.embed(text.split())[0].astype(np.float64)
+        spans = [(b, min(b + 32, len(vectors))) for b in range(0, max(1, len(vectors) - 16), 16)]
+        worst = max(logit(vectors[a:b]) for a, b in spans)
+        want = 1 / (1 + np.exp(-(network.slope * worst + network.offset)))
+        assert Scorer(network).scores([text])[0] == pytest.approx(want, abs=1e-4)
+
+
+def test_op3_windows_hold_every_passage_of_half_a_window():
+    for count in range(1, 150):
+        spans = list(windows(count))
+        for size in range(1, min(17, count) + 1):
+            assert all(any(a <= at and at + size <= b for a, b in spans) for at in range(count - size + 1))
+
+
+def test_op3_learns_from_long_texts(spark):
+    """Toxic words that only long texts hold, far from their beginnings."""
+    rng = random.Random(3)
+    rows, marks = [], []
+    for n in range(300):
+        text = words(rng, 1500 if n % 3 == 0 else 40).split()
+        if n % 6 == 0:
+            for _ in range(4):
+                text[rng.randrange(900, 1500)] = "odious"
+        rows.append((n, " ".join(text), 1, "k"))
+        marks.append((n, int(n % 6 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, labelled int, mark string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    judged = [(r.predicted, int(r.doc_id % 6 == 0)) for r in op3_toxicity(docs, labels).collect() if r.held_out]
+    assert sum(a == b for a, b in judged) >= 0.9 * len(judged)
+    assert drop_toxic(docs, labels).columns == docs.columns and drop_toxic(docs, labels).count() < 300
 
 
 def test_op3_learns_and_scores_whole_texts(spark):

@@ -24,14 +24,15 @@ from tidemark.llm.common import in_fold, slices
 from tidemark.llm.url_filter import logistic
 
 HELD_OUT = (5, 0)
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_DIMS, CHAR_DIMS, HIDDEN = 12, 12, 8
 CHAR_CELLS = 4096
-# Bounds of the training sample: documents of each label, their length, and the vocabulary.
+# Bounds of the training sample: documents of each label, and the characters of all of them.
 DOCS_PER_LABEL = 1500
-MAX_TRAIN_CHARS = 6000
-VOCABULARY = 20_000
+SAMPLE_CHARS = 48_000_000
 MIN_DOCS = 2
+# A long text learns through as many of its windows, those that the network finds worst at the time.
+LEARNED_WINDOWS = 32
 EPOCHS, MAX_EPOCHS, STEPS, BATCH_DOCS, RATE, PULL = 4, 12, 400, 32, 0.01, 5.0
 MEMO_WORDS = 250_000
 CHUNK = 1024
@@ -40,19 +41,39 @@ CHUNK = 1024
 def plain(word: str) -> str:
     """A word as the network reads it: lower case, without what surrounds its letters and digits."""
     low = word.lower()
+    if low.isalnum():
+        return low
     begin, end = 0, len(low)
     while begin < end and not low[begin].isalnum():
         begin += 1
     while end > begin and not low[end - 1].isalnum():
         end -= 1
-    return low[begin:end] or low[:16]
+    return low[begin:end] or low
 
 
-def trigrams(word: str) -> np.ndarray:
-    """Cells of a word's trigrams as it is written, with its case and punctuation."""
-    marked = f"<{word}>".encode()
-    whole = [zlib.crc32(marked[n : n + 3]) % CHAR_CELLS for n in range(max(1, len(marked) - 2))]
-    return np.array(whole, dtype=np.int64)
+def _crc_table() -> np.ndarray:
+    """What a byte does to a crc32."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+CRC = _crc_table()
+
+
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of all words' trigrams as they are written, with case and punctuation, and how many each word
+    has. A cell is the crc32 of three bytes; words are not empty."""
+    marked = [f"<{word}>".encode() for word in words]
+    lengths = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+    laid = np.frombuffer(b"".join(marked), dtype=np.uint8)
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    first = np.flatnonzero(np.arange(len(laid)) + 2 < ends)
+    crc = np.full(len(first), 0xFFFFFFFF, dtype=np.uint32)
+    for k in range(3):
+        crc = CRC[(crc ^ laid[first + k]) & 0xFF] ^ (crc >> np.uint32(8))
+    return ((~crc) % np.uint32(CHAR_CELLS)).astype(np.int64), lengths - 2
 
 
 def windows(count: int) -> Iterator[tuple[int, int]]:
@@ -112,13 +133,13 @@ class Network:
         p = {k: v.astype(np.float32) for k, v in p.items()}
         return Network(p, vocabulary, start={"word": p["word"]})
 
-    def embed(self, words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    def embed(self, words: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
         """Vectors of words as they are written, and their trigrams."""
-        known = np.array([self.vocabulary.get(plain(w), len(self.vocabulary)) for w in words], dtype=np.int64)
-        parts = [trigrams(w) for w in words]
-        lengths = np.array([len(t) for t in parts])
-        sums = np.add.reduceat(self.p["char"][np.concatenate(parts)], np.cumsum(lengths) - lengths, axis=0)
-        return np.concatenate([self.p["word"][known], sums / lengths[:, None]], axis=1), parts
+        unknown, find = len(self.vocabulary), self.vocabulary.get
+        known = np.array([find(plain(w), unknown) for w in words], dtype=np.int64)
+        cells, lengths = trigrams(words)
+        sums = np.add.reduceat(self.p["char"][cells], np.cumsum(lengths) - lengths, axis=0)
+        return np.concatenate([self.p["word"][known], sums / lengths[:, None]], axis=1), (cells, lengths)
 
     def project(self, vectors: np.ndarray) -> np.ndarray:
         """What the gates of both directions get from a word, with a padding row at the end."""
@@ -228,7 +249,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
             often.update(held)
             if label:
                 toxic.update(held)
-    chosen = sorted((w for w, n in often.items() if n >= MIN_DOCS), key=lambda w: (-often[w], w))[:VOCABULARY]
+    chosen = sorted((w for w, n in often.items() if n >= MIN_DOCS), key=lambda w: (-often[w], w))
     bad, good = y[fit].sum(), (1 - y[fit]).sum()
     share = np.array([[toxic[w] + 0.5, often[w] - toxic[w] + 0.5] for w in chosen]).reshape(-1, 2)
     odds, spread = np.log(share[:, 0] / (bad + 1)) - np.log(share[:, 1] / (good + 1)), np.sqrt((1 / share).sum(axis=1))
@@ -255,8 +276,9 @@ def _train_batch(network: Network, texts: list[str], y: np.ndarray, weight: np.n
     words, laid = doc_windows(texts)
     if not words:
         return
-    vectors, parts = network.embed(words)
+    vectors, (cells, size) = network.embed(words)
     gates = network.project(vectors.astype(np.float32))
+    laid = [_worst_windows(network, gates, *own) if len(own[0]) > LEARNED_WINDOWS else own for own in laid]
     table, lengths = np.concatenate([t for t, _ in laid]), np.concatenate([n for _, n in laid])
     doc = np.repeat(np.arange(len(texts)), [len(n) for _, n in laid])
     lengths = np.maximum(lengths, 1)
@@ -279,12 +301,19 @@ def _train_batch(network: Network, texts: list[str], y: np.ndarray, weight: np.n
     g["word"] = np.zeros_like(network.p["word"])
     np.add.at(g["word"], known, d_vectors[:, :WORD_DIMS])
     g["word"][-1] = 0
-    size = np.array([len(t) for t in parts])
     g["char"] = np.zeros_like(network.p["char"])
-    np.add.at(g["char"], np.concatenate(parts), np.repeat(d_vectors[:, WORD_DIMS:] / size[:, None], size, axis=0))
+    np.add.at(g["char"], cells, np.repeat(d_vectors[:, WORD_DIMS:] / size[:, None], size, axis=0))
     network.step(g, rate)
 
 
+def _worst_windows(network: Network, gates: np.ndarray, table: np.ndarray, lengths: np.ndarray):
+    """The windows of a text that the network finds worst now."""
+    parts = [slice(at, at + CHUNK) for at in range(0, len(table), CHUNK)]
+    logits = np.concatenate([network.logits(gates, table[part], np.maximum(lengths[part], 1)) for part in parts])
+    worst = np.sort(np.argsort(-logits, kind="stable")[:LEARNED_WINDOWS])
+    return table[worst], lengths[worst]
+
+
 class Scorer:
     """Scores texts with a network; keeps what the gates get from each word it has seen."""
 
@@ -298,8 +327,13 @@ class Scorer:
         self.filled = 1  # Row 0 is padding.
 
     def _learn(self, words: set[str]) -> None:
+        """Gates of the words that are new. A full memo keeps the words in use."""
         if len(self.memo) > self.memo_words:
+            kept = [w for w in words if w in self.memo]
+            rows = self.gates[[self.memo[w] for w in kept]]
             self._reset()
+            self.gates = np.concatenate([self.gates, rows])
+            self.memo, self.filled = dict(zip(kept, range(1, len(kept) + 1))), len(kept) + 1
         new = [w for w in words if w not in self.memo]
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
@@ -339,25 +373,27 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Labelled texts outside the held-out fold: per label at most ``DOCS_PER_LABEL`` of those that have
-    at most ``MAX_TRAIN_CHARS`` characters, chosen by a hash of their ids. A document labelled more
-    than once counts as toxic if any label says so; null labels and null texts are left out."""
+    """Labelled texts outside the held-out fold, whole and of any length: per label at most
+    ``DOCS_PER_LABEL``, chosen by a hash of their ids; if they have more than ``SAMPLE_CHARS`` characters in
+    all, the longest go. A document labelled more than once counts as toxic if any label says so; null
+    labels and null texts are left out. Of rows with one id the smallest text counts."""
     marks = labels.where(~in_fold("doc_id", *HELD_OUT) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.groupBy(F.col("doc_id").alias("labelled")).agg(F.max("toxic").cast("int").alias("mark"))
-    sizes = docs.where(F.length("text") <= MAX_TRAIN_CHARS).select("doc_id").distinct()
-    usable = marks.join(sizes, F.col("labelled") == F.col("doc_id"), "left_semi")
+    texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "text")
+    sizes = texts.groupBy("id").agg(F.min(F.length("text")).alias("size"))
+    usable = marks.join(sizes, F.col("labelled") == F.col("id"))
     parts = [
         usable.where(F.col("mark") == mark).orderBy(F.xxhash64("labelled"), "labelled").limit(DOCS_PER_LABEL)
         for mark in (0, 1)
     ]
-    chosen = parts[0].unionByName(parts[1]).collect()
-    mark = {row[0]: row[1] for row in chosen}
-    known = docs.sparkSession.createDataFrame(chosen, "labelled bigint, mark int")
+    chosen = sorted(parts[0].unionByName(parts[1]).collect(), key=lambda row: (row["size"], row["labelled"]))
+    room = SAMPLE_CHARS - np.cumsum([row["size"] for row in chosen])
+    mark = {row["labelled"]: row["mark"] for row, left in zip(chosen, room) if left >= 0}
+    known = docs.sparkSession.createDataFrame([(i,) for i in mark], "labelled bigint")
     # At most 2 * DOCS_PER_LABEL ids.
-    own = docs.where(F.length("text") <= MAX_TRAIN_CHARS).join(
-        F.broadcast(known), F.col("doc_id") == F.col("labelled"), "left_semi"
-    )
-    rows = own.groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    own = texts.join(F.broadcast(known), F.col("id") == F.col("labelled"), "left_semi")
+    shortest = F.min(F.struct(F.length("text").alias("size"), "text"))["text"]
+    rows = own.groupBy("id").agg(shortest.alias("text")).collect()
     rows.sort(key=lambda row: zlib.crc32(str(row[0]).encode()))
     return [row[1] for row in rows], [mark[row[0]] for row in rows]
 
@@ -382,11 +418,17 @@ def score_texts(docs: DataFrame, network: Network) -> DataFrame:
 
 
 def op3_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Learns from the labels outside the held-out fold and scores all rows, see :func:`training_sample` and
+    :func:`score_texts`; without labels of both kinds every score is the share of toxic ones, or 0."""
     return score_texts(docs, train(*training_sample(docs, labels)))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected, with all their columns; scored where they are read."""
+    """The documents that are not rejected, with all their columns; scored where they are read.
+
+    Null and empty texts are scored as one empty window; repeated rows are kept or go alike; an empty table
+    gives no rows. Other columns, whatever their names, are passed on.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(*training_sample(docs, labels)))
     names, place = docs.columns, docs.columns.index("text")
 
