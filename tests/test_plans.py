@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.cumulate import cumulate
 from tidemark.functions.json_paths import extract_json, json_fields
 from tidemark.operators import relations
 from tidemark.operators.enrich import left_enrich
@@ -150,3 +151,12 @@ def test_small_scans_are_spread_and_large_ones_left_alone(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_distinct_counts_of_windows_read_their_source_once(spark):
+    events = spark.range(100).selectExpr("timestamp_seconds(id) AS at", "id % 3 AS a", "id % 5 AS b", "id % 2 AS k")
+    made = cumulate(events, "at", "10 seconds", "1 minute", ["k"], {"n": F.lit(1)}, distincts={"as": "a", "bs": "b"}, firsts={"x": "a"})
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and "Union" not in plan and "Join" not in plan
+    last = made.where("window_end = timestamp'1970-01-01 00:01:00' AND k = 0").first()
+    assert (last["n"], last["as"], last["bs"], last["x"]) == (30, 3, 5, 0)

@@ -52,31 +52,44 @@ def cumulate(
         }
     ).withColumn("step_end", F.window(at, step, startTime=start)["end"])
 
-    first_source = "_first_at"
-    parts = stepped.groupBy(*by).agg(
-        F.min(at).alias(first_source),
-        *(F.sum(f"_sum_{name}").alias(name) for name in sums),
-        *(F.max(f"_max_{name}").alias(name) for name in maxima),
-        *(F.min_by(column, F.col(at)).alias(name) for name, column in firsts.items()),
-        *(F.lit(0).cast("bigint").alias(name) for name in distincts),
-    )
-    for name, column in distincts.items():
-        seen = (
-            stepped.where(F.col(column).isNotNull())
-            .groupBy(*keys, "window_start", column)
-            .agg(F.min("step_end").alias("step_end"))
-            .groupBy(*by)
-            .agg(F.count("*").alias(name))
+    # One reduction for all metrics: a row stands once for its step and once for each value to be counted. The
+    # former are grouped by step, the latter by value, whose smallest step is that of its first appearance.
+    named = list(distincts)
+    types = dict(stepped.dtypes)
+    sides = [F.struct(F.lit(0).alias("side"), F.col("step_end").alias("step"), *(
+        F.lit(None).cast(types[distincts[n]]).alias(f"value{k}") for k, n in enumerate(named)
+    ))]
+    for at_side, name in enumerate(named):
+        values = (
+            (F.col(distincts[name]) if k == at_side else F.lit(None).cast(types[distincts[other]])).alias(f"value{k}")
+            for k, other in enumerate(named)
         )
-        # Every first appearance lies in a step that exists in ``parts``: fold the counts in.
-        filler = {c: F.lit(None).cast(t) for c, t in parts.dtypes if c not in (*by, name)}
-        parts = parts.unionByName(seen.select(*by, name, *(v.alias(c) for c, v in filler.items())))
-    if distincts:
-        parts = parts.groupBy(*by).agg(
-            F.min(first_source).alias(first_source),
-            *(F.sum(name).alias(name) for name in (*sums, *distincts)),
+        side = F.struct(F.lit(at_side + 1).alias("side"), F.lit(None).cast("timestamp").alias("step"), *values)
+        sides.append(F.when(F.col(distincts[name]).isNotNull(), side))
+    group = ["side", "step", *(f"value{k}" for k in range(len(named)))]
+    rows = stepped
+    if named:
+        rows = stepped.withColumn("_once", F.explode(F.array_compact(F.array(*sides))))
+        rows = rows.select("*", *(F.col(f"_once.{c}").alias(f"_{c}") for c in group)).drop("_once")
+    own = F.col("_side") == 0 if named else F.lit(True)
+    by_value = [*keys, "window_start", *(f"_{c}" for c in group)] if named else by
+
+    def counted(column: Column) -> Column:
+        return F.when(own, column) if named else column
+
+    parts = rows.groupBy(*by_value).agg(
+        *([F.min("step_end").alias("_step_end")] if named else []),
+        *(F.sum(counted(F.col(f"_sum_{name}"))).alias(name) for name in sums),
+        *(F.max(counted(F.col(f"_max_{name}"))).alias(name) for name in maxima),
+        # Of rows at the same time the smallest value is the first.
+        *(F.min_by(column, counted(F.struct(F.col(at), F.col(column)))).alias(name) for name, column in firsts.items()),
+    )
+    if named:
+        parts = parts.groupBy(*keys, "window_start", F.col("_step_end").alias("step_end")).agg(
+            *(F.sum(name).alias(name) for name in sums),
             *(F.max(name).alias(name) for name in maxima),
-            *(F.first(name, ignorenulls=True).alias(name) for name in firsts),
+            *(F.max(F.when(own, F.col(name))).alias(name) for name in firsts),
+            *(F.count_if(F.col("_side") == k + 1).alias(name) for k, name in enumerate(named)),
         )
 
     inside = Window.partitionBy(*keys, "window_start").orderBy("step_end")
