@@ -152,3 +152,40 @@ def test_table(spark, rows):
     pages = spark.createDataFrame([(1, "<p>a", 5), (2, None, 6), (None, "b", 7), (1, "<p>a", 5)], "page_id long, html string, text long")
     assert rows(extract_text(pages)) == sorted([(1, "a"), (2, ""), (None, "b"), (1, "a")], key=repr)
     assert extract_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f</table>", "a  b  c\nd     e\nf"),
+        ("<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "ab    c\n      d\ne  f  g"),
+        ("<table><tr><td colspan=2>a long one<td>x<tr><td>1<td>2<td>3</table>", "a long one  x\n1  2        3"),
+        ('<p style="visibility:hidden">a<span style="visibility:visible">b</span>c</p>d', "b\n\nd"),
+        ('<div style="visibility:hidden">a<p>b</p></div><p style="visibility:collapse">c</p>d', "d"),
+        ('<table><tr style="visibility:collapse"><td>a<tr><td>b</table>', "b"),
+        ('<div style="display:none"><p style="display:block;visibility:visible">a</p></div>b', "b"),
+        ('<p hidden>a</p><p hidden style="display:block">b</p><dialog>c</dialog><dialog open>d</dialog>', "b\n\nd"),
+        ("<style>.x{display:none} #y{visibility:hidden}</style><p class='w x'>a</p><p id=y>b<i style='visibility:visible'>c</i></p>d", "c\n\nd"),
+        ("<p class=x>a</p>b<style>.x{display:none}</style>", "b"),
+        ("<style>p{display:none} p.show{display:block}</style><p>a<p class=show>b", "b"),
+        ("<style>.x{display:none !important}</style><p class=x style='display:block'>a</p>b", "b"),
+        ("<style>.x{display:none}</style><p class=x style='display:block'>a</p>b", "a\n\nb"),
+        ("<style media=print>p{display:none}</style><style>@media print{p{display:none}} div p{display:none} /* p{display:none} */</style><p>a", "a"),
+        ("<!-- <style>p{display:none}</style> --><p>a", "a"),
+        ("<details>x<summary>s</summary>y<p>z</p></details>w", "s\nw"),
+        ("<details open><summary>s</summary><p>z</p></details>w", "s\n\nz\n\nw"),
+        ("<details><summary>s</summary><details open>n</details></details>w", "s\nw"),
+    ],
+)
+def test_what_is_shown_and_where(html, text):
+    assert render(html) == text
+
+
+def test_wide_cells_are_wrapped_and_stay_aligned():
+    words = " ".join(f"word{n}" for n in range(60))
+    lines = render(f"<table><tr><td>{words}<td>right<td>{words}<tr><td>a<td>b<td>c</table>").split("\n")
+    assert " ".join(lines).split().count("word59") == 2 and all(len(line) <= 80 + 2 + 5 + 2 + len(words) for line in lines)
+    column = lines[0].index("right")
+    assert lines[-1].startswith("a") and lines[-1].index("b") == column and lines[-1].index("c") == column + 7
+    assert sorted(" ".join(line[:column] for line in lines[:-1]).split()) == sorted(words.split())
