@@ -13,6 +13,7 @@ from bindings.oracle_queries import MOVING, ORACLE, _COUNTED, _UPLOADER, sql
 from bindings.queries import STREAM_PARTITIONS, Book, in_rounds, plain, query
 from bindings.topics import ROUND, RUN_DAY, run_ts, table
 from tidemark.operators.serving import pack_families
+from tidemark.plans import detail
 from tidemark.plans.serving import Serving, night_version
 from tidemark.session import stream_session, work_path
 from tidemark.sources.changelog import upsert_versioned
@@ -226,3 +227,57 @@ def _counters_at(day: str, until: int) -> str:
 ORACLE["stream_counters_over_midnight"] = (
     f"{COMMON.rstrip().rstrip(',')} {_counters_at('2024-01-28', MORNING_MS)} UNION ALL {_counters_at('2024-01-29', 1 << 60)}"
 )
+
+
+@query
+def stream_late_registrations(spark, sf_dir):
+    """New accounts per day; messages that come a round late meet a window that is over, and are dropped."""
+    path = work_path(spark, "late")
+    events = topics.in_rounds(topics.events_of(spark, sf_dir))
+    messages = topics.account_messages(events, ("round",)).select("json_str", "topic", "round")
+
+    def run() -> None:
+        files = stream_session(spark, STREAM_PARTITIONS).readStream.schema("json_str string, topic string")
+        run_to_end(live.REGISTRATION.start(files.parquet(f"{path}/messages"), f"{path}/rows", f"{path}/checkpoint"))
+
+    in_rounds(messages, f"{path}/messages", run)
+    return plain(live.REGISTRATION.read(spark, f"{path}/rows", run_ts()).select("dt", "new_account_cnt"))
+
+
+sql("stream_late_registrations", f""", r AS (SELECT *, {ROUND} AS round, (ms // 86400000 + 1) * 86400000 AS window_end FROM ae
+    WHERE event_id = 'account_register' AND mid IS NOT NULL),
+marks AS (SELECT n, coalesce((SELECT max(ms) - 5000 FROM r WHERE round < n), 0) AS mark FROM range(0, {topics.ROUNDS}) AS t(n))
+SELECT dt, count(*) AS new_account_cnt FROM r JOIN marks ON marks.n = r.round WHERE window_end > mark GROUP BY dt""")
+
+
+# ---- kept text -------------------------------------------------------------------------------
+
+
+@query
+def kept_json_text(spark, sf_dir):
+    """The JSON text of three sub-objects, kept whole beside columns that are read out of it."""
+    rows = detail.video_actions(Book(spark, sf_dir).raw("app_event_video"))
+    return plain(rows.select("trace_id", "properties", "device_info", "app_context"))
+
+
+_TEXT = """'{' || concat_ws(',', %s) || '}'"""
+
+
+def _member(name: str, value: str, quoted: bool = True) -> str:
+    return f"""'"{name}":' || {f"""'"' || {value} || '"'""" if quoted else f"({value})"}"""
+
+
+_KEPT = {
+    "properties": [
+        _member("from", "event_type"), _member("coin_count", "coin_count", False), _member("progress_sec", "k", False),
+        _member("play_speed", "'1.5'", False), _member("is_auto_play", "CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END", False),
+        _member("fav_folder_ids", "'[' || k || ',' || uid || ']'", False), _member("content", "'c' || k"),
+    ],
+    "device_info": [
+        *(_member(n, v) for n, v in {"device_id": "device_id", "brand": "brand", "model": "'m1'", "os": "os", "os_version": "'17.1'"}.items()),
+        _member("screen_width", "1080", False), _member("screen_height", "k + 2000", False),
+        _member("carrier", "'cmcc'"), _member("network", "network"),
+    ],
+    "app_context": [_member(n, n) for n in ("app_version", "channel", "platform")],
+}
+sql("kept_json_text", f"""SELECT 't' || i AS trace_id, {', '.join(_TEXT % ', '.join(members) + f' AS {name}' for name, members in _KEPT.items())} FROM ve""")

@@ -212,13 +212,13 @@ def vip_messages(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return _landed(events, _message(VIP_EVENTS, "ms", properties, order_no=number), "app_event_vip", carry=carry)
 
 
-def account_messages(events: DataFrame) -> DataFrame:
+def account_messages(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     properties = struct(
         source_page=pick(("login", "share", None), "k"),
         register_type=pick(("phone", "email"), "k"),
         channel=unless("k % 3 = 0", pick(("ads", "friend"), "k")),
     )
-    return _landed(events, _message(ACCOUNT_EVENTS, "ms", properties), "app_event_account")
+    return _landed(events, _message(ACCOUNT_EVENTS, "ms", properties), "app_event_account", carry=carry)
 
 
 def profile_messages(customer: DataFrame) -> DataFrame:
