@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.relations import relation_counts, relation_rollforward
-from tidemark.plans import detail, stats
+from tidemark.plans import detail, dims, stats
 from tidemark.plans.nightly import run_day
 from tidemark.plans.serving import SENTINELS, Serving, load_summary, night_version
 from tidemark.sources.daily import DailyTable
 from tidemark.sources.raw import RAW_SCHEMA, scan_raw
-from tidemark.sources.tables import MissingSnapshot, Tables, days_back
+from tidemark.sources.tables import ROLLED_KEYS, MissingSnapshot, Tables, days_back
 
 DAYS = ["2024-03-01", "2024-03-02", "2024-03-03"]
 DAY_MS = 86_400_000
@@ -195,6 +195,30 @@ def test_running_a_day_again_changes_nothing(spark, raw, tables, rows):
     assert {n: rows(tables.read(n)) for n in names} == before
 
 
+def test_bucketed_snapshots_are_not_moved(spark, raw, tables, rows, tmp_path):
+    """Three days with bucketed snapshots: the same rows, and a roll-forward that shuffles the changes only."""
+    for n, day in enumerate(DAYS):
+        done = run_day(spark, raw, str(tmp_path), day, f"{day} 23:59:00", bootstrap=n == 0, buckets=8)
+    for name in ROLLED_KEYS:
+        same = [c for c in done.scan_snapshot(name, DAYS[2]).columns if c != "dw_create_time"]
+        assert rows(done.scan_snapshot(name, DAYS[2]).select(*same)) == rows(tables.scan_snapshot(name, DAYS[2]).select(*same))
+        assert rows(Tables(spark, str(tmp_path)).scan_snapshot(name, DAYS[2]).select(*same)) == rows(tables.scan_snapshot(name, DAYS[2]).select(*same))
+    before = done.scan_snapshot("dim_video_df", DAYS[1])
+    made = dims.video_snapshot(
+        DAYS[2], F.lit("2024-03-04").cast("timestamp"), dims.video_content(raw, DAYS[2]),
+        done.scan_snapshot("dwd_stats_video_di", DAYS[2]).withColumn("dt", F.lit(DAYS[2])),
+        stats.reply_counts(done.scan_snapshot("dwd_action_comment_di", DAYS[2]).withColumn("dt", F.lit(DAYS[2]))), before,
+    )
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    table = done._table("dim_video_df", DAYS[1])
+    lines = plan.split("\n")
+    scan = next(n for n, line in enumerate(lines) if table in line)
+    depth = lines[scan].index("FileScan")
+    above = [line for line in lines[:scan] if len(line) - len(line.lstrip(" :+-|")) < depth]
+    join = max(n for n, line in enumerate(lines[:scan]) if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
+    assert above and not any("Exchange" in line for line in lines[join:scan]), plan
+
+
 def test_a_missing_day_before_is_an_error(spark, raw, tmp_path):
     with pytest.raises(MissingSnapshot):
         run_day(spark, raw, str(tmp_path), DAYS[1], f"{DAYS[1]} 23:59:00")

@@ -21,14 +21,16 @@ def run_day(
     expire_unit: str = "ms",
     carry_forward: bool = False,
     serving: Serving | None = None,
+    buckets: int | None = None,
 ) -> Tables:
     """Compute all tables of ``dt`` under ``root``; running it again replaces the same partitions.
 
     Written partitions are the boundaries between jobs: they cut lineage, and a lost executor
     costs at most the tasks of the table being written. The day before must exist unless
-    ``bootstrap`` is set. With ``serving``, the day's summaries and snapshots are then loaded there.
+    ``bootstrap`` is set. With ``serving``, the day's summaries and snapshots are then loaded there. With
+    ``buckets``, video and comment snapshots are stored so that the next day does not shuffle them.
     """
-    tables = Tables(spark, root)
+    tables = Tables(spark, root, buckets)
     now = F.lit(run_ts).cast("timestamp")
 
     def day(df: DataFrame) -> DataFrame:
