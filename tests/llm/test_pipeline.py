@@ -54,3 +54,34 @@ def test_near_copies_of_the_documents(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").dropDuplicates(["doc_id"]).orderBy("doc_id")
     ids, texts = zip(*((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()))
     assert {r.doc_id for r in jaccard_join(spark, docs, "").collect()} == {ids[n] for n in survivors(texts)}
+
+
+CLASHING = "labelled own own_key text_key row rows stay key doc id node size mark score kept taken piece ids bin open".split()
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark, tmp_path):
+    """Every stage on rows with nulls anywhere, empty and very long texts, repeated rows, and columns named as
+    those that the stages make; then on no rows at all."""
+    rng = random.Random(1)
+    text = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    texts = [text(rng.choice([1, 4, 30, 120])) for _ in range(60)] + [text(30_000), None, "", " \t", "x" * 50_000]
+    rows = [(n, t, "en" if n % 3 else None, "s" if n % 4 else None, None if n % 5 else n) for n, t in enumerate(texts)]
+    rows += [rows[0], rows[0], (None, texts[1], None, None, None), (None, None, None, None, None), (None, texts[2] + " more", "en", "s", 1)]
+    names = ["doc_id", "text", "lang", "source", "n_chars", *CLASHING]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in CLASHING)
+    whole = spark.createDataFrame([(*r, *CLASHING) for r in rows], schema)
+    (tmp_path / "labels.parquet").mkdir()
+    labels = spark.createDataFrame([(n, n % 2, None if n % 7 == 0 else int(n % 10 == 0)) for n in range(60)], "doc_id long, quality int, toxic int")
+    labels.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    for label, docs in (("whole", whole), ("none", whole.limit(0))):
+        counts = []
+        for n, (_, stage) in enumerate(STAGES):
+            made = stage(spark, docs, str(tmp_path))
+            assert n == len(STAGES) - 1 or made.columns == names
+            made.write.parquet(f"{tmp_path}/{label}-{n}")
+            docs = spark.read.parquet(f"{tmp_path}/{label}-{n}")
+            counts.append(docs.count())
+        assert counts[0] >= counts[1] >= counts[2] and (counts[-1] > 0) == (label == "whole")
+    pieces = spark.read.parquet(f"{tmp_path}/whole-4").collect()
+    assert all(len(r.ids) == 4 * r.length and 0 < r.length <= 1024 for r in pieces)
+    assert spark.read.parquet(f"{tmp_path}/whole-2").where("doc_id IS NULL").count() >= 1
