@@ -29,7 +29,7 @@ WORD_DIMS, CHAR_DIMS, HIDDEN = 12, 12, 8
 CHAR_CELLS = 4096
 # Bounds of the training sample: documents of each label, and the characters of all of them.
 DOCS_PER_LABEL = 1500
-SAMPLE_CHARS = 48_000_000
+SAMPLE_CHARS = 24_000_000
 MIN_DOCS = 2
 # A long text learns through as many of its windows, those that the network finds worst at the time.
 LEARNED_WINDOWS = 32
@@ -236,7 +236,6 @@ def doc_windows(texts: list[str]) -> tuple[list[str], list[tuple[np.ndarray, np.
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """A network for labelled texts. A fifth of them only calibrates, if there are enough."""
-    words = [{plain(w) for w in t.split()} for t in texts]
     y = np.array(labels, dtype=np.float64)
     if not len(y) or y.min() == y.max():
         network = Network.fresh({}, np.zeros(0), seed)
@@ -244,8 +243,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
         return network
     fit = np.arange(len(y)) % 5 != 0 if len(y) >= 200 else np.ones(len(y), dtype=bool)
     often, toxic = Counter(), Counter()
-    for held, label, used in zip(words, labels, fit):
+    for text, label, used in zip(texts, labels, fit):
         if used:
+            held = {plain(w) for w in set(text.split())}
             often.update(held)
             if label:
                 toxic.update(held)
@@ -264,9 +264,10 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
         for at in range(0, len(order), BATCH_DOCS):
             _train_batch(network, [texts[n] for n in order[at : at + BATCH_DOCS]], y[order[at : at + BATCH_DOCS]],
                          weight[order[at : at + BATCH_DOCS]], RATE * (0.5 if 2 * epoch >= epochs else 1))
-    scorer = Scorer(network)
+    scorer = Scorer(network, memo_words=50_000)
     rest = np.flatnonzero(~fit) if not fit.all() else used
-    worst = np.array(scorer.worst([texts[n] for n in rest]))
+    parts = (rest[at : at + BATCH_DOCS] for at in range(0, len(rest), BATCH_DOCS))
+    worst = np.array([logit for part in parts for logit in scorer.worst([texts[n] for n in part])])
     network.slope, network.offset = logistic(worst, y[rest], balanced=False)
     network.state, network.start = {}, {}
     return network
@@ -376,7 +377,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     """Labelled texts outside the held-out fold, whole and of any length: per label at most
     ``DOCS_PER_LABEL``, chosen by a hash of their ids; if they have more than ``SAMPLE_CHARS`` characters in
     all, the longest go. A document labelled more than once counts as toxic if any label says so; null
-    labels and null texts are left out. Of rows with one id the smallest text counts."""
+    labels and null texts are left out. Of rows with one id the shortest text counts."""
     marks = labels.where(~in_fold("doc_id", *HELD_OUT) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     marks = marks.groupBy(F.col("doc_id").alias("labelled")).agg(F.max("toxic").cast("int").alias("mark"))
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), "text")
