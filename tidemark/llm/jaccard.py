@@ -362,8 +362,8 @@ def joined_by_closest(
     tiles: DataFrame, arrays: Arrays, edges: DataFrame, roots: DataFrame, block: int, bands: Bands = BANDS
 ) -> tuple[DataFrame, DataFrame]:
     """The tiles that are still open, with new labels, and all links, after rounds in which each member
-    is held against the closest of another component. Rounds go on while one joins at least a tenth as
-    many components as it tests pairs."""
+    is held against the closest of another component. Rounds go on while one joins at least one component
+    in a hundred pairs that it tests: what is left apart is tested pair by pair, so it must be little."""
     joined = roots.count()
     while True:
         pairs = stored(tile_pairs(tiles, block, bands, closest=True), "closest")
@@ -376,7 +376,7 @@ def joined_by_closest(
         named = named.select("key", "node", F.coalesce("root", "node").alias("label"), "n", "bits")
         apart = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open")
-        if (joined - before) * 10 < pairs.count():
+        if (joined - before) * 100 < pairs.count():
             return tiles, edges
 
 
