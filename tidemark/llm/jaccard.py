@@ -36,6 +36,7 @@ WORDS_PER_SHINGLE = 3
 THRESHOLD = (9, 10)
 BAND_RATIO = 1.5
 BLOCK = 1024
+KEY_PARTS = 2
 MEMO_WORDS = 400_000
 FILTER_BITS = 1 << 24
 # Odd multipliers of the mixing steps.
@@ -402,8 +403,12 @@ def jaccard_components(
     maps = members.where("row = node").select("row", "node", "n").join(full.select("row", "bits"), "row").drop("row")
 
     in_tile = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tiles = with_keys.select("row", F.explode("keys").alias("key")).withColumn("first", F.first("row").over(in_tile))
-    shared = stored(tiles.where("row <> first"), "tiles")
+    keys, shared = with_keys.select("row", F.explode("keys").alias("key")), None
+    # A part of the keys at a time, so that not all of them lie in shuffle files at once.
+    for part in range(KEY_PARTS):
+        tiles = keys.where(F.pmod("key", F.lit(KEY_PARTS)) == part).withColumn("first", F.first("row").over(in_tile))
+        own = stored(tiles.where("row <> first"), "tiles")
+        shared = own if shared is None else shared.unionByName(own)
     # The keys are most of what is written here, and most of them belong to one set only.
     remove(spark, keyed)
     of_row = members.select("row", "node")
