@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +229,67 @@ def test_late_rows_change_orders(spark, feed, rows):
     assert rows(orders.pending_orders(stored), "order_no") == [("e",), ("h",), ("i",)]
 
 
+class CountedState:
+    """A shard's state and timers, as the tracker's handle gives them, with the number of calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def _call(self):
+        self.calls += 1
+
+    def get(self):
+        self._call()
+        return self.value
+
+    def update(self, value):
+        self._call()
+        self.value = value
+
+    def clear(self):
+        self._call()
+        self.value = None
+
+    def registerTimer(self, at):
+        self._call()
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self._call()
+        self.timers.remove(at)
+
+
+def test_the_calls_of_order_states_do_not_grow_with_the_orders(spark):
+    class Now:
+        def __init__(self, watermark):
+            self.getCurrentWatermarkInMs = lambda: watermark
+
+    state, tracker = CountedState(), orders.OrderTracker(100)
+    tracker.init(state)
+    events = [(f"o{n}", n, "vip_create_order", "1", None, None) for n in range(1000)]
+    frames = [pd.DataFrame(events[:400], columns=orders.GIVEN), pd.DataFrame(events[400:], columns=orders.GIVEN)]
+    made = list(tracker.handleInputRows((0,), iter(frames), Now(0)))
+    assert sum(map(len, made)) == 1000 and state.timers == [100] and state.calls <= 3
+    state.timers.clear()
+    over = list(tracker.handleExpiredTimer((0,), Now(600), None))
+    assert sum(map(len, over)) == 500 and state.timers == [600] and state.calls <= 6
+
+
+def test_large_ids_of_orders_are_whole_beside_nulls(spark, feed, rows):
+    """A whole number beside a null must not pass through a double."""
+    large = 9007199254740993
+    feed.add("app_event_vip", vip("vip_create_order", "a", 0, mid=large), vip("vip_pay_success", "b", 1, mid=None, new_vip_expire=large))
+    path = work_path(spark, "orders")
+    # One shard, so that all rows are in one frame.
+    changes = orders.order_changes(orders.order_events(feed.stream(keyed=True)), ttl_seconds=100, shards=1)
+    run_to_end(start(changes, lambda df, n: df.write.parquet(f"{path}/rows/batch_id={n}"), f"{path}/c", mode="append"))
+    stored = spark.read.schema(orders.CHANGE_SCHEMA).parquet(f"{path}/rows/batch_id=*")
+    assert rows(stored, "order_no", "mid", "new_vip_expire") == [("a", large, None), ("b", None, large)]
+
+
 def test_an_order_expires_just_after_its_limit(spark, feed, rows):
     """The watermark is 5 seconds behind the newest event; a limit that it just reaches is not over."""
     create = "vip_create_order"
