@@ -12,7 +12,7 @@ from tidemark.functions.json_paths import extract_json, json_fields
 from tidemark.operators import relations
 from tidemark.operators.enrich import left_enrich
 from tidemark.operators.snapshots import fold_by_key, latest_by_key, merge_latest
-from tidemark.plans import stats, summaries
+from tidemark.plans import detail, dims, stats, summaries
 from tidemark.session import shared_dir, spread
 
 
@@ -160,3 +160,14 @@ def test_distinct_counts_of_windows_read_their_source_once(spark):
     assert plan.count("Range (") == 1 and "Union" not in plan and "Join" not in plan
     last = made.where("window_end = timestamp'1970-01-01 00:01:00' AND k = 0").first()
     assert (last["n"], last["as"], last["bs"], last["x"]) == (30, 3, 5, 0)
+
+
+def test_accounts_parse_only_what_they_read_of_orders_and_social_events(spark):
+    body = '{"event_id":"vip_pay_success","mid":1,"server_ts":5,"order_no":"a","properties":{"new_vip_expire":9,"plan_duration_days":31,"coupon_id":"c"}}'
+    raw = spark.createDataFrame([(body, "d", t) for t in ("app_event_vip", "app_event_social")], "json_str string, dt string, topic string")
+    whole, narrow = detail.vip_orders(raw), detail.vip_orders(raw, columns=dims.PAID_INPUT)
+    assert dims.newest_paid_orders(narrow).collect() == dims.newest_paid_orders(whole).collect() != []
+    assert "coupon_id" in physical(whole) and "coupon_id" not in physical(narrow)
+    social = detail.account_actions(raw, columns=["mid", "target_mid"])
+    assert social.select("event_id", "mid", "server_ts").collect() == [("vip_pay_success", 1, 5)]
+    assert "device_info" not in physical(social)

@@ -179,11 +179,15 @@ def _event_clock(df: DataFrame) -> DataFrame:
     )
 
 
-def account_actions(raw: DataFrame, dt: str | list[str] | None = None) -> DataFrame:
-    """Social events, one row each; rows without event or account id are dropped."""
+def account_actions(
+    raw: DataFrame, dt: str | list[str] | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """Social events, one row each; rows without event or account id are dropped. ``columns`` narrows what is
+    parsed, beside the event and its time."""
     text = HEAD_FIELDS + CLOCK_FIELDS + PAGE_FIELDS + DEVICE_FIELDS + APP_FIELDS + SOCIAL_FIELDS
     # The id test is on the field's presence, so an account id that is no number stays, as null.
-    fields = [*json_fields(text), JsonField("mid_present", "string", ("mid",))]
+    wanted = _wanted(text, columns, ("event_id", "server_ts_text"))
+    fields = [*wanted, JsonField("mid_present", "string", ("mid",))]
     rows = extract_json(scan_raw(raw, "app_event_social", dt), fields, carry=("dt",))
     timed = require(rows, not_null=("event_id", "mid_present")).withColumns(
         {
@@ -233,8 +237,10 @@ def vip_orders(
     dt: str | list[str] | None = None,
     lookback_days: int = 0,
     newest: bool = False,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """One row per order and day, out of that day's order events.
+    """One row per order and day, out of that day's order events. ``columns`` narrows what is parsed of the
+    events, beside order, account, event and time.
 
     With ``lookback_days`` (for one ``dt``) an order that has an event on the day is completed by
     its events of the days before, so a payment after midnight finds its order.
@@ -244,7 +250,8 @@ def vip_orders(
         if not isinstance(dt, str):
             raise ValueError("lookback_days needs a single dt")
         days = days_back(dt, lookback_days)
-    fields = json_fields(HEAD_FIELDS + CLOCK_FIELDS + APP_FIELDS + VIP_FIELDS)
+    text = HEAD_FIELDS + CLOCK_FIELDS + APP_FIELDS + VIP_FIELDS
+    fields = _wanted(text, columns, ("event_id", "mid", "order_no", "server_ts_text"))
     rows = extract_json(scan_raw(raw, "app_event_vip", days), fields, carry=("dt",))
     events = require(rows, not_blank=("order_no",)).withColumn("server_ts", as_whole("server_ts_text"))
     if not lookback_days:

@@ -124,6 +124,10 @@ def profiles(raw: DataFrame, dt: str | list[str] | None) -> DataFrame:
     return latest_by_key(parsed, ["mid"], ["updated_ms", "json_str"]).drop("json_str")
 
 
+# What newest_paid_orders reads of order events, beside order, account, event and time.
+PAID_INPUT = ["new_vip_expire_ts", "plan_duration_days"]
+
+
 def newest_paid_orders(orders: DataFrame) -> DataFrame:
     """Per account the latest paid order that sets an expiry."""
     paid = orders.where(F.col("order_status") == "success")
