@@ -27,3 +27,13 @@ def test_edge_texts(cut):
     assert encoder.encode([None, ""]) == [end, end]
     texts = [" a", "a ", " ", "  ", "a  b", "a \nb", "word " * 5000, "x" * 20000, "<|endoftext|> a"]
     assert encoder.encode(texts) == [ids + end for ids in WHOLE[cut].encode(texts)]
+
+
+def test_plain_words_are_encoded_as_one_text(monkeypatch):
+    """One call for all new words of letters; others, and marks at the end of words, are encoded each."""
+    encoder, asked = Encoder(public_path(KINDS["words"]), "words"), []
+    each = encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda words: asked.extend(words) or each(words))
+    texts = ["Thor, \u00e9lan au. x!", "thr33 don't au. \u00c9LAN", "", " \t", "a..b ?! z\u0301 \u0130x \x1c \u0085"]
+    assert encoder.encode(texts) == WHOLE["words"].encode(texts)
+    assert set(asked) - {""} == {".", ",", "!", "thr33", "don't", "a..b", "?!", "z\u0301", "\u0130x", "\x1c", "\u0085"}

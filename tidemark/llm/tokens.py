@@ -11,13 +11,20 @@ Encoding in pieces is exact where no token can cross a piece's edge:
 from __future__ import annotations
 
 import os
+import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_WORDS = 1_000_000
 # Fixed value: how byte-level vocabularies write a space.
 SPACE_MARK = "\u0120"
+# Letters that no normal form changes, and marks that end words.
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?"
+PLAIN, MARKED = re.compile(f"[{LETTERS}]+"), f"([{LETTERS}])([{MARKS}])([\\x20\\x09-\\x0D]|$)"
 
 
 def _uneven(piece: str) -> bool:
@@ -37,9 +44,13 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.cut, self.memo_words = cut, memo_words
         self.end = b"" if end_id is None else np.uint32(end_id).astype("<u4").tobytes()
-        self.memo: dict[bytes, bytes | None] = {}
-        self.older: dict[bytes, bytes | None] = {}
+        self.memo: dict[bytes | str, bytes | None] = {}
+        self.older: dict[bytes | str, bytes | None] = {}
         self.begins: np.ndarray | None = None
+        self.suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes: np.ndarray | None = None
+        self.folds: bool | None = None
+        self.parts: bool | None = None
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -68,7 +79,30 @@ class Encoder:
         flat, edges = ids.tobytes(), (4 * starts).tolist()
         return [flat[a:b] for a, b in zip(edges, [*edges[1:], len(flat)])]
 
-    def _learn(self, words: set[bytes], before: str) -> None:
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one encoding of all of them: a word of letters closes with one token. If
+        the tokenizer parts them otherwise, each word is encoded alone."""
+        if self.closes is None:
+            size = self.tokenizer.get_vocab_size()
+            names = (self.tokenizer.id_to_token(n) or "" for n in range(size))
+            self.closes = np.fromiter((name.endswith(self.suffix) for name in names), dtype=bool, count=size)
+        coded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(coded.ids, dtype="<u4")
+        closing = np.flatnonzero(self.closes[ids])
+        if len(closing) != len(words):
+            return self._each(words)
+        flat, ends = ids.tobytes(), (4 * (closing + 1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _alone(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words that white space parts from all else, with their ids."""
+        plain = [word for word in words if PLAIN.fullmatch(word)] if self.suffix else []
+        if plain:
+            yield from zip(plain, self._plain(plain))
+        other = list(set(words).difference(plain))
+        yield from zip(other, self._each(other))
+
+    def _learn(self, words: set[bytes] | set[str], before: str) -> None:
         """Encodes the words that are new. A full half of the memo becomes the older one, from which
         words in use come back; the older one before it is forgotten."""
         if 2 * len(self.memo) > self.memo_words:
@@ -76,7 +110,7 @@ class Encoder:
         missing = words.difference(self.memo)
         if self.older:
             back = missing.intersection(self.older)
-            self.memo.update((word, self.older[word]) for word in back)
+            self.memo.update(zip(back, map(self.older.__getitem__, back)))
             missing -= back
         new = list(missing)
         for at in range(0, len(new), 4096):
@@ -87,16 +121,40 @@ class Encoder:
                 part = [word for word, text in zip(part, texts) if not _uneven(text)]
                 self.memo.update(zip(part, self._after_space(part) if part else ()))
             else:
-                self.memo.update(zip(part, self._each([word.decode() for word in part])))
+                self.memo.update(self._alone(part))
+
+    def _same(self, pairs: list[tuple[str, str]]) -> bool:
+        return all(self._whole(one) == self._whole(other) for one, other in pairs)
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, gathered from those of its words; each distinct word is looked up once. If the
+        tokenizer folds letters, or parts a mark from a letter before it, that is done first, so that
+        fewer words are distinct."""
+        if self.folds is None:
+            letters = [chr(n) for n in range(256) if PLAIN.fullmatch(chr(n))]
+            self.folds = self._same([(c, c.lower()) for c in letters if c.isascii()])
+            self.parts = self._same([(c + mark, f"{c} {mark}") for c in letters for mark in MARKS])
+        rows = pa.array(texts, pa.string())
+        rows = pc.ascii_lower(rows) if self.folds else rows
+        rows = pc.replace_substring_regex(rows, MARKED, r"\1 \2\3") if self.parts else rows
+        split = pc.ascii_split_whitespace(rows)
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(set(names), "")
+        found = list(map(self.memo.__getitem__, names))
+        known, place = np.frombuffer(b"".join(found), dtype="<u4"), words.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begins, sizes = (np.cumsum(sizes) - sizes)[place], sizes[place]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        flat = known[np.arange(edges[-1]) + np.repeat(begins - edges[:-1], sizes)].tobytes()
+        ends = (4 * edges[np.cumsum(split.value_lengths().to_numpy())]).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text, null as empty, with the end id. Takes a slice of a batch at a time."""
         texts = [text or "" for text in texts]
         if self.cut == "words":
-            split = [text.encode().split() for text in texts]
-            self._learn(set().union(*split), "")
-            find = self.memo.__getitem__
-            return [b"".join(map(find, words)) + self.end for words in split]
+            return [ids + self.end for ids in self._by_words(texts)] if texts else []
         if self.cut is None:
             return [self._whole(text) + self.end for text in texts]
         split = [text.encode().split(b" ") for text in texts]
