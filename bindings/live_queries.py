@@ -143,7 +143,8 @@ def stream_first_lookup(spark, sf_dir):
     under a new title from the third round on; the first title found stays."""
     path, book = work_path(spark, "first-lookup"), Book(spark, sf_dir)
     videos, accounts = WideTable(f"{path}/videos", buckets=BUCKETS), WideTable(f"{path}/accounts", buckets=BUCKETS)
-    known = book.video_wide
+    book.video_wide.write.parquet(f"{path}/known")
+    known = spark.read.parquet(f"{path}/known")
     even = F.expr("CAST(substr(reverse(rowkey), 3) AS BIGINT) % 2 = 0")
     videos.load(known.where(even), "attributes", 0)
     profiles = live_dims.account_attributes(book.raw("app_user_profile"), run_ts(), run_ts())

@@ -94,3 +94,19 @@ def test_reading_a_table_that_nothing_has_written(spark, table):
     assert table.compact(spark, SOURCES) == 1
     with pytest.raises(FileNotFoundError):
         table.read(spark, SOURCES)
+
+
+def test_wide_rows_fold_a_row_per_source(spark, tmp_path):
+    """One aggregate per source, not one per column; columns that two sources write go by version."""
+    kinds = "rowkey string, version bigint, a struct<x:string,y:string>, b struct<z:string>"
+    one = spark.createDataFrame([("k", 1, ("old", "y1"), ("z1",)), ("k", 5, ("x5", None), ("z5",)), ("l", None, ("n", "n"), ("n",))], kinds)
+    two = spark.createDataFrame([("k", 7, (None, "y7")), ("m", 2, ("x2", "y2"))], "rowkey string, version bigint, a struct<x:string,w:string>")
+    folded = changelog.fold_columns({"one": one, "two": two})
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("max_by(") == 2
+    got = {r.rowkey: (r.version, r.a.asDict(), r.b.z) for r in folded.collect()}
+    assert got == {
+        "k": (7, {"x": None, "y": None, "w": "y7"}, "z5"),
+        "l": (None, {"x": "n", "y": "n", "w": None}, "n"),
+        "m": (2, {"x": "x2", "y": None, "w": "y2"}, None),
+    }

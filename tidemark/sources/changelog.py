@@ -91,7 +91,7 @@ def fold_columns(changes: dict[str, DataFrame], key: str = "rowkey") -> DataFram
     ``changes`` maps a source to its rows: key, ``version`` and family structs. Every column
     takes its value from the newest row among the sources that provide that column; a null
     written by such a row is a value. Of one source's rows with equal versions the later batch
-    counts. One shuffle by key, reduced map-side.
+    counts. One shuffle by key, reduced map-side, with a row per source and key and not a value per column.
     """
     skip = {key, "version", "source", "batch_id"}
     layout: dict[str, dict[str, None]] = {}
@@ -104,28 +104,39 @@ def fold_columns(changes: dict[str, DataFrame], key: str = "rowkey") -> DataFram
                 provided[source].add((family, leaf))
     flat = None
     for source, df in changes.items():
-        columns = [
-            (
-                F.col(f"{family}.{leaf}")
-                if (family, leaf) in provided[source]
-                else F.lit(None).cast("string")
-            ).alias(f"{family}__{leaf}")
-            for family, leaves in layout.items()
-            for leaf in leaves
-        ]
         batch = F.col("batch_id").cast("long") if "batch_id" in df.columns else F.lit(0).cast("long")
-        part = df.select(key, "version", F.lit(source).alias("_source"), batch.alias("_batch"), *columns)
-        flat = part if flat is None else flat.unionByName(part)
+        row = F.struct(
+            F.col("version").alias("version"),
+            batch.alias("batch"),
+            *(F.col(f"{family}.{leaf}").alias(f"{family}__{leaf}") for family, leaf in sorted(provided[source])),
+        )
+        part = df.select(key, row.alias(f"of_{source}"))
+        flat = part if flat is None else flat.unionByName(part, allowMissingColumns=True)
 
-    def newest(family: str, leaf: str) -> Column:
-        writers = [source for source in changes if (family, leaf) in provided[source]]
-        stamp = F.struct("version", "_source", "_batch")
-        at = stamp if len(writers) == len(changes) else F.when(F.col("_source").isin(*writers), stamp)
-        return F.max_by(f"{family}__{leaf}", at).alias(f"{family}__{leaf}")
+    def stamp(source: str) -> Column:
+        row = F.col(f"of_{source}")
+        return F.when(row.isNotNull(), F.struct(row["version"], row["batch"]))
 
+    # A source writes all its columns at once: its newest row holds all that counts of it.
     folded = flat.groupBy(key).agg(
-        F.max("version").alias("version"),
-        *(newest(family, leaf) for family, leaves in layout.items() for leaf in leaves),
+        *(F.max_by(f"of_{source}", stamp(source)).alias(f"of_{source}") for source in changes)
+    )
+
+    def newest(family: str, leaf: str) -> Column:
+        rows = {source: F.col(f"of_{source}") for source in changes if (family, leaf) in provided[source]}
+        if len(rows) == 1:
+            return [*rows.values()][0][f"{family}__{leaf}"]
+        stamped = (
+            F.when(row.isNotNull(), F.struct(row["version"].alias("version"), F.lit(source).alias("source"), row[f"{family}__{leaf}"].alias("value")))
+            for source, row in rows.items()
+        )
+        return F.greatest(*stamped)["value"]
+
+    versions = [F.col(f"of_{source}")["version"] for source in changes]
+    folded = folded.select(
+        key,
+        (F.greatest(*versions) if len(versions) > 1 else versions[0]).alias("version"),
+        *(newest(family, leaf).alias(f"{family}__{leaf}") for family, leaves in layout.items() for leaf in leaves),
     )
     return folded.select(
         key,
