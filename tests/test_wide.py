@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import work_path
+from tidemark.session import spread, work_path
 from tidemark.sources import changelog
 from tidemark.sources.wide import WideTable, bucket_of
 
@@ -110,3 +110,11 @@ def test_wide_rows_fold_a_row_per_source(spark, tmp_path):
         "l": (None, {"x": "n", "y": "n", "w": None}, "n"),
         "m": (2, {"x": "x2", "y": None, "w": "y2"}, None),
     }
+
+
+def test_a_small_stream_is_dealt_over_the_cores(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(10).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema("id bigint").parquet(path)
+    plan = spread(stream, spark.read.parquet(path))._jdf.queryExecution().logical().toString()
+    assert plan.lstrip("~").startswith(f"Repartition {spark.sparkContext.defaultParallelism}, true")
