@@ -557,3 +557,11 @@ def test_op3_learns_and_scores_whole_texts(spark):
 def test_shingles_ignore_ascii_case_only():
     a, b, c, d = Shingler().sets(["A b C d", "a B\nc\td", "É b c d", "é b c d"])
     assert (a == b).all() and not (c == d).all()
+
+
+def test_shingler_keeps_no_words_between_calls():
+    shingler = Shingler(2)
+    first = shingler.sets([f"w{n} w{n + 1}" for n in range(1000)] + [None, "", " \t", "\x1c"])
+    assert [len(s) for s in first[-4:]] == [0, 0, 0, 1] and all(len(s) == 1 for s in first[:1000])
+    assert vars(shingler) == {"size": 2} and shingler.sets([]) == []
+    assert (shingler.sets([" w3  w4\n"])[0] == first[3]).all()

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,6 @@ THRESHOLD = (9, 10)
 BAND_RATIO = 1.5
 BLOCK = 1024
 KEY_PARTS = 2
-MEMO_WORDS = 400_000
 FILTER_BITS = 1 << 24
 # Odd multipliers of the mixing steps.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -51,21 +51,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes are remembered within a bound."""
+    """Sorted distinct shingle hashes of texts. Each distinct word of the texts given is hashed once, and
+    nothing is kept from call to call."""
 
     def __init__(self, size: int = WORDS_PER_SHINGLE):
-        self.size, self.memo = size, {}
+        self.size = size
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(text or "").encode().lower().split() for text in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        words = set().union(*split)
-        self.memo.update((w, xxhash.xxh3_64_intdigest(w)) for w in words if w not in self.memo)
-        return [self._set(words) for words in split]
-
-    def _set(self, words: list[bytes]) -> np.ndarray:
-        hashes = np.fromiter(map(self.memo.__getitem__, words), dtype=np.uint64, count=len(words))
+        if not texts:
+            return []
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([text or "" for text in texts], pa.string())))
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.to_numpy(zero_copy_only=False)
+        known = np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))
+        # White space at an end of a text, or no text, gives an empty word.
+        place, real = words.indices.to_numpy(), names != ""
+        full = real[place]
+        ends = np.concatenate([[0], np.cumsum(full)])[np.cumsum(split.value_lengths().to_numpy())].tolist()
+        hashes = known[place[full]]
+        return [self._set(hashes[begin:end]) for begin, end in zip([0, *ends], ends)]
+
+    def _set(self, hashes: np.ndarray) -> np.ndarray:
         if not len(hashes):
             return hashes
         length = min(self.size, len(hashes))
