@@ -37,3 +37,23 @@ def test_plain_words_are_encoded_as_one_text(monkeypatch):
     texts = ["Thor, \u00e9lan au. x!", "thr33 don't au. \u00c9LAN", "", " \t", "a..b ?! z\u0301 \u0130x \x1c \u0085"]
     assert encoder.encode(texts) == WHOLE["words"].encode(texts)
     assert set(asked) - {""} == {".", ",", "!", "thr33", "don't", "a..b", "?!", "z\u0301", "\u0130x", "\x1c", "\u0085"}
+
+
+def test_letters_are_encoded_apart_from_marks_and_line_ends(monkeypatch):
+    """A word is learned once, whatever marks or line ends stand beside it; apostrophes stay with it."""
+    encoder = Encoder(public_path(KINDS["spaced"]), "spaced")
+    texts = ["on word. word, word\nword. (word)", "on word### word.\nword élà.\nÉl don't 'word", "a×.b\n÷ é́. word"]
+    assert encoder.encode(texts) == WHOLE["spaced"].encode(texts)
+    learned = {piece.decode() for piece in encoder.memo}
+    assert {piece for piece in learned if "word" in piece} == {" word", "word", " 'word"}
+    assert {" élà", "Él", " don't", "\n", ".", "###"} <= learned
+
+
+def test_a_tokenizer_that_does_not_part_marks_is_cut_at_spaces_only():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    encoder = Encoder(public_path(KINDS["spaced"]), "spaced")
+    encoder.tokenizer = Tokenizer(models.BPE({"a": 0, ".": 1, "a.": 2, "Ġ": 3, "Ċ": 4}, [("a", ".")]))
+    encoder.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    assert encoder.encode(["a. a.\na. a"]) == [np.array([2, 3, 2, 4, 2, 3, 0], dtype="<u4").tobytes()]
+    assert not encoder.fine
