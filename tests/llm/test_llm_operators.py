@@ -565,3 +565,24 @@ def test_shingler_keeps_no_words_between_calls():
     assert [len(s) for s in first[-4:]] == [0, 0, 0, 1] and all(len(s) == 1 for s in first[:1000])
     assert vars(shingler) == {"size": 2} and shingler.sets([]) == []
     assert (shingler.sets([" w3  w4\n"])[0] == first[3]).all()
+
+
+def test_workers_keep_no_encoder_while_they_do_other_steps(spark):
+    """A worker outlives a step; what it has learned for one must not lie beside the next one's memory."""
+    from tidemark.llm.jaccard import bounded, shingle_sets
+    from tidemark.llm.tokens import encoder
+
+    class Caught:
+        """Stands for a table; gives the function that workers would run."""
+
+        def __getattr__(self, name):
+            return lambda *_, **__: self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    for step in (shingle_sets(Caught()), bounded(Caught(), Caught())):
+        first = encoder(public_path("byte_bpe_50k.json"), "spaced", 2)
+        assert encoder(public_path("byte_bpe_50k.json"), "spaced", 2) is first
+        assert list(step(iter([]))) == []
+        assert encoder(public_path("byte_bpe_50k.json"), "spaced", 2) is not first

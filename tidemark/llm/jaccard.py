@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import remove, slices, stored, text_or_empty
+from tidemark.llm.common import forget, remove, slices, stored, text_or_empty
 from tidemark.llm.components import components
 from tidemark.session import work_path
 
@@ -186,6 +186,7 @@ def shingle_sets(docs: DataFrame, bands: Bands = BANDS, words: int = WORDS_PER_S
     """One row per document. Bitmap and keys are given once per task for equal sets."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingler, seen = Shingler(words), set()
         for batch in batches:
             for part in slices(batch, "text"):
@@ -218,6 +219,7 @@ def arrays_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS_PER_SHINGLE
     """(node, n, hashes) of the wanted sets (``node``, ``doc_id``, ``digest``), from their texts."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingler = Shingler(words)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -242,6 +244,7 @@ def verified(pairs: DataFrame, arrays: DataFrame, bands: Bands = BANDS) -> DataF
     """The pairs (u, v) whose sets link, by intersection of their sorted arrays."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             sets = [[np.frombuffer(x.as_py(), dtype=np.uint64) for x in batch.column(k)] for k in (2, 3)]
             good = pa.array([links(a, b, bands) for a, b in zip(*sets)], pa.bool_())
@@ -275,6 +278,7 @@ def bounded(pairs: DataFrame, maps: DataFrame, bands: Bands = BANDS) -> DataFram
     """The pairs (u, v) that sizes and bitmaps (``node``, ``n``, ``bits``) allow to link."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             n_a, n_b = (batch.column(k).to_pylist() for k in (2, 3))
             sets = [[np.frombuffer(x.as_py(), dtype=np.uint8) for x in batch.column(k)] for k in (4, 5)]
@@ -336,6 +340,7 @@ def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS, close
             yield rows[at]["node"], rows[mate[at]]["node"], float(top[at])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held, tile = [], None
         for batch in batches:
             out = []

@@ -14,12 +14,13 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tidemark.llm.common import keep
+
 MEMO_WORDS = 1_000_000
 # Fixed value: how byte-level vocabularies write a space.
 SPACE_MARK = "\u0120"
@@ -236,10 +237,10 @@ class Encoder:
         return [ids + self.end for ids in self._by_pieces(texts)] if texts else []
 
 
-@cache
 def encoder(path: str, cut: str | None, end_id: int | None, memo_words: int = MEMO_WORDS) -> Encoder:
-    """The worker's encoder; a worker keeps it, and what it has learned, for later tasks."""
-    return Encoder(path, cut, end_id, memo_words)
+    """The worker's encoder; a worker keeps it, and what it has learned, for later tasks of its kind."""
+    key = path, cut, end_id, memo_words
+    return keep(("encoder", *key), lambda: Encoder(*key))
 
 
 def public_path(name: str) -> str:

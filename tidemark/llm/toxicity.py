@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_fold, slices
+from tidemark.llm.common import forget, in_fold, slices
 from tidemark.llm.url_filter import logistic
 
 HELD_OUT = (5, 0)
@@ -405,6 +405,7 @@ def score_texts(docs: DataFrame, network: Network) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -434,6 +435,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names, place = docs.columns, docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(shared.value)
         for batch in batches:
             for part in slices(batch.rename_columns([str(n) for n in range(batch.num_columns)]), str(place)):
