@@ -85,3 +85,37 @@ def test_stages_take_nulls_repeats_and_clashing_columns(spark, tmp_path):
     pieces = spark.read.parquet(f"{tmp_path}/whole-4").collect()
     assert all(len(r.ids) == 4 * r.length and 0 < r.length <= 1024 for r in pieces)
     assert spark.read.parquet(f"{tmp_path}/whole-2").where("doc_id IS NULL").count() >= 1
+
+
+def test_open_tiles_are_written_once_and_without_bitmaps(spark, monkeypatch):
+    """Steps that nothing reads any more go, and no texts are shuffled to drop a few rows."""
+    from pathlib import Path
+
+    from tidemark.llm import jaccard
+    from tidemark.session import shared_dir
+
+    steps, folder = [], Path(shared_dir(spark))
+    before = set(folder.iterdir())
+
+    def stored(df, label, *path):
+        made = write(df, label, *path)
+        steps.append((label, set(made.columns)))
+        assert len([p for p in set(folder.iterdir()) - before if p.name.startswith("open-")]) <= 2
+        return made
+
+    write = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", stored)
+    rng = random.Random(5)
+    texts = []
+    for n in range(80):
+        own = [f"w{k}" for k in range(90)]
+        for at in rng.sample(range(90), 1 + n % 4):
+            own[at] = f"x{rng.randrange(6)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = jaccard_join(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == survivors(texts)
+    assert "open" in dict(steps) and all("bits" not in columns for label, columns in steps if label == "open")
+    left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
+    assert not left & {"keyed", "tiles", "in_tiles", "open"}
+    assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()

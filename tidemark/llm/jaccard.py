@@ -295,17 +295,19 @@ def bounded(pairs: DataFrame, maps: DataFrame, bands: Bands = BANDS) -> DataFram
     return both.mapInArrow(test, "u bigint, v bigint")
 
 
-def tile_pairs(tiles: DataFrame, block: int = BLOCK, bands: Bands = BANDS, closest: bool = False) -> DataFrame:
-    """Pairs (u, v) of a tile's members (``key``, ``node``, ``label``, ``n``, ``bits``) with different
-    labels that size and bitmaps allow. Large tiles are cut into blocks; every two blocks meet once.
+def tile_pairs(
+    tiles: DataFrame, maps: DataFrame, block: int = BLOCK, bands: Bands = BANDS, closest: bool = False
+) -> DataFrame:
+    """Pairs (u, v) of a tile's members (``key``, ``node``, ``label``) with different labels that sizes and
+    bitmaps (``node``, ``n``, ``bits``) allow. Large tiles are cut into blocks; every two blocks meet once.
     With ``closest`` just a pair per member, that with the largest similarity that bitmaps allow."""
     sizes = tiles.groupBy("key").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
     own = tiles.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     meets = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = meets.select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") <= F.col("other")).alias("left"), "node", "label", "n", "bits",
-    )
+        (F.col("own") <= F.col("other")).alias("left"), "node", "label",
+    ).join(maps, "node")
 
     def within(rows: list[dict], i: int, j: int) -> Iterator[tuple[int, int]]:
         """Members sorted by size; each is held against those that are larger, within the ratio."""
@@ -371,25 +373,29 @@ def _pairs(pairs: list[tuple[int, int, float]]) -> pa.RecordBatch:
 
 
 def joined_by_closest(
-    tiles: DataFrame, arrays: Arrays, edges: DataFrame, roots: DataFrame, block: int, bands: Bands = BANDS
-) -> tuple[DataFrame, DataFrame]:
-    """The tiles that are still open, with new labels, and all links, after rounds in which each member
-    is held against the closest of another component. Rounds go on while one joins at least one component
-    in a hundred pairs that it tests: what is left apart is tested pair by pair, so it must be little."""
-    joined = roots.count()
+    tiles: DataFrame, path: str, maps: DataFrame, arrays: Arrays, edges: DataFrame, roots: DataFrame, block: int,
+    bands: Bands = BANDS,
+) -> tuple[DataFrame, str, DataFrame]:
+    """The tiles that are still open, with new labels, where they are written (first at ``path``), and all
+    links, after rounds in which each member is held against the closest of another component. Rounds go on
+    while one joins at least one component in a hundred pairs that it tests: what is left apart is tested
+    pair by pair, so it must be little. A round's tiles replace those of the round before."""
+    spark, joined = tiles.sparkSession, roots.count()
     while True:
-        pairs = stored(tile_pairs(tiles, block, bands, closest=True), "closest")
+        pairs = stored(tile_pairs(tiles, maps, block, bands, closest=True), "closest")
         edges = stored(edges.unionByName(verified(pairs, arrays.of(pairs), bands)), "links")
         roots, before = components(edges), joined
         joined = roots.count()
         if joined == before:
-            return tiles, edges
+            return tiles, path, edges
         named = tiles.drop("label").join(roots, "node", "left")
-        named = named.select("key", "node", F.coalesce("root", "node").alias("label"), "n", "bits")
+        named = named.select("key", "node", F.coalesce("root", "node").alias("label"))
         apart = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open")
+        last, path = path, work_path(spark, "open")
+        tiles = stored(named.join(apart.where("low <> high").select("key"), "key", "left_semi"), "open", path)
+        remove(spark, last)
         if (joined - before) * 100 < pairs.count():
-            return tiles, edges
+            return tiles, path, edges
 
 
 def jaccard_components(
@@ -404,7 +410,9 @@ def jaccard_components(
     of such rows has a null id. Repeated rows have equal sets and are one component. An empty table
     gives no rows. Other columns are not read.
     """
-    bands, spark, keyed = Bands(threshold), docs.sparkSession, work_path(docs.sparkSession, "keyed")
+    bands, spark = Bands(threshold), docs.sparkSession
+    keyed, met_at, open_at = (work_path(spark, label) for label in ("keyed", "in_tiles", "open"))
+    parts = [work_path(spark, "tiles") for _ in range(KEY_PARTS)]
     with_keys = stored(shingle_sets(docs, bands, words), "keyed", keyed)
     sets = stored(with_keys.drop("keys"), "sets")
     full = sets.where("n > 0")
@@ -416,9 +424,9 @@ def jaccard_components(
     in_tile = Window.partitionBy("key").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keys, shared = with_keys.select("row", F.explode("keys").alias("key")), None
     # A part of the keys at a time, so that not all of them lie in shuffle files at once.
-    for part in range(KEY_PARTS):
+    for part, path in enumerate(parts):
         tiles = keys.where(F.pmod("key", F.lit(KEY_PARTS)) == part).withColumn("first", F.first("row").over(in_tile))
-        own = stored(tiles.where("row <> first"), "tiles")
+        own = stored(tiles.where("row <> first"), "tiles", path)
         shared = own if shared is None else shared.unionByName(own)
     # The keys are most of what is written here, and most of them belong to one set only.
     remove(spark, keyed)
@@ -434,7 +442,9 @@ def jaccard_components(
 
     in_tiles = shared.select("key", "row").unionByName(shared.select("key", F.col("first").alias("row")))
     labels = of_row.join(roots, "node", "left").select("row", "node", F.coalesce("root", "node").alias("label"))
-    in_tiles = stored(in_tiles.join(labels, "row").select("key", "node", "label").distinct(), "in_tiles")
+    in_tiles = stored(in_tiles.join(labels, "row").select("key", "node", "label").distinct(), "in_tiles", met_at)
+    for path in parts:
+        remove(spark, path)
     alike = in_tiles.groupBy("key").agg(
         F.min("label").alias("low"),
         F.max("label").alias("high"),
@@ -444,13 +454,15 @@ def jaccard_components(
     )
     # Tiles of several components; of those with the same members, one.
     several = alike.where("low <> high").groupBy("members", "who", "who_too").agg(F.min("key").alias("key"))
-    open_tiles = in_tiles.join(several.select("key"), "key", "left_semi")
-    open_tiles = stored(open_tiles.join(maps, "node").select("key", "node", "label", "n", "bits"), "open")
-    open_tiles, edges = joined_by_closest(open_tiles, arrays, edges, roots, block, bands)
-    more = tile_pairs(open_tiles, block, bands).join(
+    # Tiles hold names only, as a bitmap in each tile of its set would be most of what lies on disk.
+    open_tiles = stored(in_tiles.join(several.select("key"), "key", "left_semi"), "open", open_at)
+    remove(spark, met_at)
+    open_tiles, open_at, edges = joined_by_closest(open_tiles, open_at, maps, arrays, edges, roots, block, bands)
+    more = tile_pairs(open_tiles, maps, block, bands).join(
         first_pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti"
     )
     more = stored(more, "more")
+    remove(spark, open_at)
     edges = edges.unionByName(verified(more, arrays.of(more), bands))
     roots = components(edges)
 
@@ -479,16 +491,15 @@ def drop_near_copies(
     found = jaccard_components(docs, words=words, threshold=threshold).groupBy("doc_id", "text_key").agg(
         F.count("*").alias("rows"), F.sum(F.col("kept").cast("int")).alias("stay")
     )
-    found = stored(found.where("stay > 0"), "stay")
+    # Few rows go, and what goes is written, so its size is known: the texts are moved only if it is large.
+    found = stored(found.where("rows <> stay"), "go")
     whole = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
     rows = docs.select(F.col("doc_id").alias("id"), text_key().alias("own_key"), whole)
 
-    def among(chosen: DataFrame) -> DataFrame:
-        same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
-        return rows.join(chosen.select("doc_id", "text_key"), same, "left_semi")
-
-    repeated = among(found.where("rows <> stay")).groupBy("id", "own_key").agg(F.first("doc").alias("doc"))
-    kept = among(found.where("rows = stay")).select("doc").unionByName(repeated.select("doc"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key"))
+    repeated = rows.join(found.where("stay > 0").select("doc_id", "text_key"), same, "left_semi")
+    repeated = repeated.groupBy("id", "own_key").agg(F.first("doc").alias("doc"))
+    kept = rows.join(found.select("doc_id", "text_key"), same, "left_anti").select("doc").unionByName(repeated.select("doc"))
     return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
