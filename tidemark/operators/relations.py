@@ -3,8 +3,8 @@
 The state is kept as one row per unordered pair of accounts (``lo`` <= ``hi``) with one flag per
 direction, not as lists per account. Roll-forward, mutual follows and counts then need no list at
 all: rows spread evenly over tasks however many followers one account has. Lists are built from
-the pairs only for output, in chunks of bounded size: an account with one chunk has its lists in its own
-row, a larger one as rows of :func:`relation_chunks`; both together hold every member.
+the pairs only for output, in chunks of bounded size (:func:`relation_chunks`), which :func:`relation_lists`
+puts together to the whole lists of each account, one row per account however many relations it has.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ PAIR_SCHEMA = (
     "lo bigint, hi bigint, follow_fwd boolean, follow_bwd boolean, "
     "block_fwd boolean, block_bwd boolean, chg_fwd int, chg_bwd int"
 )
-# Ids in a chunk of an account's lists, and so in the lists of one row.
+# Ids in a chunk of an account's lists.
 CHUNK_IDS = 100_000
 
 # Which event adds to and which removes from each relation.
@@ -178,9 +178,19 @@ def relation_chunks(pairs: DataFrame, counts: DataFrame, chunk_ids: int = CHUNK_
     )
 
 
-def relation_lists(pairs: DataFrame, counts: DataFrame, inline_limit: int = CHUNK_IDS) -> DataFrame:
-    """Sorted id lists per account, for accounts whose lists are one chunk; the others get no row."""
-    return relation_chunks(pairs, counts, inline_limit).where("chunks = 1").drop("chunk", "chunks")
+def relation_lists(
+    pairs: DataFrame, counts: DataFrame, inline_limit: int | None = None, chunk_ids: int = CHUNK_IDS
+) -> DataFrame:
+    """Sorted id lists per account, whole for accounts of any size.
+
+    With ``inline_limit`` only accounts with at most so many relations get a row; :func:`relation_chunks` has the
+    others. Chunks of an account are put together where they lie, as arrays of numbers, and are not moved once more.
+    """
+    if inline_limit is not None:
+        return relation_chunks(pairs, counts, inline_limit).where("chunks = 1").drop("chunk", "chunks")
+    return relation_chunks(pairs, counts, chunk_ids).groupBy("mid").agg(
+        *(F.sort_array(F.flatten(F.collect_list(f"{name}_list"))).alias(f"{name}_list") for name in LISTS)
+    )
 
 
 def chunk_members(chunks: DataFrame) -> DataFrame:

@@ -162,7 +162,7 @@ PROFILE_CARRIED = (
 
 
 def large_account_lists(pairs: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
-    """The lists of the accounts that have more relations than one row holds, as chunks."""
+    """The lists of the accounts that have more relations than one chunk holds, as chunks."""
     return relation_chunks(pairs, relation_counts(pairs), chunk_ids).where("chunks > 1")
 
 
@@ -175,7 +175,8 @@ def account_snapshot(
     previous: DataFrame | None,
     expire_unit: str = "ms",
     carry_forward: bool = False,
-    inline_limit: int | None = CHUNK_IDS,
+    inline_limit: int | None = None,
+    lists: bool = True,
 ) -> DataFrame:
     """The account snapshot of ``dt``.
 
@@ -183,9 +184,9 @@ def account_snapshot(
     day's profiles, social events and paid orders or in the snapshot before. Profile columns come
     from today's messages only; ``carry_forward`` keeps yesterday's where there is none.
 
-    List columns are filled for accounts with at most ``inline_limit`` relations (None: no lists);
-    above that they stay null and :func:`large_account_lists` holds them in chunks, so that both together
-    have every member. Counts are always exact.
+    List columns hold every member, however many relations an account has. With ``inline_limit`` they stay null
+    above that many and :func:`large_account_lists` holds them in chunks, so that both together have every member;
+    without ``lists`` they are null, for readers of the other columns. Counts are always exact.
     Everything meets on ``mid``: each input is shuffled by it once.
     """
     counts = relation_counts(pairs)
@@ -198,7 +199,7 @@ def account_snapshot(
         kept = previous.select("mid", "vip_type", "vip_expire", *(PROFILE_CARRIED if carry_forward else ()))
         parts["old"] = kept.withColumnsRenamed({c: f"old_{c}" for c in kept.columns if c != "mid"})
     known = fold_by_key(parts, ["mid"]).select("mid", *(f"{name}.*" for name in parts))
-    if inline_limit is not None:
+    if lists:
         # Both sides are partitioned by mid already, so the lists are not moved once more.
         known = known.join(relation_lists(pairs, counts, inline_limit), "mid", "left")
     if previous is None:
@@ -222,18 +223,13 @@ def account_snapshot(
             }
         )
     sizes = [f"{name}_cnt" for name in LISTS]
-    total = sum((F.coalesce(F.col(size), F.lit(0)) for size in sizes), F.lit(0))
-    empty = F.array().cast("array<bigint>")
-    lists = {
-        f"{name}_list": (
-            F.when(total <= inline_limit, F.coalesce(F.col(f"{name}_list"), empty))
-            if inline_limit is not None
-            else F.lit(None).cast("array<bigint>")
-        )
-        for name in LISTS
-    }
+    empty, none = (value.cast("array<bigint>") for value in (F.array(), F.lit(None)))
+    columns = {f"{name}_list": F.coalesce(F.col(f"{name}_list"), empty) if lists else none for name in LISTS}
+    if lists and inline_limit is not None:
+        total = sum((F.coalesce(F.col(size), F.lit(0)) for size in sizes), F.lit(0))
+        columns = {name: F.when(total <= inline_limit, column) for name, column in columns.items()}
     zero = {name: F.coalesce(F.col(name), F.lit(0)) for name in (*sizes, "following_chg", "follower_chg")}
-    done = shaped.withColumns({**lists, "vip_expire": expire, "vip_type": kind}).withColumns(
+    done = shaped.withColumns({**columns, "vip_expire": expire, "vip_type": kind}).withColumns(
         {**zero, "vip_type_name": vip_type_name(F.col("vip_type")), "dw_create_time": run_ts}
     )
     return cast_to_schema(done.where(F.col("mid").isNotNull()), table_schema("dim_account_df"))
